@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
-from feedloom.operators.ordinals import last_per_key
+from feedloom.operators.ordinals import first_per_key, last_per_key
 from feedloom.session import materialise
 
 KEY = "job_hash"
@@ -161,8 +161,6 @@ def with_random_ids(rows: DataFrame, name: str) -> DataFrame:
 
 def new_rows(rows: DataFrame, stored: DataFrame, order: str, key: str = KEY) -> DataFrame:
     """The first row of each key that is not stored yet."""
-    from feedloom.operators.ordinals import first_per_key
-
     return first_per_key(rows.join(stored.select(key), key, "left_anti").select(*rows.columns), key, order)
 
 
@@ -223,6 +221,17 @@ class TableStore:
         marker.coalesce(1).write.mode("append").parquet(os.path.join(self.path, "commits"))
         return version
 
+    def append(self, rows: DataFrame) -> int:
+        """Add rows to the current version without rewriting it."""
+        version = self._committed()
+        if version == 0:
+            return self.write(rows)
+        writer = rows.write.mode("append")
+        if self.partition_by:
+            writer = writer.partitionBy(*self.partition_by)
+        writer.parquet(os.path.join(self.path, f"v{version}"))
+        return version
+
     def upsert(self, source: DataFrame, key: str = KEY, protected: Sequence[str] = STORE_PROTECTED) -> int:
         return self.write(upsert(self.read(), source, key, protected))
 

@@ -45,6 +45,6 @@ def append_new_into(store: TableStore, order: str, key: str = KEY) -> Callable[[
     def each(batch: DataFrame, _: int) -> None:
         stored = store.read()
         fresh = first_per_key(batch.join(stored.select(key), key, "left_anti"), key, order)
-        store.write(stored.unionByName(fresh.select(*stored.columns)))
+        store.append(fresh.select(*stored.columns))
 
     return each
