@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["scalars", "scans"]
+MODULES = ["scalars", "scans", "upkeep", "linking", "enriching", "reporting", "running"]
 
 
 def load_all() -> None:
