@@ -1,6 +1,8 @@
+import sys
 from datetime import datetime
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from feedloom.operators import tables
@@ -9,6 +11,8 @@ from feedloom.operators.taxonomy import JOB_FUNCTION
 from feedloom.plans.feed_run import Feed, Services, empty_tables, run_feed
 from feedloom.session import materialise
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 MAPPED = "seq long, title string, company_name string, employment_type string, description string, status string, locations string"
 TEXT = "care for patients on the night ward and keep the records of every shift in good order"
 
