@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SPACE = r"[\s\x1C-\x1F]"
+SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
 # The patterns that define the cleaned text and hence every stored hash.
 HTML_TAG = r"<[^>]+>"
@@ -27,7 +28,7 @@ WEB_ADDRESS = r"^https?://"
 
 def strip(col: Column) -> Column:
     """Remove leading and trailing Unicode whitespace (``trim`` only knows U+0020)."""
-    return F.regexp_replace(F.regexp_replace(col, f"(?U)^{SPACE}+", ""), f"(?U){SPACE}+$", "")
+    return F.btrim(col, F.lit(SPACES))
 
 
 def collapse(col: Column) -> Column:

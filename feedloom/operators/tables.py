@@ -189,6 +189,20 @@ def purge(stores: dict[str, DataFrame], keys: DataFrame, key: str = KEY) -> tupl
     return remaining, report
 
 
+def merge_into(
+    spark: SparkSession, name: str, source: DataFrame, key: str = KEY, protected: Sequence[str] = STORE_PROTECTED
+) -> None:
+    """The same upsert as MERGE, for catalogs whose tables take row-level changes.
+
+    Only the files that hold matched rows are rewritten, which no full copy can match. Built-in
+    Parquet tables refuse MERGE; use ``upsert`` with a ``TableStore`` there.
+    """
+    columns = [c for c in spark.table(name).columns if c in source.columns]
+    changes = {c: F.col(f"s.{c}") for c in columns if c != key and c not in protected}
+    merge = source.alias("s").mergeInto(name, F.col(f"{name}.{key}") == F.col(f"s.{key}"))
+    merge.whenMatched().update(changes).whenNotMatched().insert({c: F.col(f"s.{c}") for c in columns}).merge()
+
+
 class TableStore:
     """Versions of one Parquet table below a folder; the highest committed version is the table.
 
@@ -205,18 +219,24 @@ class TableStore:
         except AnalysisException:
             return 0
 
+    def _version(self, version: int) -> str:
+        return os.path.join(self.path, f"v{version}")
+
     def read(self) -> DataFrame:
         version = self._committed()
         if version == 0:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(os.path.join(self.path, f"v{version}"))
+        return self.spark.read.schema(self.schema).parquet(self._version(version))
 
-    def write(self, rows: DataFrame) -> int:
-        version = self._committed() + 1
-        writer = rows.write.mode("overwrite")
+    def _save(self, rows: DataFrame, version: int, mode: str) -> None:
+        writer = rows.write.mode(mode)
         if self.partition_by:
             writer = writer.partitionBy(*self.partition_by)
-        writer.parquet(os.path.join(self.path, f"v{version}"))
+        writer.parquet(self._version(version))
+
+    def write(self, rows: DataFrame) -> int:
+        version = self._committed() + 1
+        self._save(rows, version, "overwrite")
         marker = self.spark.range(1).select(F.lit(version).cast("int").alias("version"))
         marker.coalesce(1).write.mode("append").parquet(os.path.join(self.path, "commits"))
         return version
@@ -226,16 +246,50 @@ class TableStore:
         version = self._committed()
         if version == 0:
             return self.write(rows)
-        writer = rows.write.mode("append")
-        if self.partition_by:
-            writer = writer.partitionBy(*self.partition_by)
-        writer.parquet(os.path.join(self.path, f"v{version}"))
+        self._save(rows, version, "append")
         return version
 
     def upsert(self, source: DataFrame, key: str = KEY, protected: Sequence[str] = STORE_PROTECTED) -> int:
         return self.write(upsert(self.read(), source, key, protected))
 
 
+class BucketedTable:
+    """One Parquet table cut into buckets by its key; a small change rewrites only the buckets it meets.
+
+    ``buckets`` bounds the number of folders and the list of touched buckets that steers the read. A
+    touched bucket is replaced by a partition overwrite after its new content has been written apart.
+    Repeating an upsert gives the same table, so a repeated micro-batch does no harm.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType | str, key: str = KEY, buckets: int = 256):
+        self.spark, self.path, self.key, self.buckets = spark, path, key, buckets
+        self.schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+
+    def _with_bucket(self, rows: DataFrame) -> DataFrame:
+        return rows.withColumn("_bucket", F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int"))
+
+    def _read(self) -> DataFrame:
+        with_bucket = T.StructType([*self.schema.fields, T.StructField("_bucket", T.IntegerType())])
+        try:
+            return self.spark.read.schema(with_bucket).parquet(self.path)
+        except AnalysisException:
+            return self.spark.createDataFrame([], with_bucket)
+
+    def read(self) -> DataFrame:
+        return self._read().drop("_bucket")
+
+    def upsert(self, source: DataFrame, protected: Sequence[str] = STORE_PROTECTED) -> None:
+        rows = materialise(self._with_bucket(source), "change")
+        touched = [r["_bucket"] for r in rows.select("_bucket").distinct().collect()]
+        if not touched:
+            return
+        stored = self._read().filter(F.col("_bucket").isin(touched))
+        fresh = materialise(upsert(stored, rows, self.key, protected), "buckets")
+        fresh.repartition("_bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            "_bucket"
+        ).parquet(self.path)
+
+
 def overwrite_feeds(rows: DataFrame, path: str, feed: str = "feed_id") -> None:
     """Replace the partitions of the feeds in ``rows`` and leave the others untouched."""
     if feed not in rows.columns:

@@ -131,41 +131,50 @@ def ag11(spark, sf):
     return out.select("feed_id", "batch_no", "batch_rows", F.array_join("items", ",").alias("ids"))
 
 
-TURN_BATCHES = """WITH b AS (SELECT conv_id, count(*) AS n, count(*) FILTER (WHERE length(text) > 200) AS k FROM conversations GROUP BY conv_id)"""
+NUMBERED_TURNS = """WITH r AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS rn FROM conversations)"""
 
 
 @query(
     "jn12_positional_zip",
-    TURN_BATCHES + """ SELECT c.conv_id, CAST(row_number() OVER (PARTITION BY c.conv_id ORDER BY turn) - 1 AS INT) AS position, turn,
-    CASE WHEN n = k THEN 'success' ELSE 'failed' END AS ai_enrichment_status, CASE WHEN n = k THEN length(text) END AS result
-    FROM conversations c JOIN b ON c.conv_id = b.conv_id""",
+    NUMBERED_TURNS + """, t AS (SELECT conv_id, turn, text, CAST((rn - 1) // 2 + 1 AS BIGINT) AS batch_no, CAST((rn - 1) % 2 AS INT) AS position FROM r),
+    b AS (SELECT conv_id, batch_no, count(*) = count(*) FILTER (WHERE length(text) > 200) AS fits FROM t GROUP BY ALL)
+    SELECT conv_id, batch_no, position, turn, CASE WHEN fits THEN 'success' ELSE 'failed' END AS ai_enrichment_status,
+    CASE WHEN fits THEN length(text) END AS result FROM t JOIN b USING (conv_id, batch_no)""",
 )
 def jn12(spark, sf):
-    """Conversations are batches; only turns of some length get a result, so others do not line up."""
+    """Batches of two turns; only turns of some length get a result, so other batches do not line up."""
     rows = table(spark, sf, "conversations").select("conv_id", "turn", F.length("text").alias("chars"))
-    items = F.transform(F.array_sort(F.collect_list(F.struct("turn", "chars"))), lambda s: s["turn"])
-    kept = F.filter(F.array_sort(F.collect_list(F.struct("turn", "chars"))), lambda s: s["chars"] > 200)
-    batched = rows.groupBy("conv_id").agg(items.alias("items"), F.transform(kept, lambda s: s["chars"]).alias("results"))
-    return enrich.zip_results(batched).select("conv_id", "position", F.col("item").alias("turn"), "ai_enrichment_status", "result")
+    batched = ordinals.batches(rows, ["conv_id"], "turn", 2, F.struct("turn", "chars"))
+    kept = F.filter("items", lambda s: s["chars"] > 200)
+    ready = batched.select(
+        "conv_id", "batch_no", F.transform("items", lambda s: s["turn"]).alias("items"),
+        F.transform(kept, lambda s: s["chars"]).alias("results"),
+    )
+    return enrich.zip_results(ready).select(
+        "conv_id", "batch_no", "position", F.col("item").alias("turn"), "ai_enrichment_status", "result"
+    )
 
 
 @query(
     "fn29_parse_response",
-    """SELECT o_custkey, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS INT) AS pos, CAST(o_orderkey AS INT) AS job_function_id,
-    o_orderpriority AS reasoning FROM orders WHERE o_orderstatus <> 'F'""",
+    """WITH n AS (SELECT *, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) - 1 AS rn FROM orders),
+    k AS (SELECT *, CAST(rn // 10 + 1 AS BIGINT) AS batch_no FROM n)
+    SELECT o_orderpriority, batch_no, CAST(row_number() OVER (PARTITION BY o_orderpriority, batch_no ORDER BY o_orderkey) - 1 AS INT) AS pos,
+    CAST(o_orderkey AS INT) AS job_function_id, o_orderstatus AS reasoning FROM k WHERE o_orderstatus <> 'F'""",
 )
 def fn29(spark, sf):
-    """Responses of a customer's orders, some entries being plain texts instead of objects."""
+    """Responses for batches of ten orders, some entries being plain texts instead of objects."""
     entry = F.when(
         F.col("o_orderstatus") != "F",
-        F.to_json(F.struct(F.col("o_orderkey").alias("job_function_id"), F.col("o_orderpriority").alias("reasoning"))),
+        F.to_json(F.struct(F.col("o_orderkey").alias("job_function_id"), F.col("o_orderstatus").alias("reasoning"))),
     ).otherwise(F.lit('"none"'))
-    rows = table(spark, sf, "orders").select("o_custkey", "o_orderkey", entry.alias("e"))
-    sorted_entries = F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", "e"))), lambda s: s["e"])
-    text = F.concat(F.lit('{"selections": ['), F.array_join(sorted_entries, ", "), F.lit("]}"))
-    responses = rows.groupBy("o_custkey").agg(text.alias("response"))
-    parsed = enrich.parse_response(F.col("response"), enrich.SELECTION, "selections")
-    return responses.select("o_custkey", F.posexplode(parsed).alias("pos", "r")).select("o_custkey", "pos", "r.*")
+    rows = table(spark, sf, "orders").select("o_orderpriority", "o_orderkey", entry.alias("e"))
+    batched = ordinals.batches(rows, ["o_orderpriority"], "o_orderkey", 10, F.col("e"))
+    response = F.concat(F.lit('{"selections": ['), F.array_join("items", ", "), F.lit("]}"))
+    parsed = enrich.parse_response(response, enrich.SELECTION, "selections")
+    return batched.select("o_orderpriority", "batch_no", F.posexplode(parsed).alias("pos", "r")).select(
+        "o_orderpriority", "batch_no", "pos", "r.*"
+    )
 
 
 CLEAN_TEXT = "trim(regexp_replace(regexp_replace(text, '<.*?>', '', 'g'), '\\s+', ' ', 'g'))"
@@ -173,20 +182,18 @@ CLEAN_TEXT = "trim(regexp_replace(regexp_replace(text, '<.*?>', '', 'g'), '\\s+'
 
 @query(
     "fn28_prompt",
-    f"""WITH r AS (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS rn, role, {CLEAN_TEXT} AS t FROM conversations)
-    SELECT conv_id, concat('--- ITEMS ---', chr(10), string_agg(concat(rn, '.', chr(10), 'Title: ', role, chr(10), 'Company: c', conv_id, chr(10), 'Description: ', t),
-    chr(10) || chr(10) ORDER BY turn), chr(10), '--- CONTEXT ---', chr(10), 'ids: ', conv_id, chr(10), 'Answer in JSON.') AS prompt FROM r GROUP BY conv_id""",
+    f"""{NUMBERED_TURNS}, t AS (SELECT conv_id, turn, role, {CLEAN_TEXT} AS t, CAST((rn - 1) // 10 + 1 AS BIGINT) AS batch_no, (rn - 1) % 10 + 1 AS k FROM r)
+    SELECT conv_id, batch_no, concat('--- ITEMS ---', chr(10), string_agg(concat(k, '.', chr(10), 'Title: ', role, chr(10), 'Company: c', conv_id, chr(10), 'Description: ', t),
+    chr(10) || chr(10) ORDER BY turn), chr(10), '--- CONTEXT ---', chr(10), 'ids: ', conv_id, chr(10), 'Answer in JSON.') AS prompt FROM t GROUP BY conv_id, batch_no""",
 )
 def fn28(spark, sf):
     rows = table(spark, sf, "conversations").select(
-        "conv_id", "turn", F.struct(
-            F.col("role").alias("title"), F.concat(F.lit("c"), "conv_id").alias("company_name"), F.col("text").alias("description")
-        ).alias("item")
+        "conv_id", "turn", F.col("role").alias("title"), F.concat(F.lit("c"), "conv_id").alias("company_name"), F.col("text").alias("description")
     )
-    batched = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "item"))).alias("p"))
-    items = F.transform("p", lambda x: x["item"])
+    batched = ordinals.batches(rows, ["conv_id"], "turn", 10, F.struct("title", "company_name", "description"))
     context = F.concat(F.lit("ids: "), F.col("conv_id"))
-    return batched.select("conv_id", enrich.prompt(items, enrich.posting_block, "--- ITEMS ---", "Answer in JSON.", context, "--- CONTEXT ---").alias("prompt"))
+    text = enrich.prompt(F.col("items"), enrich.posting_block, "--- ITEMS ---", "Answer in JSON.", context, "--- CONTEXT ---")
+    return batched.select("conv_id", "batch_no", text.alias("prompt"))
 
 
 def marked_lengths(rows: list[dict]) -> list[dict]:

@@ -10,7 +10,7 @@ from feedloom.plans import feed_run
 from feedloom.plans.enriching import functions_of_industries, gazetteer
 from feedloom.plans.registry import postings, query
 from feedloom.plans.scans import MAPPINGS, TRIMMED, land_feed
-from feedloom.operators.tables import TableStore
+from feedloom.operators.tables import BucketedTable, TableStore
 from feedloom.session import scratch_path
 from feedloom.streaming import runs
 
@@ -46,7 +46,7 @@ def st2(spark, sf):
     rows = event_stream(spark, sf).select(
         F.col("user_id").cast("string").alias("job_hash"), "event_id", F.col("event_type").alias("status")
     )
-    store = TableStore(spark, scratch_path(spark, "table"), "job_hash string, event_id long, status string")
+    store = BucketedTable(spark, scratch_path(spark, "table"), "job_hash string, event_id long, status string", buckets=8)
     runs.run_into(rows, scratch_path(spark, "progress"), runs.upsert_into(store, "event_id")).awaitTermination()
     return store.read()
 

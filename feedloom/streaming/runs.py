@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from feedloom.operators.ordinals import first_per_key, last_per_key
-from feedloom.operators.tables import KEY, TableStore
+from feedloom.operators.tables import KEY, BucketedTable, TableStore
 from feedloom.sources.feeds import mapped_postings, parse_fragments, stream_fragments
 
 
@@ -30,11 +30,11 @@ def run_into(
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
-def upsert_into(store: TableStore, order: str, key: str = KEY) -> Callable[[DataFrame, int], None]:
-    """Upsert micro-batches; writing the same batch again gives the same table."""
+def upsert_into(table: BucketedTable, order: str) -> Callable[[DataFrame, int], None]:
+    """Upsert micro-batches; each rewrites only the buckets it meets, and may safely be repeated."""
 
     def each(batch: DataFrame, _: int) -> None:
-        store.upsert(last_per_key(batch, key, order), key)
+        table.upsert(last_per_key(batch, table.key, order))
 
     return each
 

@@ -86,6 +86,31 @@ def test_store_versions(spark):
     assert store.read().count() == 3
 
 
+def test_bucketed_table_touches_only_its_buckets(spark):
+    table = tables.BucketedTable(spark, scratch_path(spark, "buckets"), ROW, buckets=16)
+    assert table.read().count() == 0
+    table.upsert(spark.createDataFrame([(f"k{i}", "old", 1, i) for i in range(100)], ROW))
+    files = set(table.read().inputFiles())
+    change = spark.createDataFrame([("k7", "new", 9, 9), ("zz", "new", 9, 9)], ROW)
+    for _ in range(2):
+        table.upsert(change)
+    got = as_dict(table.read())
+    assert len(got) == 101 and got["k7"] == {"job_hash": "k7", "status": "new", "created_at": 1, "id": 7}
+    assert got["zz"]["created_at"] == 9
+    assert len(files & set(table.read().inputFiles())) >= len(files) - 2
+
+
+def test_parquet_tables_refuse_merge(spark):
+    from pyspark.errors import PySparkException
+
+    spark.createDataFrame([("a", "old", 1, 1)], ROW).write.mode("overwrite").saveAsTable("plain_table")
+    try:
+        with pytest.raises(PySparkException):
+            tables.merge_into(spark, "plain_table", spark.createDataFrame([("a", "new", 2, 2)], ROW))
+    finally:
+        spark.sql("DROP TABLE plain_table")
+
+
 def test_overwrite_feeds(spark):
     path = scratch_path(spark, "feeds")
     spark.createDataFrame([(1, "a"), (2, "b")], "feed_id int, k string").write.partitionBy("feed_id").parquet(path)
@@ -277,11 +302,11 @@ def test_stream_upsert_equals_batch(spark, tmp_path):
     rows = [(f"h{i % 7}", i, f"s{i}") for i in range(40)]
     for part in range(4):
         spark.createDataFrame(rows[part * 10:(part + 1) * 10], schema).coalesce(1).write.mode("append").parquet(str(folder))
-    store = tables.TableStore(spark, scratch_path(spark, "store"), schema)
+    store = tables.BucketedTable(spark, scratch_path(spark, "store"), schema, buckets=4)
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(folder))
     runs.run_into(stream, scratch_path(spark, "progress"), runs.upsert_into(store, "seq")).awaitTermination()
     assert {r["job_hash"] for r in store.read().collect()} == {f"h{i}" for i in range(7)}
-    assert store.read().count() == 7
+    assert {r["job_hash"]: r["seq"] for r in store.read().collect()} == {f"h{i % 7}": i for i in range(40)}
     fresh = tables.TableStore(spark, scratch_path(spark, "store"), schema)
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(folder))
     runs.run_into(stream, scratch_path(spark, "progress"), runs.append_new_into(fresh, "seq")).awaitTermination()
