@@ -179,6 +179,7 @@ def enrich(
     asked = misses.groupBy(key).agg(
         F.min_by(F.struct(*[c for c in dict.fromkeys([order, *keys, *inputs]) if c != key]), order).alias("row")
     ).select(key, "row.*")
+    asked = materialise(asked, "asked")
     batched = batches(asked, list(keys), order, batch_rows, F.struct(key, *[c for c in inputs if c != key]))
     answers = materialise(run_batches(batched, fn, ddl, key, retries, delay), "answers")
     done = hits.withColumns(

@@ -17,6 +17,7 @@ def with_ordinal(
     name: str = "ordinal",
     width: int = ROWS_PER_RANGE,
     range_of: Column | None = None,
+    total: str | None = None,
 ) -> DataFrame:
     """Number the rows of each key from 1 in the order of a unique column.
 
@@ -24,24 +25,37 @@ def with_ordinal(
     order column; rows are numbered inside a range, and the counts of the earlier ranges are added.
     The default range is ``order div width`` for an integer column, so a range holds at most
     ``width`` rows. For a text column pass a prefix as ``range_of``: it must not disturb the order.
+    ``total`` names a further column for the row count of the key. ``df`` is read twice.
     """
     rng = range_of if range_of is not None else F.expr(f"`{order}` div {width}")
     ranged = df.withColumn("_range", rng)
     parts = [*keys, "_range"]
     sizes = ranged.groupBy(*parts).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*parts, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    offsets = sizes.select(
+        *parts,
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
+        F.sum("_n").over(Window.partitionBy(*keys)).alias("_total"),
+    )
     inside = F.row_number().over(Window.partitionBy(*parts).orderBy(order))
     numbered = ranged.withColumn("_inside", inside)
     same = [numbered[c].eqNullSafe(offsets[c]) for c in parts]
     joined = numbered.join(offsets, same, "left")
-    return joined.select(*[numbered[c] for c in df.columns], (F.col("_before") + F.col("_inside")).alias(name))
+    counts = [F.col("_total").alias(total)] if total else []
+    return joined.select(
+        *[numbered[c] for c in df.columns], (F.col("_before") + F.col("_inside")).alias(name), *counts
+    )
 
 
 def with_batch(df: DataFrame, keys: Sequence[str], order: str, size: int, **how) -> DataFrame:
-    """Add ``ordinal`` and ``batch_no``, counted from 1 inside each key."""
-    numbered = with_ordinal(df, keys, order, **how)
-    return numbered.withColumn("batch_no", F.expr(f"CAST((ordinal - 1) div {size} + 1 AS BIGINT)"))
+    """Add ``ordinal``, ``batch_no`` counted from 1 inside each key, and the key's ``total_batches``."""
+    numbered = with_ordinal(df, keys, order, total="total_batches", **how)
+    return numbered.withColumns(
+        {
+            "batch_no": F.expr(f"CAST((ordinal - 1) div {size} + 1 AS BIGINT)"),
+            "total_batches": F.expr(f"CAST((total_batches - 1) div {size} + 1 AS BIGINT)"),
+        }
+    )
 
 
 def batches(df: DataFrame, keys: Sequence[str], order: str, size: int, item: Column, **how) -> DataFrame:

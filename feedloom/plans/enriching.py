@@ -5,15 +5,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from feedloom.functions import places
+from feedloom.functions.hashing import canonical_hash
 from feedloom.operators import enrich, ordinals, routing, taxonomy
-from feedloom.plans.registry import hashed_postings, light_postings, query, select_sql, table
+from feedloom.plans.registry import hashed_postings, light_postings, postings, query, select_sql, table
 from feedloom.plans.scalars import PLACES_SQL
 
 
 def cached(spark, sf):
     """Labelled postings as cached results, by hash; the highest row of a hash counts."""
     labels = table(spark, sf, "labels").select(F.col("doc_id").alias("seq"), "quality", "toxic")
-    rows = hashed_postings(spark, sf).select("seq", "job_hash").join(labels, "seq")
+    rows = postings(spark, sf).join(labels, "seq").select("seq", canonical_hash().alias("job_hash"), "quality", "toxic")
     last = ordinals.last_per_key(rows, "job_hash", "seq")
     return last.select("job_hash", F.struct((F.col("quality") * 100.0).alias("confidence_score"), F.col("toxic").alias("sector_id")).alias("result"))
 

@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from feedloom.functions.hashing import canonical_hash
 from feedloom.operators import ordinals, reports, routing, tables
-from feedloom.plans.registry import hashed_postings, light_postings, query, select_sql, table
+from feedloom.plans.registry import hashed_postings, light_postings, postings, query, select_sql, table
 from feedloom.session import scratch_path
 
 STORED = """CAST(o_orderkey AS STRING) AS job_hash, o_orderstatus AS status, o_totalprice AS amount,
@@ -249,7 +250,8 @@ def jn4(spark, sf):
 def jn10(spark, sf):
     """Labelled postings are stored; the first row of every other hash is new."""
     rows = hashed_postings(spark, sf).select("job_hash", "seq")
-    known = rows.join(table(spark, sf, "labels").select(F.col("doc_id").alias("seq")), "seq", "left_semi")
+    labelled = postings(spark, sf).join(table(spark, sf, "labels").select(F.col("doc_id").alias("seq")), "seq", "left_semi")
+    known = labelled.select(canonical_hash().alias("job_hash"))
     return tables.new_rows(rows, known, "seq")
 
 
@@ -331,8 +333,7 @@ def sl3(spark, sf):
 def wn4(spark, sf):
     rows = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
     batched = ordinals.with_batch(rows, ["o_orderpriority"], "o_orderkey", 250, width=5000)
-    totals = batched.groupBy("o_orderpriority").agg(F.max("batch_no").alias("total_batches"))
-    return batched.join(totals, "o_orderpriority").select(
+    return batched.select(
         "o_orderkey", "o_orderpriority", "batch_no", "total_batches",
         ordinals.region("batch_no", ["east", "west", "south"]).alias("region"),
     )
