@@ -108,3 +108,16 @@ def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], lim
     """The first ``limit`` rows of each key; Spark keeps only ``limit`` rows per key before the shuffle."""
     ranked = df.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     return ranked.filter(F.col("rank") <= limit)
+
+
+def sample_per_key(df: DataFrame, keys: Sequence[str], unique: str, rate: float, minimum: int = 5) -> DataFrame:
+    """A repeatable sample of each key: ``rate`` of its rows, at least ``minimum``, in the order of a digest.
+
+    An option for looking at large groups; no operator here depends on it.
+    """
+    drawn = df.withColumn("_draw", F.sha2(F.col(unique).cast("string"), 256))
+    numbered = with_ordinal(
+        drawn, keys, "_draw", "_place", range_of=F.substring("_draw", 1, 4), total="_of"
+    )
+    size = F.greatest(F.floor(F.col("_of") * rate), F.lit(minimum))
+    return numbered.filter(F.col("_place") <= size).select(*df.columns)

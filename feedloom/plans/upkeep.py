@@ -311,6 +311,17 @@ def sl2(spark, sf):
     return light_postings(spark, sf).select("seq").limit(10).agg(F.count(F.lit(1)).cast("int").alias("n"))
 
 
+@query(
+    "sl4_sample_per_key",
+    """SELECT o_orderpriority, o_orderkey FROM (SELECT *, row_number() OVER (PARTITION BY o_orderpriority ORDER BY sha256(CAST(o_orderkey AS VARCHAR))) AS rn,
+    count(*) OVER (PARTITION BY o_orderpriority) AS n FROM orders) WHERE rn <= greatest(floor(n * 0.2), 5)""",
+)
+def sl4(spark, sf):
+    """A fifth of the orders of each priority; the sample is the feature."""
+    rows = table(spark, sf, "orders").select("o_orderpriority", "o_orderkey")
+    return ordinals.sample_per_key(rows, ["o_orderpriority"], "o_orderkey", 0.2)
+
+
 @query(
     "sl3_sorted_groups",
     """SELECT feed_id, string_agg(DISTINCT locations, ';' ORDER BY locations) AS places, min(job_hash) AS first_hash FROM hashed GROUP BY feed_id""",
