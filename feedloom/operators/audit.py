@@ -87,13 +87,12 @@ CUTS = [50, 100, 200, 500, 1000]
 TYPES = ["Full-time", "Part-time", "FULL_TIME", "PART_TIME"]
 
 
-def hash_recipes(title: Column, company: Column, description: Column) -> Column:
+def hash_recipes(title: Column, company: Column, description: Column, cleaned: Column) -> Column:
     """All ways a stored hash may have been made from a row, as an array of ``(recipe, hash)``.
 
     Title alone, with company, with type, and with the description raw or cleaned, whole or cut.
     """
     blank = F.lit("")
-    cleaned = clean_for_hash(description)
     texts = {"raw": description, "clean": cleaned}
     texts |= {f"raw {n}": F.substring(description, 1, n) for n in CUTS}
     texts |= {f"clean {n}": F.substring(cleaned, 1, n) for n in CUTS}
@@ -115,13 +114,12 @@ def find_hash_source(rows: DataFrame, targets: DataFrame, id_col: str = "seq") -
     Each row tries its own fields, so the work grows with the rows and the wanted hashes are met by
     an equi-join. Pools of unrelated fields are not multiplied with each other.
     """
-    tried = rows.select(
+    blank = F.lit("")
+    ready = rows.select(
         F.col(id_col).alias("id"),
-        F.explode(
-            hash_recipes(
-                F.coalesce("title", F.lit("")), F.coalesce("company_name", F.lit("")),
-                F.coalesce("description", F.lit("")),
-            )
-        ).alias("r"),
-    ).select("id", "r.recipe", "r.job_hash")
+        *[F.coalesce(c, blank).alias(c) for c in ("title", "company_name", "description")],
+        clean_for_hash(F.col("description")).alias("cleaned"),
+    )
+    recipes = hash_recipes(F.col("title"), F.col("company_name"), F.col("description"), F.col("cleaned"))
+    tried = ready.select("id", F.explode(recipes).alias("r")).select("id", "r.recipe", "r.job_hash")
     return tried.join(targets.select("job_hash").distinct(), "job_hash")

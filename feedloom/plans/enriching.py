@@ -246,13 +246,53 @@ def ud4(spark, sf):
 def ud5(spark, sf):
     """Cached results first, rule-based answers for the rest."""
     rows = hashed_postings(spark, sf).select("seq", "job_hash", "title", "company_name", "description")
-    empty = spark.createDataFrame([], f"job_hash string, result struct<{enrich.ATTRIBUTES.replace(' ', ':').replace(',:', ',')}>")
+    empty = no_cache(spark, enrich.ATTRIBUTES)
     known = cached(spark, sf).select("job_hash", F.to_json("result").alias("j"))
     cache = empty.unionByName(known.select("job_hash", F.from_json("j", enrich.struct_type(enrich.ATTRIBUTES)).alias("result")))
     out, _ = enrich.enrich(rows, cache, enrich.keyword_rules, enrich.ATTRIBUTES, "seq", ["title", "description"], delay=0.0)
     return out.select("seq", "ai_title", "industry_id", "confidence_score", "from_cache", "ai_enrichment_status")
 
 
+def no_cache(spark, ddl: str):
+    return spark.createDataFrame([], f"job_hash string, result {enrich.struct_type(ddl).simpleString()}")
+
+
+@query(
+    "ud5_job_functions",
+    """+ n AS (SELECT 1 + n_nationkey % 8 AS industry_id, min(n_nationkey) AS f FROM nation WHERE 1 + n_nationkey % 8 < 7 GROUP BY ALL)
+    SELECT seq, f AS job_function_id, CASE WHEN f IS NULL THEN 'failed' ELSE 'success' END AS ai_enrichment_status,
+    CASE WHEN f IS NULL THEN 'Missing data for function classification' END AS ai_enrichment_error FROM postings LEFT JOIN n USING (industry_id)""",
+    view=True,
+)
+def ud5_functions(spark, sf):
+    """A function per posting, asked in batches of one industry; industries without functions fail."""
+    rows = light_postings(spark, sf).select("seq", F.col("seq").cast("string").alias("job_hash"), "industry_id")
+    listed = enrich.classifiable(taxonomy.attach_functions(rows, functions_of_industries(spark, sf)))
+    ready, failed = enrich.split_failed(listed)
+    ready = ready.withColumn("function_ids", F.transform("job_functions", lambda f: f["id"]))
+    out, _ = enrich.enrich(
+        ready, no_cache(spark, enrich.SELECTION), enrich.first_function, enrich.SELECTION, "seq", ["function_ids"], ["industry_id"], delay=0.0
+    )
+    columns = ["seq", "job_function_id", "ai_enrichment_status", "ai_enrichment_error"]
+    return out.select(*columns).unionByName(failed.withColumn("job_function_id", F.lit(None).cast("int")).select(*columns))
+
+
+@query(
+    "ud5_searchable_text",
+    "SELECT seq, concat(company_name, ', ', employment_type) AS searchable_text, false AS from_cache FROM postings",
+    view=True,
+)
+def ud5_searchable(spark, sf):
+    """The distinct terms of each posting as one text."""
+    rows = light_postings(spark, sf).select(
+        "seq", F.col("seq").cast("string").alias("job_hash"), F.array("company_name").alias("ai_top_tags"),
+        F.array("employment_type").alias("ai_search_terms"), F.array("company_name").alias("ai_skills"),
+    )
+    terms = ["ai_top_tags", "ai_search_terms", "ai_skills"]
+    out, _ = enrich.enrich(rows, no_cache(spark, enrich.SEARCHABLE), enrich.joined_terms, enrich.SEARCHABLE, "seq", terms, delay=0.0)
+    return out.select("seq", "searchable_text", "from_cache")
+
+
 GAZETTEER_SQL = """, g AS (SELECT 'Boston, MA, US' AS query, 42.36 AS lat, -71.06 AS lng UNION ALL SELECT 'Paris, IDF, France', 48.86, 2.35
     UNION ALL SELECT 'Remote, US', NULL, NULL)"""
 GEO_KEY_SQL = "concat_ws(', ', nullif(city, ''), nullif(state, ''), country)"

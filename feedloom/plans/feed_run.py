@@ -202,13 +202,17 @@ def run_feed(
     for name, (before, after) in stages.items():
         lost = before.select(F.lit(1).alias("d")).unionByName(after.select(F.lit(-1).alias("d")))
         counts = counts.unionByName(lost.agg(F.coalesce(F.sum("d"), F.lit(0)).alias("n")).select(F.lit(name).alias("stage"), "n"))
-    extra = [
-        F.max(F.when(F.col("stage") == n, F.col("n"))).alias(n)
-        for n in ("total_in_feed", "mirror_added", "mirror_deleted", *stages)
+    by_outcome = outcomes.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
+    counts = counts.unionByName(by_outcome.withColumnRenamed("outcome", "stage"))
+    names = {n: n for n in ("total_in_feed", "mirror_added", "mirror_deleted", *stages)} | reports.OUTCOMES
+    each = [
+        F.coalesce(F.max(F.when(F.col("stage") == stage, F.col("n"))), F.lit(0)).alias(name)
+        for stage, name in names.items()
     ]
-    by_stage = counts.agg(*extra).withColumn("feed_id", F.lit(feed.feed_id))
-    counted = reports.run_counters(outcomes, ["feed_id"]).drop("total_in_feed")
-    counters = by_stage.join(counted, "feed_id", "left")
+    done = F.col("jobs_auto_approved") + F.col("jobs_manual_review") + F.col("jobs_rejected")
+    counters = counts.agg(*each).withColumns(
+        {"feed_id": F.lit(feed.feed_id), "processed_successfully": done}
+    )
 
     return Outcome(
         stored=Stored(

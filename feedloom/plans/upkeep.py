@@ -389,8 +389,12 @@ def pf16(spark, sf):
     return rows.filter((F.col("status") == "O") & F.col("job_hash").isNotNull()).select("feed", "job_hash")
 
 
-@query(
-    "fn27_random_ids",
-)
+@query("pf16_rows_by_key", f"SELECT CAST(o_orderkey AS VARCHAR) AS job_hash, o_totalprice AS amount FROM orders WHERE CAST(o_orderkey AS VARCHAR) IN ({RETURNED})")
+def pf16_rows(spark, sf):
+    rows = select_sql(table(spark, sf, "orders"), STORED)
+    return tables.rows_of(rows, returned_keys(spark, sf)).select("job_hash", "amount")
+
+
+@query("fn27_random_ids")
 def fn27(spark, sf):
     return tables.with_random_ids(light_postings(spark, sf).select("seq"), "uuid")
