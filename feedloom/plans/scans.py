@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from feedloom.functions.hashing import canonical_hash
+from feedloom.functions import text
+from feedloom.functions.hashing import base64_sha256, canonical_hash
 from feedloom.operators import audit, mapping, ordinals, tables, validate
 from feedloom.plans.registry import (
     CLOSED_SQL, HASH_SQL, hashed_postings, light_postings, postings, query, select_sql, table,
@@ -19,7 +23,7 @@ MAPPINGS = {
 }
 
 
-def tag(name: str, value) -> F.Column:
+def tag(name: str, value: Column) -> Column:
     """One element; a null value gives an empty text."""
     return F.coalesce(F.concat(F.lit(f"<{name}>"), value, F.lit(f"</{name}>")), F.lit(""))
 
@@ -214,11 +218,9 @@ def pf2(spark, sf):
 
 @query("pf3_drop_closed", f"SELECT seq, status FROM postings WHERE NOT {CLOSED_SQL}", view=True)
 def pf3(spark, sf):
-    from feedloom.functions.text import posting_status
-
     rows = light_postings(spark, sf).select("seq", "status")
     marked = rows.withColumn("raw", F.col("status")).withColumn(
-        "status", F.when(F.col("status").isNotNull(), posting_status(F.col("status")))
+        "status", F.when(F.col("status").isNotNull(), text.posting_status(F.col("status")))
     )
     return mapping.drop_closed(marked).select("seq", F.col("raw").alias("status"))
 
@@ -230,8 +232,6 @@ def pf3(spark, sf):
     view=True,
 )
 def pf4(spark, sf):
-    from datetime import datetime
-
     rows = light_postings(spark, sf).select("seq", F.col("ai_confidence_score").alias("confidence_score"), "feed_id", "company_name")
     out = mapping.finalise(
         rows, F.col("feed_id"), F.concat(F.lit("feed "), F.col("feed_id")), mapping.partner_id(F.col("company_name")), datetime(2024, 2, 1)
@@ -339,30 +339,21 @@ def sk15(spark, sf):
     view=True,
 )
 def flagship(spark, sf):
-    """Standardise, drop closed postings, hash, last row per hash, and count per company."""
-    rows = postings(spark, sf).select("seq", "title", "company_name", "employment_type", "description", "status")
-    standard = mapping.drop_closed(
-        rows.withColumn("status", F.expr("status")).withColumn("status", _status(F.col("status")))
-    ).withColumn("employment_type", _kind(F.col("employment_type")))
-    hashed = standard.select("company_name", "seq", canonical_hash().alias("job_hash"))
-    per_hash = hashed.groupBy("company_name", "job_hash").agg(F.count(F.lit(1)).alias("copies"), F.max("seq").alias("last"))
+    """Standardise, drop closed postings, hash, and count postings and distinct hashes per company."""
+    rows = postings(spark, sf).select("title", "company_name", "employment_type", "description", "status")
+    standard = rows.withColumns(
+        {
+            "status": text.posting_status(F.col("status")),
+            "employment_type": text.employment_type(F.col("employment_type")),
+        }
+    )
+    hashed = mapping.drop_closed(standard).select("company_name", canonical_hash().alias("job_hash"))
+    per_hash = hashed.groupBy("company_name", "job_hash").agg(F.count(F.lit(1)).alias("copies"))
     return per_hash.groupBy("company_name").agg(
         F.sum("copies").alias("postings"), F.count(F.lit(1)).alias("distinct_hashes")
     )
 
 
-def _status(col):
-    from feedloom.functions.text import posting_status
-
-    return posting_status(col)
-
-
-def _kind(col):
-    from feedloom.functions.text import employment_type
-
-    return employment_type(col)
-
-
 @query("wn1_last_per_hash", "SELECT job_hash, max(seq) AS seq, arg_max(external_job_id, seq) AS external_job_id FROM hashed GROUP BY job_hash", view=True)
 def wn1(spark, sf):
     rows = hashed_postings(spark, sf).select("job_hash", "seq", "external_job_id")
@@ -398,8 +389,6 @@ def ag13(spark, sf):
 def jn13(spark, sf):
     """Hashes made from the title alone or with the company, found again among all recipes of all rows."""
     rows = postings(spark, sf).select("seq", "title", "company_name", "description")
-    from feedloom.functions.hashing import base64_sha256
-
     blank = F.lit("")
     short = F.array(
         base64_sha256(F.concat_ws("|", "title", blank, blank, blank)),
