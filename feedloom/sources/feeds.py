@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedloom.functions.text import repair_xml, strip, unescape_web_address
+from feedloom.operators.ordinals import with_ordinal
 
 START, END = "<job>", "</job>"
 _CORRUPT = "_corrupt_record"
@@ -111,6 +112,16 @@ def mapped_postings(
     return rows.filter(F.coalesce(*[F.col(t) for t in targets]).isNotNull()) if targets else rows
 
 
+def numbered(rows: DataFrame, name: str = "seq") -> DataFrame:
+    """Unique integers from 1 in feed order, as a run needs them.
+
+    Rows are numbered inside each split of a file and offset by the earlier splits. ``rows`` is read
+    twice; pass a written table when parsing is costly.
+    """
+    split = F.struct("position.file_path", "position.block_start")
+    return with_ordinal(rows, [], "position", name, range_of=split)
+
+
 def raw_tags(fragments: DataFrame) -> DataFrame:
     """All direct child tags with their text, for feeds whose tags are not known yet.
 

@@ -66,6 +66,8 @@ def test_many_splits_lose_nothing(spark, tmp_path):
         assert rows.select("title").distinct().count() == rows.count() == 5000
         ordered = [r["title"] for r in rows.orderBy("position").collect()]
         assert ordered == [f"t{i}" for i in range(5000)]
+        counted = {r["title"]: r["seq"] for r in feeds.numbered(rows).select("title", "seq").collect()}
+        assert counted == {f"t{i}": i + 1 for i in range(5000)}
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
