@@ -14,9 +14,14 @@ BLANKS = r"[\x20\x09-\x0D]+"
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
+def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """The wanted columns of a whole table."""
+    return read_table(spark, f"{sf_dir}/{name}.parquet").select(*columns)
+
+
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """The wanted columns of the whole ``documents`` table, dealt to all cores if the scan has fewer tasks."""
-    return spread(read_table(spark, f"{sf_dir}/documents.parquet").select(*columns), "doc_id")
+    return spread(table(spark, sf_dir, "documents", *columns), "doc_id")
 
 
 def remainder(key: str | Column, divisor: int) -> Column:
