@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import packing, quality_rules, url_filter
+from feedloom.llm import near_duplicates, packing, quality_rules, url_filter
 from feedloom.llm.common import documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,3 +39,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_url_filter")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.verdicts(table(spark, sf_dir, "pages", "page_id", "url"))
+
+
+@query("op7_near_duplicates")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(documents(spark, sf_dir, "doc_id", "text"))
