@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import near_duplicates, packing, quality_rules, url_filter
-from feedloom.llm.common import documents, table
+from feedloom.llm import language_id, near_duplicates, packing, quality_rules, url_filter
+from feedloom.llm.common import documents, remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -44,3 +44,10 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_near_duplicates")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(documents(spark, sf_dir, "doc_id", "text"))
+
+
+@query("op2_language_id")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "doc_id", "text", "lang")
+    held_out = remainder("doc_id", 5) == 0
+    return language_id.identify(docs, ~held_out).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
