@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import language_id, near_duplicates, packing, quality_rules, url_filter
+from feedloom.llm import language_id, near_duplicates, packing, quality_classifier, quality_rules, url_filter
 from feedloom.llm.common import documents, remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,3 +51,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir, "doc_id", "text", "lang")
     held_out = remainder("doc_id", 5) == 0
     return language_id.identify(docs, ~held_out).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query("op8_quality_classifier")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    held_out = remainder("doc_id", 4) == 2
+    found = quality_classifier.classify(docs, table(spark, sf_dir, "labels", "doc_id", "quality"), ~held_out)
+    return found.select("doc_id", held_out.alias("held_out"), "score", "predicted")
