@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import language_id, near_duplicates, packing, quality_classifier, quality_rules, url_filter
+from feedloom.llm import language_id, near_duplicates, neighbours, packing, quality_classifier, quality_rules, url_filter
 from feedloom.llm.common import documents, remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,3 +59,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = remainder("doc_id", 4) == 2
     found = quality_classifier.classify(docs, table(spark, sf_dir, "labels", "doc_id", "quality"), ~held_out)
     return found.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+@query("op9_multi_index_hashing")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("vec_id") % 20 == 0)
