@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import language_id, near_duplicates, neighbours, packing, quality_classifier, quality_rules, url_filter
+from feedloom.llm import language_id, near_duplicates, neighbours, packing, quality_classifier, quality_rules, suffix_dedup, url_filter
 from feedloom.llm.common import documents, remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,3 +64,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_multi_index_hashing")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("vec_id") % 20 == 0)
+
+
+@query("op3_suffix_dedup")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(documents(spark, sf_dir, "doc_id", "text"))
