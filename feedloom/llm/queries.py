@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import language_id, lm_scoring, near_duplicates, neighbours, packing, quality_classifier, quality_rules, suffix_dedup, url_filter
+from feedloom.llm import language_id, lm_scoring, near_duplicates, neighbours, packing, quality_classifier, quality_rules, sentencepiece_codec, suffix_dedup, url_filter
 from feedloom.llm.common import documents, remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +76,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = remainder("doc_id", 10) == 0
     found = lm_scoring.scored(documents(spark, sf_dir, "doc_id", "text"), ~held_out)
     return found.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
+
+
+@query("op1_sentencepiece")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_codec.round_trip(documents(spark, sf_dir, "doc_id", "text"))
