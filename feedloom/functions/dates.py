@@ -7,32 +7,48 @@ from pyspark.sql import functions as F
 
 # The accepted layouts besides ISO 8601, tried in this order.
 RFC_2822 = r"^(?:[A-Za-z]{3}, *)?(\d{1,2} [A-Za-z]{3} \d{4} \d{2}:\d{2}:\d{2}).*$"
-US_LAYOUTS = ["M/d/yyyy HH:mm:ss", "M/d/yyyy HH:mm", "M/d/yyyy"]
-ISO_SHAPE = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}(:\d{2}(:\d{2}(\.\d{1,6})?)?)?(Z|[+-]\d{2}(:?\d{2})?)?)?$"
+RFC_OFFSET = r"^(?:[A-Za-z]{3}, *)?\d{1,2} [A-Za-z]{3} \d{4} \d{2}:\d{2}:\d{2} *([+-]\d{4})\b.*$"
+LAYOUTS = {
+    "M/d/yyyy HH:mm:ss": r"^\d+/\d+/\d{4} \d+:\d+:\d+$",
+    "M/d/yyyy HH:mm": r"^\d+/\d+/\d{4} \d+:\d+$",
+    "M/d/yyyy": r"^\d+/\d+/\d{4}$",
+    "yyyy/MM/dd": r"^\d{4}/\d{2}/\d{2}$",
+    "MMMM d, yyyy": r"^[A-Za-z]+ \d{1,2}, \d{4}$",
+    "MMM d, yyyy": r"^[A-Za-z]{3} \d{1,2}, \d{4}$",
+    "d-MMM-yyyy": r"^\d{1,2}-[A-Za-z]{3}-\d{4}$",
+    "yyyyMMdd": r"^\d{8}$",
+}
+ISO_SHAPE = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}(:\d{2}(:\d{2}(\.\d+)?)?)?(Z|[+-]\d{2}(:?\d{2})?)?)?$"
 
 
 def _layout(col: Column, layout: str) -> Column:
     return F.try_to_timestamp(col, F.lit(layout)).cast("timestamp_ntz")
 
 
+def _iso(text: Column) -> Column:
+    """ISO text with the fraction cut to microseconds, finer than which no time is stored."""
+    return F.when(text.rlike(ISO_SHAPE), F.regexp_replace(text, r"(\.\d{6})\d+", "$1"))
+
+
 def naive_timestamp(col: Column) -> Column:
     """Wall-clock time from a text; a zone is ignored, anything unreadable is null."""
     text = F.trim(col)
     rfc = F.nullif(F.regexp_extract(text, RFC_2822, 1), F.lit(""))
     return F.coalesce(
-        F.when(text.rlike(ISO_SHAPE), text.try_cast("timestamp_ntz")),
+        _iso(text).try_cast("timestamp_ntz"),
         _layout(rfc, "d MMM yyyy HH:mm:ss"),
-        *[_layout(text, layout) for layout in US_LAYOUTS],
+        *[F.when(text.rlike(shape), _layout(text, layout)) for layout, shape in LAYOUTS.items()],
     )
 
 
 def instant(col: Column) -> Column:
-    """A point in time from a text; a text without zone counts as UTC, anything unreadable is null."""
+    """A point in time from a text; a text without offset counts as UTC, anything unreadable is null."""
     text = F.trim(col)
-    return F.coalesce(
-        F.when(text.rlike(ISO_SHAPE), text.try_cast("timestamp")),
-        naive_timestamp(text).cast("timestamp"),
-    )
+    offset = F.nullif(F.regexp_extract(text, RFC_OFFSET, 1), F.lit(""))
+    minutes = F.substring(offset, 2, 2).cast("int") * 60 + F.substring(offset, 4, 2).cast("int")
+    seconds = F.coalesce(F.when(offset.startswith("-"), -minutes).otherwise(minutes) * 60, F.lit(0))
+    wall = naive_timestamp(text).cast("timestamp")
+    return F.coalesce(_iso(text).try_cast("timestamp"), wall - F.make_dt_interval(secs=seconds))
 
 
 def naive_utc(col: Column) -> Column:
@@ -47,12 +63,12 @@ def warehouse_timestamp(col: Column) -> Column:
 
 def is_iso(col: Column) -> Column:
     """Whether the text is an ISO 8601 date or date-time; null is not."""
-    return F.coalesce(col.rlike(ISO_SHAPE) & col.try_cast("timestamp").isNotNull(), F.lit(False))
+    return F.coalesce(_iso(col).try_cast("timestamp").isNotNull(), F.lit(False))
 
 
 def epoch_millis(col: Column) -> Column:
     """Milliseconds since 1970 from a date text; null or unreadable gives 0."""
-    iso = F.when(is_iso(F.trim(col)), F.trim(col).try_cast("timestamp"))
+    iso = _iso(F.trim(col)).try_cast("timestamp")
     return F.coalesce(F.unix_millis(F.coalesce(iso, naive_timestamp(col).cast("timestamp"))), F.lit(0).cast("long"))
 
 

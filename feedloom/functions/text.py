@@ -113,8 +113,9 @@ def truth(col: Column) -> Column:
 
 
 def number(col: Column, default: float | None = None) -> Column:
-    """A double, or ``default`` when the text is not a number."""
-    parsed = col.try_cast("double")
+    """A double, or ``default`` when the text is not a decimal number, infinite or not a number."""
+    decimal = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|nan|inf(inity)?)\s*$"
+    parsed = F.when(col.cast("string").rlike(decimal), col.try_cast("double"))
     return parsed if default is None else F.coalesce(parsed, F.lit(default))
 
 

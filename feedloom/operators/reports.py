@@ -102,19 +102,42 @@ def failure_streaks(reports: DataFrame) -> DataFrame:
 
 
 def update_feeds(feeds: DataFrame, reports: DataFrame, run_time: Column) -> DataFrame:
-    """The feeds table with the statistics of the latest run; feeds without a run stay as they are."""
+    """The feeds table with the statistics of its finished runs; feeds without a run stay as they are.
+
+    Counts are added to the stored ones. Where the table has ``last_checked_at``, only runs that began
+    after it count, so the same reports may be given again. The stored streak goes on while no run
+    succeeded; the last success and the last error stay where no newer one is known.
+    """
     finished = reports.filter(F.col("run_status").isin("SUCCESS", "FAILURE"))
+    averages = feed_averages(finished)
+    if "last_checked_at" in feeds.columns:
+        seen = feeds.select(F.col("id").alias("feed_id"), F.col("last_checked_at").alias("_seen"))
+        fresh = finished.join(seen, "feed_id").filter(F.col("_seen").isNull() | (F.col("start_time") > F.col("_seen")))
+        finished = fresh.drop("_seen")
     last = latest_reports(finished).select(
         "feed_id", F.col("run_status").alias("last_run_status"),
         F.col("processed_successfully").alias("unique_jobs_processed"),
         F.col("jobs_auto_approved").alias("cw_auto_approved_jobs"),
     )
-    stats = last.join(feed_averages(finished), "feed_id", "left").join(failure_streaks(finished), "feed_id", "left")
-    stats = stats.withColumnRenamed("feed_id", "id").withColumns(
-        {"last_checked_at": run_time, "updated_at": run_time}
+    stats = last.join(averages, "feed_id", "left").join(failure_streaks(finished), "feed_id", "left")
+    stored = {
+        c: F.col(f"_{c}") if c in feeds.columns else F.lit(None)
+        for c in ("error_count", "consecutive_failure_count", "last_succeeded_at", "last_error_message")
+    }
+    stats = stats.join(
+        feeds.select(F.col("id").alias("feed_id"), *[F.col(c).alias(f"_{c}") for c in stored if c in feeds.columns]), "feed_id"
     )
-    kept = [c for c in stats.columns if c == "id" or c in feeds.columns]
-    return upsert(feeds, stats.select(*kept).join(feeds.select("id"), "id", "left_semi"), "id", protected=())
+    streak = F.when(
+        F.col("last_succeeded_at").isNull(), F.coalesce(stored["consecutive_failure_count"], F.lit(0)) + F.col("consecutive_failure_count")
+    ).otherwise(F.col("consecutive_failure_count"))
+    stats = stats.withColumns({
+        "error_count": F.coalesce(stored["error_count"], F.lit(0)) + F.col("error_count"),
+        "consecutive_failure_count": streak,
+        "last_error_message": F.coalesce("last_error_message", stored["last_error_message"]),
+    }).withColumn("last_succeeded_at", F.coalesce("last_succeeded_at", stored["last_succeeded_at"]))
+    stats = stats.withColumnRenamed("feed_id", "id").withColumns({"last_checked_at": run_time, "updated_at": run_time})
+    kept = [c for c in stats.columns if c in feeds.columns]
+    return upsert(feeds, stats.select(*kept), "id", protected=())
 
 
 def last_errors(errors: DataFrame, keys: list[str], order: str, limit: int = LAST_ERRORS) -> DataFrame:

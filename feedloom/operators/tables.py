@@ -39,10 +39,11 @@ def upsert(
     """The target after updating matched rows and inserting new ones.
 
     Columns the source lacks keep their stored value, unknown source columns are ignored, protected
-    ones keep the stored value on an update. With ``order`` the last source row of a key counts.
+    ones keep the stored value on an update. With ``order`` the last source row of a key counts,
+    without it any one of them. Source rows without a key match nothing and are left out.
     """
-    if order is not None:
-        source = last_per_key(source, key, order)
+    source = source.filter(F.col(key).isNotNull())
+    source = source.dropDuplicates([key]) if order is None else last_per_key(source, key, order)
     given = [c for c in target.columns if c in source.columns]
     kept = target.join(source.select(key), key, "left_anti").select(*target.columns)
     from_store = [c for c in target.columns if c != key and (c in protected or c not in given)]
@@ -256,7 +257,8 @@ class TableStore:
 class BucketedTable:
     """One Parquet table cut into buckets by its key; a small change rewrites only the buckets it meets.
 
-    ``buckets`` bounds the number of folders and the list of touched buckets that steers the read. A
+    ``buckets`` bounds the number of folders and the list of touched buckets that steers the read; it is
+    part of the stored paths, and a table is refused that was cut into another number. A
     touched bucket is replaced by a partition overwrite after its new content has been written apart.
     Repeating an upsert gives the same table, so a repeated micro-batch does no harm.
     """
@@ -266,17 +268,22 @@ class BucketedTable:
         self.schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
 
     def _with_bucket(self, rows: DataFrame) -> DataFrame:
-        return rows.withColumn("_bucket", F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int"))
+        bucket = F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
+        return rows.withColumn("_buckets", F.lit(self.buckets)).withColumn("_bucket", bucket)
 
     def _read(self) -> DataFrame:
-        with_bucket = T.StructType([*self.schema.fields, T.StructField("_bucket", T.IntegerType())])
+        extra = [T.StructField(c, T.IntegerType()) for c in ("_buckets", "_bucket")]
+        with_bucket = T.StructType([*self.schema.fields, *extra])
         try:
-            return self.spark.read.schema(with_bucket).parquet(self.path)
+            rows = self.spark.read.schema(with_bucket).parquet(self.path)
         except AnalysisException:
             return self.spark.createDataFrame([], with_bucket)
+        if not rows.filter(F.col("_buckets") != self.buckets).isEmpty():
+            raise ValueError(f"{self.path} is not cut into {self.buckets} buckets")
+        return rows
 
     def read(self) -> DataFrame:
-        return self._read().drop("_bucket")
+        return self._read().drop("_buckets", "_bucket")
 
     def upsert(self, source: DataFrame, protected: Sequence[str] = STORE_PROTECTED) -> None:
         rows = materialise(self._with_bucket(source), "change")
@@ -285,9 +292,9 @@ class BucketedTable:
             return
         stored = self._read().filter(F.col("_bucket").isin(touched))
         fresh = materialise(upsert(stored, rows, self.key, protected), "buckets")
-        fresh.repartition("_bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-            "_bucket"
-        ).parquet(self.path)
+        # rebalanced, not only repartitioned: a large bucket is split among tasks
+        dealt = fresh.hint("rebalance", F.col("_bucket")).write.mode("overwrite")
+        dealt.option("partitionOverwriteMode", "dynamic").partitionBy("_buckets", "_bucket").parquet(self.path)
 
 
 def overwrite_feeds(rows: DataFrame, path: str, feed: str = "feed_id") -> None:

@@ -62,7 +62,8 @@ def parse_fragments(fragments: DataFrame, tags: Sequence[str], attributes: bool
         "rowTag": "job", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT, "ignoreNamespace": "true",
     }
     schema = tag_schema(tags, attributes)
-    parsed = fragments.withColumn("job", F.from_xml("fragment", schema.simpleString(), options))
+    # behind a generator, so that filters on the result are not pushed down as further parses
+    parsed = fragments.select("*", F.explode(F.array(F.from_xml("fragment", schema.simpleString(), options))).alias("job"))
     return parsed.filter(F.col("job").isNotNull() & F.col(f"job.{_CORRUPT}").isNull())
 
 
@@ -99,17 +100,19 @@ def mapped_postings(
     attributes: bool = False,
     extract: Callable[[str], Column] | None = None,
 ) -> DataFrame:
-    def value_of(tag: str) -> Column:
+    def raw_value(tag: str) -> Column:
         candidates = [F.nullif(strip(F.col("job")[tag.lower()]), F.lit(""))]
         if attributes:
             candidates.append(F.nullif(F.col("job")[f"_{tag.lower()}"], F.lit("")))
-        return unescape_web_address(F.coalesce(*candidates))
+        return F.coalesce(*candidates)
 
-    fields = mapped_fields(mappings, extract or value_of)
     targets = list(dict.fromkeys(mappings.values()))
     kept = [c for c in ("position", "file_path", "file_size") if c in parsed.columns]
-    rows = parsed.select(*fields, *kept)
-    return rows.filter(F.coalesce(*[F.col(t) for t in targets]).isNotNull()) if targets else rows
+    rows = parsed.select(*mapped_fields(mappings, extract or raw_value), *kept)
+    rows = rows.filter(F.coalesce(*[F.col(t) for t in targets]).isNotNull()) if targets else rows
+    if extract is not None:
+        return rows
+    return rows.select(*[unescape_web_address(F.col(t)).alias(t) for t in targets], *kept)
 
 
 def numbered(rows: DataFrame, name: str = "seq") -> DataFrame:
@@ -123,19 +126,29 @@ def numbered(rows: DataFrame, name: str = "seq") -> DataFrame:
 
 
 def raw_tags(fragments: DataFrame) -> DataFrame:
-    """All direct child tags with their text, for feeds whose tags are not known yet.
+    """All direct child tags with their text, and the attributes of the job, for feeds of unknown tags.
 
-    Native: the fragment is cut into ``<tag ...>text</tag>`` pieces by pattern.
+    Native: the fragment is cut into ``<tag ...>text</tag>`` and ``<tag/>`` pieces by pattern. An empty
+    element has an empty value, an attribute the position before all tags and ``_`` before its name.
     """
-    piece = r"(?s)<([A-Za-z_][\w.:-]*)(?:\s[^>]*)?>((?:(?!<\1[\s>]).)*?)</\1>"
+    piece = r"(?s)<([A-Za-z_][\w.:-]*)(?:\s[^>]*?)?(?:/>|>((?:(?!<\1[\s>]).)*?)</\1>)"
     inner = F.regexp_replace("fragment", rf"(?s)^<job[^>]*>(.*){END}$", "$1")
+    opened = F.regexp_extract("fragment", r"(?s)^<job\s([^>]*)>", 1)
+    attribute = r"""([A-Za-z_][\w.:-]*)\s*=\s*["']([^"']*)["']"""
     pieces = F.arrays_zip(
-        F.regexp_extract_all(inner, F.lit(piece), F.lit(1)).alias("tag"),
-        F.regexp_extract_all(inner, F.lit(piece), F.lit(2)).alias("value"),
+        F.concat(
+            F.transform(F.regexp_extract_all(opened, F.lit(attribute), F.lit(1)), lambda x: F.concat(F.lit("_"), x)),
+            F.regexp_extract_all(inner, F.lit(piece), F.lit(1)),
+        ).alias("tag"),
+        F.concat(
+            F.regexp_extract_all(opened, F.lit(attribute), F.lit(2)), F.regexp_extract_all(inner, F.lit(piece), F.lit(2))
+        ).alias("value"),
     )
-    text = F.regexp_replace("p.value", r"(?s)^\s*<!\[CDATA\[(.*)\]\]>\s*$", "$1")
+    text = F.coalesce("p.value", F.lit(""))
     for entity, sign in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")):
         text = F.replace(text, F.lit(entity), F.lit(sign))
+    verbatim = F.regexp_extract("p.value", r"(?s)^\s*<!\[CDATA\[(.*)\]\]>\s*$", 1)
+    text = F.when(F.col("p.value").rlike(r"(?s)^\s*<!\[CDATA\[.*\]\]>\s*$"), verbatim).otherwise(text)
     return fragments.select("file_path", "fragment", F.posexplode(pieces).alias("pos", "p")).select(
         "file_path", "fragment", "pos", F.col("p.tag").alias("tag"), unescape_web_address(strip(text)).alias("value")
     )
