@@ -8,8 +8,9 @@ independent samples, at about the cost of one hash per shingle.
 
 Texts of one set are one class, represented by its smallest id. Representatives that share a band
 meet in a bucket. Each is first verified against one hub of the bucket; what is then in one component
-needs no more comparisons, and only pairs across components are verified after that. Verification
-counts the common shingles of the full sets.
+needs no more comparisons. Texts with too few shingles in other components drop out, further hubs join
+most of a large rest, and what pairs across components are left are verified in blocks. Verification counts the
+common shingles of the full sets.
 """
 
 from __future__ import annotations
@@ -17,12 +18,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.llm.common import BASE, Spans, batch_of, lowered, mixed, row_of, text_buffer, word_limits
-from feedloom.operators.components import components_by_star
+from feedloom.llm.graph import components
 from feedloom.session import materialise
 
 WIDTH = 5
@@ -30,6 +32,12 @@ PERCENT = 85
 #: 30 bands of 7 coordinates miss a pair at a similarity of 0.85 with a chance of 1e-5, at 0.9 of 3e-9.
 BANDS = 30
 ROWS = 7
+#: Rounds of comparing with one hub per bucket before pairs across the components left are formed.
+TURNS = 4
+#: Texts of a cluster that are in memory together, twice.
+BLOCK = 256
+#: Such a round is worth its price while the pairs left are more than so many for each row in the buckets.
+PAIRS_PER_ROW = 100
 #: Bytes of text whose shingles are in memory at once; a longer text is taken alone.
 CHUNK_BYTES = 4_000_000
 ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -166,11 +174,65 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataF
     )
 
 
-def _alike_sizes(a: str, b: str, percent: int):
+def _alike_sizes(a: Column, b: Column, percent: int) -> Column:
     """No pair can reach the limit whose smaller set has less than this share of the larger one."""
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
+def _able(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The rows of ``rest`` whose set could still reach the limit with one of another component, with its
+    number of shingles ``shared`` with other components.
+
+    Common shingles of two components' texts occur in both; a text with too few shingles that any other
+    component here holds is linked with none of them.
+    """
+    members = rest.select("id", "component", "n").distinct()
+    each = members.join(sets, "id").select("id", "component", "n", F.explode("shingles").alias("shingle"))
+    shared = each.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("shingle")
+    able = each.join(shared, "shingle").groupBy("id", "n").agg(F.count(F.lit(1)).alias("shared"))
+    return rest.join(able.filter(100 * F.col("shared") >= percent * F.col("n")).select("id", "shared"), "id")
+
+
+def _across(rest: DataFrame, sets: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
+    """The links ``(a, b)`` between components of texts that share buckets, directly or over others.
+
+    Such texts form a cluster, cut into blocks of about ``block`` texts. Two blocks meet in one task, which
+    counts the common shingles of all their pairs as a product of incidence matrices and returns the links.
+    """
+    lows = rest.groupBy("key").agg(F.min("id").alias("a"))
+    shares = materialise(rest.join(lows, "key").select("a", F.col("id").alias("b")).distinct(), "shares")
+    members = rest.select("id", "component").distinct().join(components(shares).withColumnRenamed("component", "cluster"), "id")
+    sizes = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
+    members = members.join(sizes, "cluster").withColumn("blocks", F.ceil(F.col("m") / block).cast("int"))
+    members = members.withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    cells = members.select("cluster", "id", "component", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    cells = cells.select("cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "id", "component").join(sets, "id")
+
+    def links(cell: pd.DataFrame) -> pd.DataFrame:
+        cell = cell.sort_values("id")
+        ids, of = cell["id"].to_numpy(), cell["component"].to_numpy()
+        sizes = cell["shingles"].map(len).to_numpy()
+        row = np.repeat(np.arange(len(ids)), sizes)
+        column = np.unique(np.concatenate(cell["shingles"].to_list()), return_inverse=True)[1]
+        # shingles of one text alone are never common
+        often = np.bincount(column) > 1
+        place = np.cumsum(often) - 1
+        row, column = row[often[column]], place[column[often[column]]]
+        order = np.argsort(column, kind="stable")
+        row, column = row[order], column[order]
+        common = np.zeros((len(ids), len(ids)), np.float32)
+        for begin in range(0, int(often.sum()), 4096):
+            low, high = np.searchsorted(column, [begin, begin + 4096])
+            held = np.zeros((len(ids), 4096), np.float32)
+            held[row[low:high], column[low:high] - begin] = 1
+            common += held @ held.T
+        linked = 100 * common >= percent * (sizes[:, None] + sizes[None, :] - common)
+        a, b = np.nonzero(np.triu(linked & (of[:, None] != of[None, :]), 1))
+        return pd.DataFrame({"a": ids[a], "b": ids[b]})
+
+    return cells.groupBy("cluster", "i", "j").applyInPandas(links, "a long, b long").distinct()
+
+
 def near_duplicates(
     docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS
 ) -> DataFrame:
@@ -205,25 +267,34 @@ def near_duplicates(
         shingle_sets(texts, width).join(wanted, ["k1", "k2"]).filter("doc_id = id").select("id", "shingles").dropDuplicates(["id"]), "sets"
     )
     star = (
-        buckets.filter((F.col("id") != F.col("hub")) & _alike_sizes("n", "hub_n", percent))
+        buckets.filter((F.col("id") != F.col("hub")) & _alike_sizes(F.col("n"), F.col("hub_n"), percent))
         .select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
     )
     links = materialise(verified(star, sets, percent), "links")
-    found = materialise(components_by_star(links), "components")
-    # what is still in several components within a bucket: all pairs across them
-    label = F.coalesce("component", "id")
-    placed = buckets.select("key", "id", "n").join(found, "id", "left").select("key", "id", "n", label.alias("component"))
-    mixed_keys = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("key")
-    rest = materialise(placed.join(mixed_keys, "key", "left_semi"), "rest")
-    one, two = (rest.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("id", "n", "component")]) for s in ("a", "b"))
-    across = (
-        one.join(two, "key")
-        .filter((F.col("component_a") < F.col("component_b")) & _alike_sizes("n_a", "n_b", percent))
-        .select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct()
-        .join(star, ["a", "b"], "left_anti")
-    )
-    more = materialise(verified(across, sets, percent), "links")
-    whole = found if more.isEmpty() else materialise(components_by_star(links.union(more)), "components")
+    whole = components(links)
+    label = F.coalesce("component", "id").alias("component")
+    for turn in range(TURNS):
+        # buckets that still hold several components, without texts that cannot reach another one
+        placed = buckets.select("key", "id", "n").join(whole, "id", "left").select("key", "id", "n", label)
+        open_keys = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("key")
+        rest = materialise(placed.join(open_keys, "key", "left_semi"), "rest")
+        rest = materialise(_able(rest, sets, percent), "rest")
+        groups = rest.groupBy("key", "component").agg(F.count(F.lit(1)).alias("m")).groupBy("key")
+        groups = groups.agg(F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("own"))
+        held, pairs = groups.agg(F.sum("m"), F.sum((F.col("m") * F.col("m") - F.col("own")) / 2)).first()
+        if not pairs or pairs <= PAIRS_PER_ROW * held or turn == TURNS - 1:
+            break
+        # the text with the fewest shingles of its own is nearest to what the bucket has in common
+        lead = F.min(F.struct((F.col("n") - F.col("shared")) / F.col("n"), F.xxhash64("id", F.lit(turn)), "id", "n", "component"))
+        hubs = rest.groupBy("key").agg(lead.alias("hub"))
+        star = (
+            rest.join(hubs, "key").filter((F.col("component") != F.col("hub.component")) & _alike_sizes(F.col("n"), F.col("hub.n"), percent))
+            .select(F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b")).distinct()
+        )
+        links = materialise(links.union(verified(star, sets, percent)), "links")
+        whole = components(links)
+    if pairs:
+        whole = components(materialise(links.union(_across(rest, sets, percent)), "links"))
     named = classes.select("k1", "k2", "id").join(whole, "id", "left").select("k1", "k2", label.alias("component_id"))
     with_words = every.filter("n_shingles > 0").join(named, ["k1", "k2"])
     out = with_words.select("doc_id", "n_shingles", "component_id").unionByName(
