@@ -86,9 +86,16 @@ def chunk_rows(first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return at, np.minimum(at + 1, first[doc + 1] - 1), doc
 
 
+def _own(found: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Responses by block; the last window of a document reaches into the next one and does not count."""
+    found = found.reshape(-1, PER_BLOCK, FILTERS)
+    found[first[1:] - 1, -1] = found[first[1:] - 1, -2]
+    return found
+
+
 def log_odds(net: Network, data: np.ndarray, first: np.ndarray) -> np.ndarray:
-    found = np.ascontiguousarray(windows(inputs(net, data))) @ net.filters
-    highest = np.maximum(found.reshape(-1, PER_BLOCK, FILTERS).max(axis=1) + net.bias, 0)
+    found = _own(np.ascontiguousarray(windows(inputs(net, data))) @ net.filters, first)
+    highest = np.maximum(found.max(axis=1) + net.bias, 0)
     one, two, doc = chunk_rows(first)
     odds = np.maximum(highest[one], highest[two]) @ net.weights + net.offset[0]
     return np.bincount(doc, odds, len(first) - 1) / np.bincount(doc, minlength=len(first) - 1)
@@ -97,7 +104,7 @@ def log_odds(net: Network, data: np.ndarray, first: np.ndarray) -> np.ndarray:
 def _step(net: Network, data: np.ndarray, first: np.ndarray, y: np.ndarray) -> Network:
     """The gradient of the mean logistic loss."""
     view = np.ascontiguousarray(windows(inputs(net, data)))
-    found = (view @ net.filters + net.bias).reshape(-1, PER_BLOCK, FILTERS)
+    found = _own(view @ net.filters + net.bias, first)
     place = found.argmax(axis=1)
     highest = np.take_along_axis(found, place[:, None, :], axis=1)[:, 0]
     one, two, doc = chunk_rows(first)
