@@ -2,8 +2,8 @@
 
 Every window of ``LENGTH`` bytes holds an anchor: the place whose ``GRAM`` bytes have the lowest hash in
 the window. Equal windows have equal anchors, so two suffixes need comparing only where an anchor's
-bytes repeat, and only within a frame: ``LENGTH - GRAM`` bytes to the left of the anchor and ``LENGTH``
-bytes from it on. A repeat of ``LENGTH`` bytes or more is covered by the frames of its anchors.
+bytes repeat, and only within a frame, the bytes of the windows that the anchor belongs to. A repeat of
+``LENGTH`` bytes or more is covered by the frames of its anchors.
 
 The suffixes of one anchor value form a group. A task sorts the suffixes of many groups at once, with
 the common prefixes of neighbours beside them, and a stack scan of these gives the tree of
@@ -31,9 +31,9 @@ LENGTH = 100
 GRAM = 24
 LEFT = LENGTH - GRAM
 #: Suffixes of one anchor value that one task sorts together.
-GROUP_ROWS = 2_000
-CHUNK_BYTES = 4_000_000
-HIGH = np.uint64(0xFFFFFFFFFFFFFFFF)
+GROUP_ROWS = 5_000
+CHUNK_BYTES = 500_000
+TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
 def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
@@ -41,7 +41,7 @@ def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
     n = len(values) - width + 1
     if n <= 0:
         return values[:0]
-    padded = np.full(-(-len(values) // width) * width, HIGH)
+    padded = np.full(-(-len(values) // width) * width, TOP)
     padded[: len(values)] = values
     blocks = padded.reshape(-1, width)
     ahead = np.minimum.accumulate(blocks, axis=1).reshape(-1)
@@ -49,25 +49,40 @@ def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[:n], ahead[width - 1 : width - 1 + n])
 
 
-def anchors(data: np.ndarray, limits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row, place and hash of the anchors of all rows; rows shorter than a window have none."""
+def gram_hashes(data: np.ndarray) -> np.ndarray:
+    """Hash of the ``GRAM`` bytes from each place, as three words of 8 bytes."""
+    n = len(data) - GRAM + 1
+    words = np.ndarray(n + 16, "<u8", data, strides=(1,))
+    found = words[:n] * np.uint64(0x9E3779B97F4A7C15)
+    found ^= found >> np.uint64(29)
+    found += words[8 : n + 8]
+    found *= np.uint64(0xBF58476D1CE4E5B9)
+    found ^= found >> np.uint64(32)
+    found += words[16:]
+    found *= np.uint64(0x94D049BB133111EB)
+    found ^= found >> np.uint64(31)
+    return found * np.uint64(0xD6E8FEB86659FD93)
+
+
+def anchors(data: np.ndarray, limits: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The anchors of all rows: row, place, hash, and the first and last window that each is the anchor of.
+
+    A window's anchor is its leftmost place of lowest hash. Rows shorter than a window have none.
+    """
     none = np.zeros(0, np.int64)
     if len(data) < LENGTH:
-        return none, none, np.zeros(0, np.uint64)
-    grams = Spans(data).windows(GRAM)
-    grams = np.append(grams, np.full(len(data) - len(grams), HIGH))[: len(data)]
-    # a place where no window of its own row begins takes no part as a gram either
-    at = np.arange(len(data))
-    row = np.repeat(np.arange(len(limits) - 1), np.diff(limits))
-    left = limits[row + 1] - at
-    grams[left < GRAM] = HIGH
-    lowest = sliding_minimum(grams, LEFT + 1)
-    lowest[left[: len(lowest)] < LENGTH] = 0
-    # a place is an anchor if one of the windows around it has its hash as lowest
-    reach = np.concatenate([np.zeros(LEFT, np.uint64), lowest, np.zeros(LEFT, np.uint64)])
-    highest = HIGH - sliding_minimum(HIGH - reach, LEFT + 1)
-    found = np.flatnonzero((grams[: len(highest)] <= highest[: len(grams)]) & (grams[: len(highest)] < HIGH))
-    return row[found], found, grams[found]
+        return none, none, np.zeros(0, np.uint64), none, none
+    grams = gram_hashes(np.ascontiguousarray(data))
+    order = (grams & ~np.uint64(0xFFFFFFFF)) | np.arange(len(grams), dtype=np.uint64)
+    lowest = (sliding_minimum(order, LEFT + 1) & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    for end in limits[1:].tolist():
+        lowest[max(end - LENGTH + 1, 0) : end] = -1
+    first = np.flatnonzero(np.append(True, lowest[1:] != lowest[:-1]))
+    last = np.append(first[1:], len(lowest)) - 1
+    fine = lowest[first] >= 0
+    first, last = first[fine], last[fine]
+    place = lowest[first]
+    return row_of(limits, place), place, grams[place], first, last
 
 
 def _chunks(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -86,7 +101,7 @@ def anchor_rows(docs: DataFrame) -> DataFrame:
         for batch in batches:
             ids = batch.column(0).to_numpy()
             for begin, end, data, limits in _chunks(batch, 1):
-                row, _, h = anchors(data, limits)
+                row, _, h, _, _ = anchors(data, limits)
                 order = np.lexsort((h, row))
                 row, h = row[order], h[order]
                 new = np.ones(len(row), bool)
@@ -188,7 +203,6 @@ def frame_repeats(h: np.ndarray, doc: np.ndarray, place: np.ndarray, left: pa.Ar
     order, common = _sorted_contexts(rights, right_sizes, group, tie)
     left_order, left_common = _sorted_contexts(lefts, left_sizes, group, tie)
     # frames that are equal on both sides are one member
-    same = np.zeros(len(h), np.int64)
     right_class = np.empty(len(h), np.int64)
     right_class[order] = np.cumsum(~_equal_neighbours(order, common, right_sizes, group))
     left_class = np.empty(len(h), np.int64)
@@ -267,7 +281,7 @@ def frames(candidates: DataFrame) -> DataFrame:
             known_h = flat.field("h").to_numpy().view(np.uint64)
             known_hot = flat.field("hot").to_numpy(zero_copy_only=False)
             for begin, end, data, limits in _chunks(batch, 1):
-                row, place, h = anchors(data, limits)
+                row, place, h, first, last = anchors(data, limits)
                 mine = (known_row >= begin) & (known_row < end)
                 key = mixed(known_h[mine] ^ mixed((known_row[mine] - begin).astype(np.uint64)))
                 order = np.argsort(key)
@@ -275,15 +289,14 @@ def frames(candidates: DataFrame) -> DataFrame:
                 own = mixed(h ^ mixed(row.astype(np.uint64)))
                 slot = np.minimum(np.searchsorted(key, own), max(len(key) - 1, 0))
                 fits = key[slot] == own if len(key) else np.zeros(len(own), bool)
-                row, place, h, hot = row[fits], place[fits], h[fits], hot_of[slot[fits]] if len(key) else np.zeros(0, bool)
-                before = np.maximum(place - LEFT, limits[row])
-                after = np.minimum(place + LENGTH, limits[row + 1])
+                row, place, h, before, after = row[fits], place[fits], h[fits], first[fits], last[fits] + LENGTH
+                hot = hot_of[slot[fits]] if len(key) else np.zeros(0, bool)
                 doc, at = ids[begin:end][row], place - limits[row]
                 spans = Spans(data)
                 whole = mixed(spans.hashes(before, after) ^ mixed((place - before).astype(np.uint64)))
-                lead, later = _earliest(whole, doc, at)
-                later &= after - before >= LENGTH
-                alike = _same_bytes(data, before, after, lead) & later
+                lead, alike = _earliest(whole, doc, at)
+                again = np.flatnonzero(alike)
+                alike[again] = _same_bytes(data, before[again], after[again], before[lead[again]], after[lead[again]])
                 yield _frame_batch(1, h[alike], None, doc[alike], at[alike], (place - before)[alike], (after - place)[alike], None, None)
                 rest = ~alike
                 hot_rows, cool = np.flatnonzero(rest & hot), np.flatnonzero(rest & ~hot)
@@ -292,10 +305,8 @@ def frames(candidates: DataFrame) -> DataFrame:
                     _pieces(data, before[cool], place[cool], reverse=True), _pieces(data, place[cool], after[cool]),
                 )
                 if len(hot_rows):
-                    count = np.maximum(after[hot_rows] - before[hot_rows] - LENGTH + 1, 0)
-                    count = np.minimum(count, place[hot_rows] - before[hot_rows] + 1)
+                    count = after[hot_rows] - before[hot_rows] - LENGTH + 1
                     start = np.repeat(before[hot_rows], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-                    start = np.unique(start)
                     of = row_of(limits, start)
                     second = Spans(data[::-1].copy()).hashes(len(data) - start - LENGTH, len(data) - start)
                     yield _frame_batch(
@@ -306,13 +317,14 @@ def frames(candidates: DataFrame) -> DataFrame:
     return candidates.mapInArrow(work, FRAMES)
 
 
-def _same_bytes(data: np.ndarray, before: np.ndarray, after: np.ndarray, lead: np.ndarray) -> np.ndarray:
-    """Whether each frame equals its lead byte by byte."""
-    equal = (after - before) == (after - before)[lead]
+def _same_bytes(data: np.ndarray, begin: np.ndarray, end: np.ndarray, other: np.ndarray, other_end: np.ndarray) -> np.ndarray:
+    """Whether the two spans of each entry hold the same bytes."""
+    equal = (end - begin) == (other_end - other)
     for k in range(LEFT + LENGTH):
-        inside = equal & (before + k < after)
-        at = np.flatnonzero(inside)
-        equal[at] = data[before[at] + k] == data[before[lead[at]] + k]
+        at = np.flatnonzero(equal & (begin + k < end))
+        if not len(at):
+            break
+        equal[at] = data[begin[at] + k] == data[other[at] + k]
     return equal
 
 
@@ -328,34 +340,54 @@ def _frame_batch(kind, h, g, doc, place, before, after, left, right) -> pa.Recor
 
 
 def maximal_repeats(frame_rows: DataFrame) -> DataFrame:
-    """``(repeat_id, doc_id, start, end, first)`` from frames to compare: all occurrences of each repeat.
+    """``(kind, repeat_id, h, g, doc_id, start, end, first)`` from frames: all occurrences of each repeat.
 
-    ``first`` marks the earliest occurrence. A repeat reaches as far as the frame around its anchor, so
-    a longer one comes as overlapping repeats of its several anchors.
+    Frames of kind 0 give rows of kind 0, one for each occurrence of a maximal repeat; ``first`` marks the
+    earliest. A repeat reaches as far as the frame around its anchor, so a longer one comes as overlapping
+    repeats of its several anchors. Rows of the other kinds pass as they are, dealt to all tasks.
     """
-    dealt = frame_rows.filter("kind = 0").select("h", "doc_id", "place", "left_part", "right_part").repartition("h").sortWithinPartitions("h")
+    key = F.when(F.col("kind") == 0, F.col("h")).otherwise(F.xxhash64("doc_id", "place"))
+    dealt = frame_rows.withColumn("key", key).repartition("key").sortWithinPartitions("kind", "key")
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = None
-        for batch in batches:
-            table = pa.Table.from_batches([batch] if rest is None else [rest, batch]).combine_chunks()
-            h = table.column("h").to_numpy()
-            cut = int(np.searchsorted(h, h[-1])) if len(h) else 0
-            if cut:
-                yield from solve(table.slice(0, cut))
-            rest = table.slice(cut).combine_chunks().to_batches()[0] if len(h) > cut else None
-        if rest is not None:
-            yield from solve(pa.Table.from_batches([rest]))
+    def passed(table: pa.Table) -> pa.RecordBatch:
+        part = {c: table.column(c).combine_chunks() for c in table.column_names}
+        n, place = table.num_rows, part["place"].to_numpy()
+        return batch_of(
+            kind=part["kind"], repeat_id=pa.nulls(n, pa.int64()), h=part["h"], g=part["g"], doc_id=part["doc_id"],
+            start=place - part["before"].to_numpy(), end=place + part["after"].to_numpy(), first=np.zeros(n, bool),
+        )
 
-    def solve(table: pa.Table) -> Iterator[pa.RecordBatch]:
+    def solved(table: pa.Table) -> pa.RecordBatch:
         part = {c: table.column(c).combine_chunks() for c in table.column_names}
         h, doc, place = (part[c].to_numpy() for c in ("h", "doc_id", "place"))
         group, row, left, right, head = frame_repeats(h, doc, place, part["left_part"], part["right_part"])
         name = mixed(h[row].view(np.uint64) ^ mixed(group.astype(np.uint64))).view(np.int64)
         first = (doc[row] == doc[head]) & (place[row] == place[head])
-        yield batch_of(repeat_id=name, doc_id=doc[row], start=place[row] - left, end=place[row] + right, first=first)
+        return batch_of(
+            kind=np.zeros(len(row), np.int32), repeat_id=name, h=h[row], g=pa.nulls(len(row), pa.int64()), doc_id=doc[row],
+            start=place[row] - left, end=place[row] + right, first=first,
+        )
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in batches:
+            compare = int(np.searchsorted(batch.column("kind").to_numpy(), 1))
+            if compare < batch.num_rows:
+                yield passed(pa.Table.from_batches([batch.slice(compare)]))
+            if not compare:
+                continue
+            table = pa.Table.from_batches([batch.slice(0, compare)] if rest is None else [*rest.to_batches(), batch.slice(0, compare)]).combine_chunks()
+            h = table.column("h").to_numpy()
+            cut = int(np.searchsorted(h, h[-1]))
+            if cut:
+                yield solved(table.slice(0, cut))
+            rest = table.slice(cut).combine_chunks()
+        if rest is not None:
+            yield solved(rest)
 
-    return dealt.mapInArrow(work, "repeat_id long, doc_id long, start long, end long, first boolean")
+    return dealt.drop("key").mapInArrow(
+        work, "kind int, repeat_id long, h long, g long, doc_id long, start long, end long, first boolean"
+    )
 
 
 def text_hash(text: str = "text"):
@@ -384,16 +416,14 @@ def covered(docs: DataFrame, group_rows: int = GROUP_ROWS) -> tuple[DataFrame, D
     kept = materialise(
         rows.join(wanted, "doc_id").filter(text_hash() == F.col("key")).select("doc_id", "text", "hs"), "candidates"
     )
-    parts = frames(kept)
-    made = materialise(parts.filter("kind > 0").drop("left_part", "right_part"), "frames")
-    repeats = maximal_repeats(parts)
-    later = repeats.filter("NOT first").select("doc_id", "start", "end")
-    near = made.filter("kind = 1").select("doc_id", (F.col("place") - F.col("before")).alias("start"), (F.col("place") + F.col("after")).alias("end"))
-    windows = made.filter("kind = 2").select("h", "g", "doc_id", "place")
-    firsts = windows.groupBy("h", "g").agg(F.min(F.struct("doc_id", "place")).alias("first"))
-    hot = windows.join(firsts, ["h", "g"]).filter((F.col("doc_id") != F.col("first.doc_id")) | (F.col("place") != F.col("first.place")))
-    hot = hot.select("doc_id", F.col("place").alias("start"), (F.col("place") + LENGTH).alias("end"))
-    spans = later.unionByName(near).unionByName(hot).groupBy("doc_id").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    repeats = maximal_repeats(frames(kept)).filter("NOT first").select("kind", "h", "g", "doc_id", "start", "end")
+    repeats = materialise(repeats, "repeats")
+    later = repeats.filter("kind < 2").select("doc_id", "start", "end")
+    windows = repeats.filter("kind = 2").select("h", "g", "doc_id", "start", "end")
+    firsts = windows.groupBy("h", "g").agg(F.min(F.struct("doc_id", "start")).alias("lead"))
+    hot = windows.join(firsts, ["h", "g"]).filter((F.col("doc_id") != F.col("lead.doc_id")) | (F.col("start") != F.col("lead.start")))
+    hot = hot.select("doc_id", "start", "end")
+    spans = later.unionByName(hot).groupBy("doc_id").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     return every, kept.select("doc_id", "text").join(spans, "doc_id")
 
 
