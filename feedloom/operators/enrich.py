@@ -23,7 +23,6 @@ MISMATCH = "AI response length mismatch"
 TOO_LARGE = "Single job exceeds model token limit"
 BATCH_FAILED = "Batch processing failed with exception: "
 MISSING_DATA = "Missing data for function classification"
-CONTEXT_CHARS = 200_000
 WEEK_SECONDS = 60 * 60 * 24 * 7
 
 # The results of the three enrichment steps.
@@ -252,55 +251,18 @@ def prompt(
     request: str,
     context: Column | None = None,
     context_title: str = "",
+    context_chars: int | None = None,
 ) -> Column:
-    """The text of a batch: introduction, numbered blocks, bounded context and request."""
+    """The text of a batch: introduction, numbered blocks, context and request.
+
+    ``context_chars`` cuts the context; by default it stands whole.
+    """
     parts = [F.lit(introduction), numbered_blocks(items, block)]
     if context is not None:
-        parts += [F.lit(context_title), F.substring(context, 1, CONTEXT_CHARS)]
+        parts += [F.lit(context_title), context if context_chars is None else F.substring(context, 1, context_chars)]
     return F.concat_ws("\n", *parts, F.lit(request))
 
 
-def keyword_rules(rows: list[dict]) -> list[dict]:
-    """A batch function without any service: attributes by simple rules, for tests and dry runs."""
-    out = []
-    for row in rows:
-        words = [w for w in (row.get("description") or "").lower().split() if w.isalpha()]
-        longest = sorted(set(words), key=lambda w: (-len(w), w))
-        out.append(
-            {
-                "ai_title": (row.get("title") or "").strip().title(),
-                "ai_description": " ".join(words[:40]),
-                "ai_job_tasks": longest[:3],
-                "ai_search_terms": longest[:5],
-                "ai_top_tags": longest[:3],
-                "ai_skills": longest[:4],
-                "sector_id": 1 + len(words) % 3,
-                "industry_group_id": 1 + len(words) % 5,
-                "industry_id": 1 + len(words) % 8,
-                "confidence_score": float(min(100, len(set(words)))),
-                "reasoning_industry": "by word count",
-                "reasoning_confidence": "by distinct words",
-            }
-        )
-    return out
-
-
-def first_function(rows: list[dict]) -> list[dict]:
-    """A batch function that takes the first listed job function."""
-    return [
-        {"job_function_id": int(list(r["function_ids"])[0]), "reasoning": "first of the list"} for r in rows
-    ]
-
-
-def joined_terms(rows: list[dict]) -> list[dict]:
-    """A batch function that joins the distinct terms of a posting."""
-    out = []
-    for row in rows:
-        terms = [t for name in ("ai_top_tags", "ai_search_terms", "ai_skills") for t in (row.get(name) if row.get(name) is not None else [])]
-        out.append({"searchable_text": ", ".join(dict.fromkeys(terms))})
-    return out
-
-
 def seconds(run_time: datetime) -> Column:
     """The run time as seconds since 1970."""
     return F.unix_timestamp(F.lit(run_time).cast("timestamp")).cast("double")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from feedloom.functions import places
 from feedloom.functions.hashing import canonical_hash
 from feedloom.operators import enrich, ordinals, routing, taxonomy
+from feedloom.plans import stand_ins
 from feedloom.plans.registry import hashed_postings, light_postings, postings, query, select_sql, table
 from feedloom.plans.scalars import PLACES_SQL
 
@@ -249,7 +250,7 @@ def ud5(spark, sf):
     empty = no_cache(spark, enrich.ATTRIBUTES)
     known = cached(spark, sf).select("job_hash", F.to_json("result").alias("j"))
     cache = empty.unionByName(known.select("job_hash", F.from_json("j", enrich.struct_type(enrich.ATTRIBUTES)).alias("result")))
-    out, _ = enrich.enrich(rows, cache, enrich.keyword_rules, enrich.ATTRIBUTES, "seq", ["title", "description"], delay=0.0)
+    out, _ = enrich.enrich(rows, cache, stand_ins.keyword_rules, enrich.ATTRIBUTES, "seq", ["title", "description"], delay=0.0)
     return out.select("seq", "ai_title", "industry_id", "confidence_score", "from_cache", "ai_enrichment_status")
 
 
@@ -271,7 +272,7 @@ def ud5_functions(spark, sf):
     ready, failed = enrich.split_failed(listed)
     ready = ready.withColumn("function_ids", F.transform("job_functions", lambda f: f["id"]))
     out, _ = enrich.enrich(
-        ready, no_cache(spark, enrich.SELECTION), enrich.first_function, enrich.SELECTION, "seq", ["function_ids"], ["industry_id"], delay=0.0
+        ready, no_cache(spark, enrich.SELECTION), stand_ins.first_function, enrich.SELECTION, "seq", ["function_ids"], ["industry_id"], delay=0.0
     )
     columns = ["seq", "job_function_id", "ai_enrichment_status", "ai_enrichment_error"]
     return out.select(*columns).unionByName(failed.withColumn("job_function_id", F.lit(None).cast("int")).select(*columns))
@@ -289,7 +290,7 @@ def ud5_searchable(spark, sf):
         F.array("employment_type").alias("ai_search_terms"), F.array("company_name").alias("ai_skills"),
     )
     terms = ["ai_top_tags", "ai_search_terms", "ai_skills"]
-    out, _ = enrich.enrich(rows, no_cache(spark, enrich.SEARCHABLE), enrich.joined_terms, enrich.SEARCHABLE, "seq", terms, delay=0.0)
+    out, _ = enrich.enrich(rows, no_cache(spark, enrich.SEARCHABLE), stand_ins.joined_terms, enrich.SEARCHABLE, "seq", terms, delay=0.0)
     return out.select("seq", "searchable_text", "from_cache")
 
 

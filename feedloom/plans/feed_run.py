@@ -30,9 +30,9 @@ class Feed:
 class Services:
     """What the run asks for: one function per enrichment step, a caller decides what they do."""
 
-    attributes: enrich.BatchFunction = enrich.keyword_rules
-    job_function: enrich.BatchFunction = enrich.first_function
-    searchable: enrich.BatchFunction = enrich.joined_terms
+    attributes: enrich.BatchFunction
+    job_function: enrich.BatchFunction
+    searchable: enrich.BatchFunction
     batch_rows: int = enrich.BATCH_ROWS
     retries: int = 3
     delay: float = 2.0
@@ -97,7 +97,7 @@ def run_feed(
     functions: DataFrame,
     gazetteer: DataFrame,
     run_time: datetime,
-    services: Services = Services(),
+    services: Services,
     limits: linkage.Thresholds = linkage.thresholds(),
     execution_id: int = 0,
     protect_failed: bool = True,

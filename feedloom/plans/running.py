@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from feedloom.plans import feed_run
+from feedloom.plans import feed_run, stand_ins
 from feedloom.plans.enriching import functions_of_industries, gazetteer
 from feedloom.plans.registry import postings, query
 from feedloom.plans.scans import MAPPINGS, TRIMMED, land_feed
@@ -78,7 +78,7 @@ def st3_distinct(spark, sf):
 
 
 def no_wait() -> feed_run.Services:
-    return feed_run.Services(delay=0.0)
+    return feed_run.Services(stand_ins.keyword_rules, stand_ins.first_function, stand_ins.joined_terms, delay=0.0)
 
 
 @query("e1_feed_run")

@@ -9,6 +9,7 @@ from feedloom.operators import tables
 from feedloom.operators.mapping import POSTING
 from feedloom.operators.taxonomy import JOB_FUNCTION
 from feedloom.plans.feed_run import Feed, Services, empty_tables, run_feed
+from feedloom.plans.stand_ins import first_function, joined_terms
 from feedloom.session import materialise
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -38,7 +39,7 @@ def context(spark):
 def run(spark, context, rows, stored, when, **feed):
     out = run_feed(
         spark.createDataFrame(rows, MAPPED), Feed(7, "feed", "Appcast", **feed), stored, *context, when,
-        Services(attributes=attributes, delay=0.0, batch_rows=1),
+        Services(attributes, first_function, joined_terms, delay=0.0, batch_rows=1),
     )
     for name in ("open", "review", "rejected", "archive", "mirror", "warehouse", "attribute_cache", "function_cache", "search_cache"):
         setattr(out.stored, name, materialise(getattr(out.stored, name), name))
@@ -109,7 +110,7 @@ def test_failed_postings_stay_stored(spark, context):
         raise ValueError("down")
 
     out = run_feed(
-        spark.createDataFrame(rows, MAPPED), Feed(7, "feed"), stored, *context, datetime(2024, 1, 2), Services(attributes=down, delay=0.0)
+        spark.createDataFrame(rows, MAPPED), Feed(7, "feed"), stored, *context, datetime(2024, 1, 2), Services(down, first_function, joined_terms, delay=0.0)
     )
     assert out.counters.first()["records_failed"] == 1
     assert out.stored.open.count() == 1

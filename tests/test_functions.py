@@ -236,3 +236,21 @@ def test_block_key(one):
     assert one(similarity.block_key, ddl, " Title ", "ACME", None, None) == "title|acme|"
     assert one(similarity.block_key, ddl, "Title", "ACME", "x", "Better") == "better|acme|x"
     assert one(similarity.block_key, ddl, "Title", "ACME", "x", "") == "title|acme|x"
+
+
+@pytest.mark.parametrize(
+    "raw, want",
+    [
+        ("Tue, 02 Jan 2024 10:00:00 +0200", "2024-01-02T08:00:00+00:00"), ("Tue, 02 Jan 2024 10:00:00 -0130", "2024-01-02T11:30:00+00:00"),
+        ("02 Jan 2024 10:00:00 GMT", "2024-01-02T10:00:00+00:00"), ("2024-01-02T10:00:00.1234567Z", "2024-01-02T10:00:00+00:00"),
+        ("January 2, 2024", "2024-01-02T00:00:00+00:00"), ("2024/01/02", "2024-01-02T00:00:00+00:00"),
+        ("02-Jan-2024", "2024-01-02T00:00:00+00:00"), ("20240102", "2024-01-02T00:00:00+00:00"), ("2024-99-99", None), ("12345678901", None),
+    ],
+)
+def test_warehouse_timestamps(one, raw, want):
+    assert one(dates.warehouse_timestamp, "x string", raw) == want
+
+
+@pytest.mark.parametrize("raw, want", [("12d", None), ("12f", None), ("0x1p3", None), (" -1.5e3 ", -1500.0), (".5", 0.5), ("7.", 7.0), ("", None)])
+def test_numbers_are_decimal(one, raw, want):
+    assert one(text.number, "x string", raw) == want

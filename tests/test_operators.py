@@ -320,3 +320,41 @@ def test_find_hash_source(spark):
     targets = rows.filter("seq = 1").select(base64_sha256(F.lit("T|C|FULL_TIME|long text")).alias("job_hash"))
     got = {(r["id"], r["recipe"]) for r in audit.find_hash_source(rows, targets).collect()}
     assert (1, "title, company, FULL_TIME, clean") in got and {i for i, _ in got} == {1}
+
+
+def test_upsert_of_repeated_and_missing_keys(spark):
+    target = spark.createDataFrame([("a", "old", 1, 1)], ROW)
+    source = spark.createDataFrame([("b", "new", 2, 2), ("b", "new", 2, 2), (None, "lost", 3, 3)], ROW)
+    got = tables.upsert(target, source)
+    assert sorted(r["job_hash"] for r in got.collect()) == ["a", "b"]
+
+
+def test_a_table_keeps_its_number_of_buckets(spark):
+    path = scratch_path(spark, "buckets")
+    tables.BucketedTable(spark, path, ROW, buckets=8).upsert(spark.createDataFrame([("a", "old", 1, 1)], ROW))
+    with pytest.raises(ValueError):
+        tables.BucketedTable(spark, path, ROW, buckets=16).read()
+
+
+def test_feed_statistics_add_to_the_stored_ones(spark):
+    feeds = spark.createDataFrame(
+        [(1, 7, 2, "2023-01-01", "old", "2023-06-01"), (2, 3, 1, None, "kept", None)],
+        "id int, error_count int, consecutive_failure_count int, last_succeeded_at string, last_error_message string, last_checked_at string",
+    )
+    feeds = feeds.withColumns({c: F.col(c).cast("timestamp") for c in ("last_succeeded_at", "last_checked_at")})
+    runs = spark.createDataFrame(
+        [
+            (1, "FAILURE", "2023-05-01", "seen before"), (1, "FAILURE", "2023-07-01", "fresh"),
+            (2, "FAILURE", "2023-07-01", "e"), (2, "SUCCESS", "2023-07-02", None), (2, "FAILURE", "2023-07-03", "last"),
+        ],
+        "feed_id int, run_status string, start_time string, error_message string",
+    )
+    runs = runs.withColumn("start_time", F.col("start_time").cast("timestamp"))
+    for c in ("processed_successfully", "jobs_auto_approved", "duration_seconds", "feed_file_size_bytes"):
+        runs = runs.withColumn(c, F.lit(1))
+    got = {r["id"]: r for r in reports.update_feeds(feeds, runs, F.lit("2024-01-01").cast("timestamp")).collect()}
+    assert (got[1]["error_count"], got[1]["consecutive_failure_count"], got[1]["last_error_message"]) == (8, 3, "fresh")
+    assert str(got[1]["last_succeeded_at"]) == "2023-01-01 00:00:00"
+    assert (got[2]["error_count"], got[2]["consecutive_failure_count"], got[2]["last_error_message"]) == (5, 1, "last")
+    again = reports.update_feeds(reports.update_feeds(feeds, runs, F.lit("2024-01-01").cast("timestamp")), runs, F.lit("2024-01-02").cast("timestamp"))
+    assert {r["id"]: r["error_count"] for r in again.collect()} == {1: 8, 2: 5}
