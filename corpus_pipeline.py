@@ -36,9 +36,14 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group of near duplicates, the one of smallest id, in one row."""
-    kept = near_duplicates.near_duplicates(docs, percent=80).filter("kept").select(F.col("doc_id").alias("__id"))
-    return docs.join(kept, docs["doc_id"] == F.col("__id"), "left_semi").dropDuplicates(["doc_id"])
+    """One document of every group of near duplicates, the one of smallest id, in one row.
+
+    30 bands of 5 coordinates miss a pair at a similarity of 0.8 with a chance of 7e-6.
+    """
+    found = near_duplicates.near_duplicates(docs, percent=80, bands=30, rows=5)
+    kept = docs.join(found.filter("kept").select(F.col("doc_id").alias("__id")), docs["doc_id"] == F.col("__id"), "left_semi")
+    repeated = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return kept if repeated.isEmpty() else kept.dropDuplicates(["doc_id"])
 
 
 def repeat_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -152,13 +152,13 @@ def test_mixer_is_a_distribution(spark):
     """The costs of all bytes that may follow a text add up to one."""
     docs = spark.createDataFrame([(i, "the cat sat on the mat " * 20) for i in range(9)], "doc_id long, text string")
     counts, _ = lm_scoring.gathered(docs)
-    nothing = lm_scoring.Blend(np.zeros(0, np.int64), np.zeros(0, np.int64), 0, 0, np.full(16, 0.5))
+    nothing = lm_scoring.Blend(np.zeros(0, np.int64), np.zeros(0, np.int64), 0, 0, np.zeros(16))
     mixer = lm_scoring.fitted(counts, nothing, docs.limit(3).toArrow().column("text"))
     start = np.frombuffer(b"the c", np.uint8)
     total = 0.0
     for byte in range(256):
         stream = np.append(start, np.uint8(byte))
-        total += math.exp(-mixer.cost(stream, np.zeros(len(stream), np.int64), 1)[-1])
+        total += math.exp(-mixer.cost(stream, lm_scoring.contexts(stream, np.zeros(len(stream), int)))[-1])
     assert total == pytest.approx(1, abs=1e-3)
 
 
