@@ -28,7 +28,7 @@ SWITCH = 8.0
 SLOTS = 1 << 16
 #: Share of a language's training words that makes a script one of its own.
 SCRIPT_SHARE = 0.01
-CHUNK_BYTES = 4_000_000
+CHUNK_BYTES = 1_000_000
 #: First and last code point of the scripts; the number of a script is its place, from 1.
 SCRIPTS = (
     ((0x41, 0x5A), (0x61, 0x7A), (0xC0, 0xD6), (0xD8, 0xF6), (0xF8, 0x24F), (0x1E00, 0x1EFF)),
