@@ -10,7 +10,7 @@ the common prefixes of neighbours beside them, and a stack scan of these gives t
 common-prefix intervals. Within an interval the bytes to the left are scanned likewise; where a left
 extension first differs, the occurrences below it are a maximal repeat of the frame. The first occurrence
 of each stays, all others are covered. Frames that are equal as a whole are combined before the
-shuffle. Anchor values with more than ``GROUP_ROWS`` rows go another, equally exact way: their
+shuffle. Anchor values with more than ``GROUP_ROWS`` occurrences go another, equally exact way: their
 windows are hashed and the first of each hash found by an aggregate with partial sums.
 """
 
@@ -33,6 +33,8 @@ LEFT = LENGTH - GRAM
 #: Suffixes of one anchor value that one task sorts together.
 GROUP_ROWS = 5_000
 CHUNK_BYTES = 500_000
+#: Frames of hot anchors whose windows are hashed at a time.
+HOT_FRAMES = 5_000
 TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -95,7 +97,7 @@ def _chunks(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, int, np.n
 
 
 def anchor_rows(docs: DataFrame) -> DataFrame:
-    """``(h, doc_id, n)``: anchor values of every document and how often it holds each, 2 at most."""
+    """``(h, doc_id, n)``: anchor values of every document and how often it holds each."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -107,10 +109,21 @@ def anchor_rows(docs: DataFrame) -> DataFrame:
                 new = np.ones(len(row), bool)
                 new[1:] = (row[1:] != row[:-1]) | (h[1:] != h[:-1])
                 first = np.flatnonzero(new)
-                n = np.minimum(np.diff(np.append(first, len(row))), 2)
-                yield batch_of(h=h[first].view(np.int64), doc_id=ids[begin:end][row[first]], n=n.astype(np.int32))
+                n = np.diff(np.append(first, len(row)))
+                yield batch_of(h=h[first].view(np.int64), doc_id=ids[begin:end][row[first]], n=n.astype(np.int64))
 
-    return docs.select("doc_id", "text").mapInArrow(work, "h long, doc_id long, n int")
+    return docs.select("doc_id", "text").mapInArrow(work, "h long, doc_id long, n long")
+
+
+def repeated_anchors(found: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
+    """``(doc_id, x)`` of the anchor values that stand in more than one place; ``x`` is ``(h, hot)``.
+
+    A value is hot with more than ``group_rows`` occurrences, however they are dealt to documents, so no
+    group of frames that one task sorts is larger.
+    """
+    counts = found.groupBy("h").agg(F.sum("n").alias("n")).filter("n > 1")
+    hot = (F.col("n") > group_rows).alias("hot")
+    return found.select("h", "doc_id").join(counts, "h").select("doc_id", F.struct("h", hot).alias("x"))
 
 
 def _interval_scan(common: list[int], least: int) -> Iterator[tuple[int, int, int]]:
@@ -304,11 +317,13 @@ def frames(candidates: DataFrame) -> DataFrame:
                     0, h[cool], None, doc[cool], at[cool], (place - before)[cool], (after - place)[cool],
                     _pieces(data, before[cool], place[cool], reverse=True), _pieces(data, place[cool], after[cool]),
                 )
-                if len(hot_rows):
-                    count = after[hot_rows] - before[hot_rows] - LENGTH + 1
-                    start = np.repeat(before[hot_rows], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+                backwards = Spans(data[::-1].copy()) if len(hot_rows) else None
+                for k in range(0, len(hot_rows), HOT_FRAMES):
+                    part = hot_rows[k : k + HOT_FRAMES]
+                    count = after[part] - before[part] - LENGTH + 1
+                    start = np.repeat(before[part], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
                     of = row_of(limits, start)
-                    second = Spans(data[::-1].copy()).hashes(len(data) - start - LENGTH, len(data) - start)
+                    second = backwards.hashes(len(data) - start - LENGTH, len(data) - start)
                     yield _frame_batch(
                         2, spans.hashes(start, start + LENGTH), second, ids[begin:end][of], start - limits[of],
                         np.zeros(len(start)), np.full(len(start), LENGTH), None, None,
@@ -408,8 +423,7 @@ def covered(docs: DataFrame, group_rows: int = GROUP_ROWS) -> tuple[DataFrame, D
         "doc_id", F.col("key.n").cast("long").alias("n_bytes"), "sha256", (F.col("doc_id") != F.col("lead")).alias("copy")
     )
     found = anchor_rows(rows.filter(F.length("text") >= LENGTH // 4))
-    counts = found.groupBy("h").agg(F.sum("n").alias("n")).filter("n > 1")
-    repeated = found.select("h", "doc_id").join(counts, "h").select("doc_id", F.struct("h", (F.col("n") > group_rows).alias("hot")).alias("x"))
+    repeated = repeated_anchors(found, group_rows)
     wanted = materialise(
         repeated.groupBy("doc_id").agg(F.collect_list("x").alias("hs")).join(leads.select(F.col("lead").alias("doc_id"), "key"), "doc_id"), "anchors"
     )

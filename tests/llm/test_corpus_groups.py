@@ -90,6 +90,27 @@ def test_removed_bytes_equal_all_windows(spark, group_rows):
     assert left == whole
 
 
+def test_one_document_makes_an_anchor_hot(spark):
+    """100,000 varied occurrences in one document are no group that one task sorts."""
+    draw = random.Random(9)
+    stamp = lambda: f"{draw.randrange(10**12):012d}"
+    fixed = "status=served upstream=primary bytes=4096 cache=miss agent=crawler zone=west "
+    text = "".join(fixed + stamp() for _ in range(100_000))
+    docs = spark.createDataFrame([(1, text), (2, "z" * 50 + text[:300])], "doc_id long, text string")
+    found = suffix_dedup.anchor_rows(docs)
+    assert found.agg(F.max("n")).first()[0] > 50_000
+    hot = suffix_dedup.repeated_anchors(found).groupBy("doc_id").agg(F.collect_list("x").alias("hs"))
+    frames = suffix_dedup.frames(docs.join(hot, "doc_id").select("doc_id", "text", "hs")).groupBy("kind", "h").count()
+    assert (frames.filter("kind = 0").agg(F.max("count")).first()[0] or 0) <= suffix_dedup.GROUP_ROWS
+    got = {r.doc_id: r for r in suffix_dedup.digest(docs).collect()}
+    # the windows of 100 bytes that repeat, counted plainly
+    windows, mask = {}, np.zeros(len(text), bool)
+    for i in range(len(text) - 99):
+        if windows.setdefault(text[i : i + 100], i) != i:
+            mask[i : i + 100] = True
+    assert (got[1].n_removed, got[2].n_removed) == (int(mask.sum()), 300)
+
+
 def test_maximal_repeats_have_all_occurrences():
     """Every repeat of a group is found with all its places, and no longer one holds the same places."""
     left = ["xab", "yab", "ab", "zzz"]
