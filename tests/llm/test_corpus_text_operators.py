@@ -85,6 +85,36 @@ def test_languages(spark):
     assert {r.lang_pred for r in nothing.collect()} == {"und"}
 
 
+def test_languages_of_every_script(spark):
+    """Scripts beyond the listed blocks are told, and letters of a script that nothing uses stay unknown."""
+    texts = {
+        "am": "ሰላም ለዓለም ቋንቋ", "bn": "আমার সোনার বাংলা আমি", "gu": "ગુજરાતી ભાષા છે", "ka": "ქართული ენა არის", "km": "ភាសា ខ្មែរ",
+        "lo": "ພາສາ ລາວ", "my": "မြန်မာ ဘာသာ", "pa": "ਪੰਜਾਬੀ ਭਾਸ਼ਾ", "si": "සිංහල භාෂාව", "ta": "தமிழ் மொழி ஆகும்", "te": "తెలుగు భాష", "ff": "𞤆𞤵𞤤𞤢𞤪 𞤀𞤁𞤂𞤢𞤃",
+    }
+    rows = [(i, "the cat and the dog", "en") for i in range(200)]
+    rows += [(1000 + i, text, name) for i, (name, text) in enumerate(sorted(texts.items()))]
+    model = language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    asked = [r[:2] for r in rows[199:]] + [(1, "ᏣᎳᎩ ᎦᏬᏂᎯᏍᏗ"), (2, "the 1º dog"), (3, "🙂 𝐗"), (4, "த the")]
+    got = {r.doc_id: r for r in language_id.identified(spark.createDataFrame(asked, "doc_id long, text string"), model).collect()}
+    assert {i: (got[i].lang_pred, got[i].score) for i, _, name in rows[200:]} == {i: (name, 1.0) for i, _, name in rows[200:]}
+    assert got[1].lang_pred == "en" and got[1].score == pytest.approx(200 / 212)
+    assert got[2].lang_pred == "en" and got[4].score == 0.75
+
+
+def test_every_labelled_language_is_learned(spark):
+    rows = [(1000 * k + i, f"{chr(97 + k % 26)}{chr(97 + k // 26)}zu " * 5, f"l{k:03d}") for k in range(200) for i in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r.lang_pred for r in language_id.identify(docs).collect()}
+    assert got == {i: name for i, _, name in rows}
+
+
+def test_spans_of_later_rows(spark):
+    """Places count from the begin of their own text, whichever texts are judged beside it."""
+    docs = spark.createDataFrame([(1, "the cat", "en"), (2, "кошка и", "ru")], "doc_id long, text string, lang string").coalesce(1)
+    got = language_id.identify(docs, spans=True).collect()
+    assert [(r.doc_id, [(s.start, s.end, s.lang) for s in r.spans]) for r in got] == [(1, [(0, 7, "en")]), (2, [(0, 13, "ru")])]
+
+
 def test_viterbi_equals_all_paths():
     draw = np.random.default_rng(5)
     from itertools import product
