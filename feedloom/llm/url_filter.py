@@ -17,10 +17,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.llm.common import batch_of, row_of, text_buffer
+from feedloom.session import materialise
 
 #: (rule text as host and path, verdict)
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
-#: Labelled rows that the trees are fitted on, at most about this many.
+#: Different labelled URLs that are drawn for the trees, at most about this many; beside them come those with
+#: as large a share of the rows as one in this many.
 SAMPLE_ROWS = 50_000
 #: Suffixes with statistics of their own; all rarer ones share the overall rate.
 SUFFIXES = 4_096
@@ -122,17 +124,19 @@ class Trees:
 
 
 def fit_trees(
-    x: np.ndarray, y: np.ndarray, trees: int = 60, depth: int = 4, rate: float = 0.15, penalty: float = 1.0, least: float = 5.0
+    x: np.ndarray, y: np.ndarray, trees: int = 60, depth: int = 4, rate: float = 0.15, penalty: float = 1.0, least: float = 5.0,
+    weights: np.ndarray | None = None,
 ) -> Trees:
-    """Logistic boosting with second-order gains over binned features."""
+    """Logistic boosting with second-order gains over binned features; each row counts by its weight, 1 if not given."""
+    weights = np.ones(len(x)) if weights is None else weights
     edges = [np.unique(np.quantile(x[:, f], np.linspace(0, 1, BINS + 1)[1:-1])) for f in range(x.shape[1])]
-    mean = np.clip(y.mean(), 1e-3, 1 - 1e-3)
+    mean = np.clip(np.average(y, weights=weights), 1e-3, 1 - 1e-3)
     model = Trees(edges, np.zeros((trees, 2**depth - 1), int), np.full((trees, 2**depth - 1), BINS), np.zeros((trees, 2**depth)), float(np.log(mean / (1 - mean))), depth)
     bins = model.binned(x)
     total = np.full(len(x), model.base)
     for t in range(trees):
         p = 1 / (1 + np.exp(-total))
-        g, h = p - y, np.maximum(p * (1 - p), 1e-6)
+        g, h = weights * (p - y), weights * np.maximum(p * (1 - p), 1e-6)
         node = np.zeros(len(x), np.int64)
         for level in range(depth):
             first, width = 2**level - 1, 2**level
@@ -179,18 +183,25 @@ def suffix_statistics(labelled: DataFrame, most: int = SUFFIXES) -> dict[str, tu
 def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[Trees | None, dict[str, tuple[float, float]]]:
     """Trees and suffix statistics from ``(url, host, path, label)`` with label 1 for block.
 
-    The trees see all rows up to ``sample_rows``, beyond that the share of the rows with the lowest
-    hashes that yields about so many. Without both labels there are no trees.
+    Copies of a URL are one row with their number as weight. The trees see all URLs up to ``sample_rows``;
+    beyond that, the share of them with the lowest hashes that yields about so many, and with the weight of
+    that share every URL that has a ``sample_rows``-th of all rows or more. Without both labels there are no
+    trees.
     """
     suffixes = suffix_statistics(labelled)
-    n = labelled.count()
-    draw = (F.xxhash64("url", F.lit(5)).bitwiseAND(F.lit(0xFFFFFFFF)) / F.lit(float(1 << 32))) <= min(1.0, sample_rows / max(n, 1))
-    sample = labelled.filter(draw).select("url", "host", "path", "label").toArrow().sort_by("url")
+    urls = materialise(labelled.groupBy("url", "host", "path", "label").agg(F.count(F.lit(1)).alias("n")), "urls")
+    distinct, total = urls.agg(F.count(F.lit(1)), F.sum("n")).first()
+    share = min(1.0, sample_rows / max(distinct, 1))
+    heavy = F.col("n") * sample_rows >= (total or 0)
+    drawn = (F.xxhash64("url", F.lit(5)).bitwiseAND(F.lit(0xFFFFFFFF)) / F.lit(float(1 << 32))) <= share
+    weight = F.when(heavy, F.col("n") * share).otherwise(F.col("n")).cast("double").alias("weight")
+    sample = urls.filter(heavy | drawn).select("url", "host", "path", "label", weight).toArrow().sort_by([("url", "ascending"), ("label", "ascending")])
     y = np.array(sample.column("label").to_pylist(), np.float64)
     if len(np.unique(y)) < 2:
         return None, suffixes
     column = lambda c: sample.column(c).combine_chunks()
-    return fit_trees(lexical_features(column("url"), column("host"), column("path"), suffixes), y), suffixes
+    x = lexical_features(column("url"), column("host"), column("path"), suffixes)
+    return fit_trees(x, y, weights=sample.column("weight").to_numpy()), suffixes
 
 
 def verdicts(pages: DataFrame, rules=RULES, sample_rows: int = SAMPLE_ROWS, least: float = 0.5) -> DataFrame:

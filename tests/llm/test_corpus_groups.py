@@ -183,6 +183,20 @@ def test_url_rules_and_trees(spark):
     assert url_filter.verdicts(spark.createDataFrame([], "page_id long, url string")).collect() == []
 
 
+def test_copies_of_a_url_come_as_one_weighted_row(spark, monkeypatch):
+    """Whichever URL a third of the labelled rows holds, the sample has it once and stays bounded."""
+    seen = []
+    fit_trees = url_filter.fit_trees
+    monkeypatch.setattr(url_filter, "fit_trees", lambda x, y, weights: seen.append((len(x), weights)) or fit_trees(x, y, weights=weights))
+    urls = [f"http://h{i}.net/a" if i % 2 else f"http://example.net/en/{i}" for i in range(600)]
+    for hot in urls[:6]:
+        rows = spark.createDataFrame([(u, u.split("/")[2], "/" + u.split("/", 3)[3], int(u.endswith("a"))) for u in urls + [hot] * 300], "url string, host string, path string, label int")
+        model, _ = url_filter.fit(rows, sample_rows=60)
+        size, weights = seen.pop()
+        assert model is not None and 20 < size < 120
+        assert sorted(weights)[-2:] == [1.0, pytest.approx(30.1)]
+
+
 def test_trees_learn_what_features_tell():
     draw = np.random.default_rng(8)
     x = draw.normal(size=(2000, 4))
