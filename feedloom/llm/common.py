@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Callable
+from typing import TypeVar
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -108,3 +112,18 @@ def row_of(limits: np.ndarray, positions: np.ndarray) -> np.ndarray:
 
 def batch_of(**columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns.values()], list(columns))
+
+
+T = TypeVar("T")
+
+
+def once_per_worker(key: object, make: Callable[[], T]) -> T:
+    """What ``make`` builds, kept for the later tasks of the same Python worker.
+
+    Functions of this library travel to the executors by value, each task with globals of its own; only the
+    interpreter itself outlives them. It keeps one thing: another key takes its place.
+    """
+    held = getattr(sys, "_feedloom_held", None)
+    if held is None or held[0] != key:
+        held = sys._feedloom_held = (key, make())  # type: ignore[attr-defined]
+    return held[1]

@@ -14,7 +14,6 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedloom.llm.common import once_per_worker
 from feedloom.session import materialise
 
 LIMIT = 2048
@@ -123,9 +123,9 @@ class TokenIds:
             yield b"".join(map(get, words))
 
 
-@lru_cache(maxsize=2)
 def token_ids(path: str) -> TokenIds:
-    return TokenIds(path)
+    """The encoder of a vocabulary file, kept for the later tasks of a Python worker."""
+    return once_per_worker(("token ids", path), lambda: TokenIds(path))
 
 
 def default_tokenizer() -> str:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import language_id, lm_scoring, near_duplicates, neighbours, packing, quality_classifier, quality_rules, sentencepiece_codec, suffix_dedup, url_filter
+from feedloom.llm import language_id, lm_scoring, near_duplicates, neighbours, packing, quality_classifier, quality_rules, sentencepiece_codec, suffix_dedup, token_files, url_filter
 from feedloom.llm.common import documents, remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +81,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_sentencepiece")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.round_trip(documents(spark, sf_dir, "doc_id", "text"))
+
+
+@query("op11_token_blocks")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(table(spark, sf_dir, "documents", "doc_id", "text"))

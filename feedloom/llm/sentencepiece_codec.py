@@ -16,14 +16,13 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import batch_of
+from feedloom.llm.common import batch_of, once_per_worker
 
 SPACE = "▁"
 #: Words and pairs of pieces that a Python worker remembers.
@@ -197,9 +196,9 @@ class Pieces:
         return text[1:] if self.prefix and text.startswith(" ") else text
 
 
-@lru_cache(maxsize=2)
 def pieces_of(path: str) -> Pieces:
-    return Pieces(path)
+    """The vocabulary of a model file, kept for the later tasks of a Python worker."""
+    return once_per_worker(("pieces", path), lambda: Pieces(path))
 
 
 def default_model() -> str:
