@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import language_id, lm_scoring, near_duplicates, neighbours, packing, quality_classifier, quality_rules, ranked_search, sentencepiece_codec, suffix_dedup, token_files, url_filter
+from feedloom.llm import language_id, lm_scoring, near_duplicates, neighbours, packing, quality_classifier, quality_rules, ranked_search, sentencepiece_codec, spelling_variants, suffix_dedup, token_files, url_filter
 from feedloom.llm.common import documents, remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,3 +91,9 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_ranked_search", ranked_search.ORACLE)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search.search(documents(spark, sf_dir, "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+@query("op13_spelling_variants")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spelling_variants.variants(documents(spark, sf_dir, "doc_id", "text"))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
