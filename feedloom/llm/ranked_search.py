@@ -30,7 +30,7 @@ from feedloom.llm.common import Spans, batch_of, lowered, row_of, text_buffer
 from feedloom.session import materialise
 
 #: Documents and bytes of text that a shard has at most (a longer text is a shard of its own).
-SHARD_DOCUMENTS, SHARD_BYTES = 4_096, 16_000_000
+SHARD_DOCUMENTS, SHARD_BYTES = 4_096, 6_000_000
 #: Items that travel together.
 BUNDLE = 64
 #: Ranges of weights, each with an owner.

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from feedloom.llm.common import Spans, batch_of, lowered, row_of, text_buffer
 from feedloom.session import materialise
 
-#: Words that the cells are fitted on, taken by a hash of the word.
+#: Words that the cells are fitted on, about; taken by a hash of the word.
 SAMPLE_WORDS = 262_144
 #: Words of a cell, as long as the sample has SAMPLE_CELL of them for each.
 CELL_WORDS, SAMPLE_CELL = 16_384, 16
@@ -332,7 +332,9 @@ def cell_neighbours(words: list[str], n: np.ndarray, owned: np.ndarray) -> tuple
 def near_words(words: DataFrame, sample: int = SAMPLE_WORDS, cell_words: int = CELL_WORDS) -> DataFrame:
     """``(word, n_near, form, form_n)`` of every word of a written table ``(word, n)`` that has a near word."""
     total = words.count()
-    drawn = words.select("word").orderBy(F.xxhash64("word"), "word").limit(sample).toPandas()["word"].tolist() if total else []
+    # a hash below this takes about ``sample`` words, whatever the number of tasks
+    cut = min(1.0, sample / max(total, 1)) * 2**32
+    drawn = words.filter(F.pmod(F.xxhash64("word"), F.lit(1 << 32)) < cut).select("word").toArrow()["word"].to_pylist()
     counts = vectors(drawn) if drawn else np.zeros((1, COLUMNS), np.int32)
     groups = letter_groups(counts)
     cells = Cells(grouped(counts, groups), max(1, min(-(-total // cell_words), len(drawn) // SAMPLE_CELL)))
