@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -12,6 +11,8 @@ from pyspark.sql import functions as F
 from feedloom.functions import dates, places, text
 from feedloom.operators.ordinals import batches
 from feedloom.operators.tables import stable_id
+from feedloom.session import materialise
+from feedloom.sources import sinks
 
 # Rows per payload for the mirror and for the search index.
 MIRROR_ROWS, SEARCH_ROWS = 250, 100
@@ -101,25 +102,69 @@ def payloads(rows: DataFrame, order: str, size: int, item: Column, keys: tuple[s
     return batches(rows, list(keys), order, size, item, **how).withColumn("payload", F.to_json("items")).drop("items")
 
 
-Writer = Callable[[str], int]
+# The actions of a sync, with rows per call and the field that holds them.
+ACTIONS = {
+    "mirror_delete": (MIRROR_ROWS, "job_hashes"),
+    "mirror_add": (MIRROR_ROWS, "job_postings"),
+    "search_delete": (SEARCH_ROWS, "ids"),
+    "search_upsert": (SEARCH_ROWS, "documents"),
+}
+
+
+def action_batches(
+    rows: DataFrame, action: str, run: str, order: str, item: Column | None = None, keys: tuple[str, ...] = (), **how
+) -> DataFrame:
+    """The calls of one action, one row each, for the sink of ``sources.sinks``.
+
+    ``(action, batch_key, <keys>, batch_no, batch_rows, payload)``; the payload is JSON with the items under the
+    action's field, in the order of the unique column ``order``. The key depends on the run, the action and the
+    batch alone, so the same call has the same key in every try.
+    """
+    size, field = ACTIONS[action]
+    batched = batches(rows, list(keys), order, size, F.col(order) if item is None else item, **how)
+    key = F.sha2(F.concat_ws("\x01", F.lit(run), F.lit(action), *[F.col(k).cast("string") for k in keys], F.col("batch_no").cast("string")), 256)
+    return batched.select(
+        F.lit(action).alias("action"), key.alias("batch_key"), *keys, "batch_no", "batch_rows",
+        F.to_json(F.struct(F.col("items").alias(field))).alias("payload"),
+    )
+
+
+def _by_hash(rows: DataFrame, action: str, run: str, order: str, item: Column | None = None) -> DataFrame:
+    """Batches in the order of a text column that is spread by its first two characters."""
+    ranged = rows.withColumn("_prefix", F.substring(order, 1, 2))
+    return action_batches(ranged, action, run, order, item, range_of=F.col("_prefix"))
+
 
+def sync_batches(
+    run: str, records: DataFrame, deleted: DataFrame, documents: DataFrame, deleted_ids: DataFrame
+) -> dict[str, DataFrame]:
+    """The calls of a whole sync by action, in the order they are to be made: both deletions come first.
 
-def send_outcome(send: Writer, payload: str, retries: int, delay: float) -> tuple[bool, int, str | None]:
-    """``(ok, attempts, error)``: 200 is done, 4xx ends at once, 5xx and timeouts are tried again."""
-    for attempt in range(1, retries + 1):
-        try:
-            code = send(payload)
-        except TimeoutError:
-            code = 504
-        except Exception as problem:  # noqa: BLE001 - any failure of the user function is an outcome
-            return False, attempt, str(problem)
-        if code == 200:
-            return True, attempt, None
-        if 400 <= code < 500:
-            return False, attempt, f"HTTP {code}"
-        if attempt < retries:
-            time.sleep(delay * 2 ** (attempt - 1))
-    return False, retries, f"Failed after {retries} retries."
+    ``records`` are mirror records, ``deleted`` holds ``job_hash``; ``documents`` are search documents with a
+    unique ``id``, ``deleted_ids`` holds ``id``. Null keys are left out.
+    """
+    hashes = deleted.select("job_hash").filter("job_hash IS NOT NULL").distinct()
+    ids = deleted_ids.select("id").filter("id IS NOT NULL").distinct()
+    return {
+        "mirror_delete": _by_hash(hashes, "mirror_delete", run, "job_hash"),
+        "search_delete": _by_hash(ids, "search_delete", run, "id"),
+        "mirror_add": _by_hash(records.filter("job_hash IS NOT NULL"), "mirror_add", run, "job_hash", F.struct(*records.columns)),
+        "search_upsert": _by_hash(documents, "search_upsert", run, "id", F.struct(*documents.columns)),
+    }
+
+
+def sync(calls: dict[str, DataFrame], send: sinks.Send, journal: str, at_once: int | None = None, **how) -> DataFrame:
+    """Make all calls, one action after another, and return their outcomes.
+
+    The calls are written before they are made, so a repeated task sends what it sent before.
+    """
+    spark = next(iter(calls.values())).sparkSession
+    for action, rows in calls.items():
+        sinks.send_batches(materialise(rows, action), send, journal, at_once=at_once, **how)
+    return sinks.outcomes(spark, journal)
+
+
+Writer = Callable[[str], int]
 
 
 def send_payloads(payload_rows: DataFrame, send: Writer, retries: int = 3, delay: float = 5.0) -> DataFrame:
@@ -129,7 +174,7 @@ def send_payloads(payload_rows: DataFrame, send: Writer, retries: int = 3, delay
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            outcome = [send_outcome(send, p, retries, delay) for p in frame["payload"]]
+            outcome = [sinks.send_outcome(lambda p=p: send(p), retries, delay) for p in frame["payload"]]
             done = pd.DataFrame(outcome, columns=["ok", "attempts", "error"], index=frame.index)
             yield pd.concat([frame.drop(columns="payload"), done], axis=1)
 

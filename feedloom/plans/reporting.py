@@ -12,6 +12,8 @@ from feedloom.operators import mapping, ordinals, publish, reports, routing
 from feedloom.plans.enriching import ROUTE_SQL
 from feedloom.plans.registry import CLOSED_SQL, hashed_postings, light_postings, query, select_sql, table
 from feedloom.plans.scalars import PLACES_SQL
+from feedloom.session import materialise, scratch_path
+from feedloom.sources import sinks
 
 REPORTS = """event_id AS id, CAST(user_id AS INT) AS feed_id, ts AS start_time,
     CASE event_type WHEN 'error' THEN 'FAILURE' WHEN 'purchase' THEN 'SUCCESS' WHEN 'view' THEN 'SUCCESS' ELSE 'RUNNING' END AS run_status,
@@ -241,3 +243,51 @@ def sk7(spark, sf):
 )
 def ag16_batches(spark, sf):
     return ordinals.batch_totals(order_payloads(spark, sf), ["o_orderpriority"])
+
+
+def sent_orders(spark, sf):
+    """The mirror's calls for all orders, sent through the sink to a folder; ``(calls, journal, folder)``."""
+    rows = table(spark, sf, "orders").select("o_orderpriority", "o_orderkey")
+    calls = materialise(publish.action_batches(rows, "mirror_add", "run-1", "o_orderkey", keys=("o_orderpriority",)), "calls")
+    journal, folder = scratch_path(spark, "journal"), scratch_path(spark, "drop")
+    sinks.send_batches(calls, sinks.FolderDrop(folder), journal)
+    return calls, journal, folder
+
+
+@query(
+    "sk6_sent_payloads",
+    PAYLOAD_SQL + """ SELECT o_orderpriority, batch_no, batch_rows, concat('{"job_postings":', payload, '}') AS payload FROM p""",
+)
+def sk6_sent(spark, sf):
+    """What the receiver has got, put beside the batch it came from."""
+    calls, _, folder = sent_orders(spark, sf)
+    got = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").text(folder)
+    got = got.select(F.regexp_extract(F.input_file_name(), r"([0-9a-f]{64})\.json", 1).alias("batch_key"), F.col("value").alias("payload"))
+    return calls.drop("payload").join(got, "batch_key", "full_outer").select("o_orderpriority", "batch_no", "batch_rows", "payload")
+
+
+@query(
+    "ag16_sent_totals",
+    """SELECT o_orderpriority, count(*) AS total_rows, CAST(ceil(count(*) / 250.0) AS BIGINT) AS total_batches FROM orders GROUP BY ALL""",
+)
+def ag16_sent(spark, sf):
+    """Rows and batches by priority from the journal of what was accepted."""
+    calls, journal, _ = sent_orders(spark, sf)
+    accepted = sinks.outcomes(spark, journal).filter("ok").select("batch_key", "batch_rows")
+    return ordinals.batch_totals(calls.select("batch_key", "o_orderpriority").join(accepted, "batch_key"), ["o_orderpriority"])
+
+
+@query(
+    "sk6_sync",
+    """WITH c AS (SELECT 'mirror_add' AS action, count(*) AS rows, 250.0 AS size FROM orders UNION ALL SELECT 'mirror_delete', count(DISTINCT o_custkey), 250.0 FROM orders
+    UNION ALL SELECT 'search_upsert', count(*), 100.0 FROM part UNION ALL SELECT 'search_delete', count(DISTINCT l_suppkey), 100.0 FROM lineitem)
+    SELECT action, CAST(ceil(rows / size) AS BIGINT) AS batches, 0 AS refused, rows, 0 AS refused_rows FROM c""",
+)
+def sk6_sync(spark, sf):
+    """A whole sync, both deletions before the additions: accepted batches and rows of each action."""
+    records = table(spark, sf, "orders").select(F.sha2(F.col("o_orderkey").cast("string"), 256).alias("job_hash"), "o_orderstatus")
+    gone = table(spark, sf, "orders").select(F.sha2(F.col("o_custkey").cast("string"), 256).alias("job_hash"))
+    documents = table(spark, sf, "part").select(F.sha2(F.col("p_partkey").cast("string"), 256).alias("id"), F.struct("p_name", "p_brand").alias("content"))
+    gone_ids = table(spark, sf, "lineitem").select(F.sha2(F.col("l_suppkey").cast("string"), 256).alias("id"))
+    calls = publish.sync_batches("run-1", records, gone, documents, gone_ids)
+    return sinks.totals(publish.sync(calls, sinks.FolderDrop(scratch_path(spark, "drop")), scratch_path(spark, "journal")))
