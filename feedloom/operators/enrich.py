@@ -13,9 +13,11 @@ from pyspark.sql import types as T
 
 from feedloom.functions.text import clean_html, join_terms
 from feedloom.operators.ordinals import batches
-from feedloom.session import materialise
+from feedloom.session import materialise, materialise_observed
 
 BATCH_ROWS = 10
+#: What the first row of a batch carries of the whole call.
+SPENT = ("calls", "input_tokens", "output_tokens")
 SUCCESS, FAILED = "success", "failed"
 
 # Texts of failed rows, and the largest context of a prompt in characters.
@@ -94,37 +96,45 @@ def zip_results(batched: DataFrame, items: str = "items", results: str = "result
     )
 
 
-BatchFunction = Callable[[list[dict]], list[dict]]
+#: One result per row; with the tokens of the call, ``(results, (input_tokens, output_tokens))``.
+BatchFunction = Callable[[list[dict]], "list[dict] | tuple[list[dict], tuple[int, int]]"]
 
 
-def answer(fn: BatchFunction, rows: list[dict], retries: int, delay: float) -> tuple[list[tuple], int]:
-    """``(result, status, error)`` per row, and the number of calls. Failures become rows."""
-    calls, error = 0, ""
+def answer(fn: BatchFunction, rows: list[dict], retries: int, delay: float) -> tuple[list[tuple], tuple[int, int, int]]:
+    """``(result, status, error)`` per row, and the calls with their input and output tokens. Failures become rows."""
+    calls, error, tokens = 0, "", (0, 0)
+
+    def used() -> tuple[int, int, int]:
+        return (calls, *tokens)
+
     for attempt in range(retries):
         calls += 1
         try:
             found = fn(rows)
+            if isinstance(found, tuple):
+                found, spent = found
+                tokens = (tokens[0] + spent[0], tokens[1] + spent[1])
         except TooLarge:
             if len(rows) == 1:
-                return [({}, FAILED, TOO_LARGE)], calls
+                return [({}, FAILED, TOO_LARGE)], used()
             middle = len(rows) // 2
-            halves = [answer(fn, part, retries, delay) for part in (rows[:middle], rows[middle:])]
-            return halves[0][0] + halves[1][0], calls + halves[0][1] + halves[1][1]
+            left, right = (answer(fn, part, retries, delay) for part in (rows[:middle], rows[middle:]))
+            return left[0] + right[0], tuple(map(sum, zip(used(), left[1], right[1])))
         except Exception as problem:  # noqa: BLE001 - any failure of the user function is a failed row
             error = f"{BATCH_FAILED}{str(problem)[:100]}"
             if attempt + 1 < retries:
                 time.sleep(delay * 2**attempt)
             continue
         if len(found) != len(rows):
-            return [({}, FAILED, MISMATCH)] * len(rows), calls
-        return [(result, SUCCESS, None) for result in found], calls
-    return [({}, FAILED, error)] * len(rows), calls
+            return [({}, FAILED, MISMATCH)] * len(rows), used()
+        return [(result, SUCCESS, None) for result in found], used()
+    return [({}, FAILED, error)] * len(rows), used()
 
 
 def run_batches(
     batched: DataFrame, fn: BatchFunction, ddl: str, key: str = "job_hash", retries: int = 3, delay: float = 2.0
 ) -> DataFrame:
-    """``(key, result, status, error, calls)`` from one call of ``fn`` per batch.
+    """``(key, result, status, error, calls, input_tokens, output_tokens)`` from one call of ``fn`` per batch.
 
     ``batched`` has one row per batch with an array of structs ``items``, each with the key. The
     function sees plain dictionaries. A batch is bounded, so a task holds one Arrow chunk of batches.
@@ -137,7 +147,7 @@ def run_batches(
             T.StructField("result", fields),
             T.StructField("ai_enrichment_status", T.StringType()),
             T.StructField("ai_enrichment_error", T.StringType()),
-            T.StructField("calls", T.IntegerType()),
+            *[T.StructField(name, T.IntegerType()) for name in SPENT],
         ]
     )
 
@@ -146,10 +156,10 @@ def run_batches(
             out = []
             for items in frame["items"]:
                 rows = [dict(x) if isinstance(x, dict) else x.asDict() for x in items]
-                answers, calls = answer(fn, rows, retries, delay)
+                answers, spent = answer(fn, rows, retries, delay)
                 for i, (row, (result, status, error)) in enumerate(zip(rows, answers)):
                     value = {n: result.get(n) for n in names}
-                    out.append((row[key], value, status, error, calls if i == 0 else 0))
+                    out.append((row[key], value, status, error, *(spent if i == 0 else (0, 0, 0))))
             yield pd.DataFrame(out, columns=schema.fieldNames())
 
     return batched.select("items").mapInPandas(call, schema)
@@ -167,6 +177,7 @@ def enrich(
     batch_rows: int = BATCH_ROWS,
     retries: int = 3,
     delay: float = 2.0,
+    spent: dict[str, int] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """``(enriched, new cache entries)``: cached results first, then one call per batch of misses.
 
@@ -180,7 +191,12 @@ def enrich(
     ).select(key, "row.*")
     asked = materialise(asked, "asked")
     batched = batches(asked, list(keys), order, batch_rows, F.struct(key, *[c for c in inputs if c != key]))
-    answers = materialise(run_batches(batched, fn, ddl, key, retries, delay), "answers")
+    made = run_batches(batched, fn, ddl, key, retries, delay)
+    answers, used = materialise_observed(made, "answers", **{name: F.sum(name) for name in SPENT})
+    if spent is not None:
+        for name, n in used.items():
+            spent[name] = spent.get(name, 0) + n
+    answers = answers.drop("input_tokens", "output_tokens")
     done = hits.withColumns(
         {"ai_enrichment_status": F.lit(SUCCESS), "ai_enrichment_error": F.lit(None).cast("string"),
          "from_cache": F.lit(True), "calls": F.lit(0)}

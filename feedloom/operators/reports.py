@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -22,15 +23,54 @@ OUTCOMES = {
 LAST_ERRORS = 10
 
 
+# The columns of a run's report.
+REPORT = {
+    "id": "bigint", "feed_id": "int", "feed_name": "string", "run_status": "string", "start_time": "timestamp", "end_time": "timestamp",
+    "duration_seconds": "double", "total_in_feed": "bigint", "processed_successfully": "bigint", "skipped_closed": "bigint",
+    "skipped_duplicate": "bigint", "skipped_duplicate_initial_aggregation": "bigint", "skipped_duplicate_ai_aggregation": "bigint",
+    "records_failed": "bigint", "jobs_closed": "bigint", "jobs_auto_approved": "bigint", "jobs_manual_review": "bigint",
+    "jobs_rejected": "bigint", "model_calls": "bigint", "custom_calls": "bigint", "cache_hits": "bigint", "input_tokens": "bigint",
+    "output_tokens": "bigint", "total_tokens": "bigint", "feed_file_size_bytes": "bigint", "mirror_added": "bigint",
+    "mirror_deleted": "bigint", "error_summary": "string", "error_message": "string",
+}
+REPORT_DDL = ", ".join(f"{name} {kind}" for name, kind in REPORT.items())
+RUNNING, SUCCESS, FAILURE = "RUNNING", "SUCCESS", "FAILURE"
+
+
 def initial_report(feed_id: int, feed_name: str, run_time: datetime, spark) -> DataFrame:
     """The report row of a run that has just begun; its id depends only on feed and time."""
     row = spark.range(1).select(
         F.lit(feed_id).alias("feed_id"), F.lit(feed_name).alias("feed_name"),
-        F.lit(run_time).cast("timestamp").alias("start_time"), F.lit("RUNNING").alias("run_status"),
+        F.lit(run_time).cast("timestamp").alias("start_time"), F.lit(RUNNING).alias("run_status"),
     )
     return row.withColumn("id", F.xxhash64("feed_id", "start_time"))
 
 
+def report_row(row: DataFrame) -> DataFrame:
+    """A row with every column of a report; what is not known yet is null."""
+    return row.select(*[
+        (F.col(name) if name in row.columns else F.lit(None)).cast(kind).alias(name) for name, kind in REPORT.items()
+    ])
+
+
+def final_report(begun: DataFrame, ended: datetime, counted: dict[str, int], errors: Sequence[str] = ()) -> DataFrame:
+    """What a run's report becomes when it has ended: counters, duration, the last errors; any error is a failure.
+
+    ``begun`` is the row of :func:`initial_report`; names of ``counted`` that a report lacks are left out.
+    """
+    last = list(errors)[-LAST_ERRORS:]
+    end = F.lit(ended).cast("timestamp")
+    known = {name: F.lit(n).cast("long") for name, n in counted.items() if name in REPORT}
+    return begun.select("id", "start_time").withColumns({
+        **known,
+        "run_status": F.lit(FAILURE if last else SUCCESS),
+        "end_time": end,
+        "duration_seconds": F.unix_micros(end) / 1e6 - F.unix_micros("start_time") / 1e6,
+        "error_summary": F.array(*[F.lit(e) for e in last]) if last else F.lit(None).cast("array<string>"),
+        "error_message": F.lit(last[0] if last else None).cast("string"),
+    })
+
+
 def update_reports(reports: DataFrame, changes: DataFrame) -> DataFrame:
     """The reports with the changed columns of finished runs; error lists become JSON text."""
     for field in changes.schema.fields:

@@ -6,16 +6,18 @@ reads them more than once or where a user function may not answer the same way t
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.functions.hashing import canonical_hash
 from feedloom.functions.places import location_string
 from feedloom.operators import enrich, linkage, mapping, ordinals, publish, reports, routing, tables, taxonomy
-from feedloom.session import materialise
+from feedloom.session import materialise, materialise_observed
+from feedloom.sources.feeds import numbered, read_feed
 
 
 @dataclass(frozen=True)
@@ -61,6 +63,8 @@ class Outcome:
     mirror_changes: DataFrame
     payloads: DataFrame
     search_documents: DataFrame
+    counted: dict[str, int] = field(default_factory=dict)
+    calls: dict[str, DataFrame] = field(default_factory=dict)
 
 
 def empty_tables(spark) -> Stored:
@@ -86,8 +90,16 @@ def _merge(rows: DataFrame, feed: Feed, limits: linkage.Thresholds, other_title:
     return linkage.merge_postings(rows, "seq", limits, other_title).drop("merged_rows")
 
 
-def _rows(df: DataFrame, name: str) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("stage"), "n")
+def _rows() -> Column:
+    return F.count(F.lit(1))
+
+
+def _failed() -> Column:
+    return F.count_if(F.col("ai_enrichment_status").eqNullSafe(enrich.FAILED))
+
+
+def _cached() -> Column:
+    return F.count_if("from_cache")
 
 
 def run_feed(
@@ -104,26 +116,29 @@ def run_feed(
 ) -> Outcome:
     """Run a feed. ``mapped`` has the mapped texts and a unique integer ``seq`` in feed order.
 
-    ``protect_failed`` keeps stored postings whose enrichment failed in this run from being archived.
+    ``protect_failed`` keeps stored postings whose enrichment failed in this run from being archived. All
+    counters are observed while the tables of the run are written; ``outcomes`` says the same row by row.
     """
-    options = {"batch_rows": services.batch_rows, "retries": services.retries, "delay": services.delay}
+    spent: dict[str, int] = {}
+    options = {"batch_rows": services.batch_rows, "retries": services.retries, "delay": services.delay, "spent": spent}
 
     standard = mapping.standardise(mapped)
-    hashed = materialise(
+    hashed, n_hashed = materialise_observed(
         standard.withColumn("is_closed", F.col("status").eqNullSafe("CLOSED")).withColumn("job_hash", canonical_hash()),
-        "hashed",
+        "hashed", rows=_rows(), closed=F.count_if("is_closed"),
     )
     active = hashed.filter(~F.col("is_closed")).drop("is_closed")
 
-    first = materialise(_merge(active, feed, limits), "merged")
+    first, n_first = materialise_observed(_merge(active, feed, limits), "merged", rows=_rows())
     attributed, new_attributes = enrich.enrich(
         first, stored.attribute_cache, services.attributes, enrich.ATTRIBUTES, "seq",
         ["title", "company_name", "description"], **options,
     )
-    attributed = materialise(attributed.drop("from_cache", "calls"), "attributed")
+    attributed, n_attributed = materialise_observed(attributed, "attributed", rows=_rows(), failed=_failed(), cached=_cached())
+    attributed = attributed.drop("from_cache", "calls")
     answered, failed_first = enrich.split_failed(attributed)
 
-    second = materialise(_merge(answered, feed, limits, "ai_title"), "merged")
+    second, n_second = materialise_observed(_merge(answered, feed, limits, "ai_title"), "merged", rows=_rows())
     listed = enrich.classifiable(taxonomy.attach_functions(second, functions))
     ready, no_industry = enrich.split_failed(listed)
     ready = ready.withColumn("function_ids", F.transform("job_functions", lambda f: f["id"]))
@@ -131,7 +146,10 @@ def run_feed(
         ready, stored.function_cache, services.job_function, enrich.SELECTION, "seq",
         ["title", "description", "function_ids"], ["industry_id"], **options,
     )
-    selected = materialise(selected.drop("from_cache", "calls", "function_ids", "job_functions"), "selected")
+    selected, n_selected = materialise_observed(
+        selected.drop("function_ids", "job_functions"), "selected", rows=_rows(), failed=_failed(), cached=_cached()
+    )
+    selected = selected.drop("from_cache", "calls")
     classified, failed_second = enrich.split_failed(selected)
 
     final = mapping.finalise(
@@ -140,13 +158,17 @@ def run_feed(
     final = taxonomy.attach_names(final, taxonomy.function_names(functions))
     final = taxonomy.attach_coordinates(final, gazetteer).drop("geo_key")
     final = final.withColumn("location_string", location_string(F.col("locations")))
-    routed = materialise(routing.with_route(ordinals.last_per_key(final, "job_hash", "seq"), feed.bypass_filters), "routed")
+    routed, n_routed = materialise_observed(
+        routing.with_route(ordinals.last_per_key(final, "job_hash", "seq"), feed.bypass_filters), "routed", rows=_rows(),
+        **{state: F.count_if(F.col("status") == state) for state in (tables.OPEN, tables.REVIEW, tables.REJECTED)},
+    )
     approved, review, rejected = routing.by_state(routed)
     approved, new_searchable = enrich.enrich(
         approved, stored.search_cache, services.searchable, enrich.SEARCHABLE, "seq",
         ["ai_top_tags", "ai_search_terms", "ai_skills", "description"], **options,
     )
-    approved = materialise(approved.drop("from_cache", "calls"), "approved")
+    approved, n_approved = materialise_observed(approved, "approved", rows=_rows(), cached=_cached())
+    approved = approved.drop("from_cache", "calls")
 
     mine = stored.open.filter(F.col("feed_id") == feed.feed_id)
     current = routed.select("job_hash")
@@ -156,6 +178,10 @@ def run_feed(
             current = current.unionByName(part.select("job_hash"))
     closed = materialise(tables.closed_keys(mine, current), "closed")
     kept_open, archived, moved = tables.archive(stored.open, stored.archive, closed)
+    moved, n_moved = materialise_observed(moved, "moved", rows=_rows())
+    check = tables.archive_check(stored.open.select("job_hash"), kept_open.select("job_hash"), moved).first()
+    if not check["counts_match"]:
+        raise RuntimeError(f"{check['deleted']} postings left the open table, {check['copied']} reached the archive")
 
     run_id = F.lit(execution_id)
     all_rows = [mapping.conform(part.withColumn("execution_id", run_id)) for part in (approved, review, rejected)]
@@ -172,7 +198,9 @@ def run_feed(
     now_open = materialise(tables.upsert(kept_open, to_open), "open")
     now_mine = now_open.filter(F.col("feed_id") == feed.feed_id)
     my_mirror = stored.mirror.filter(F.col("feed_id") == feed.feed_id)
-    changes = materialise(tables.diff(now_mine, my_mirror), "changes")
+    changes, n_changes = materialise_observed(
+        tables.diff(now_mine, my_mirror), "changes", add=F.count_if(F.col("action") == "add"), delete=F.count_if(F.col("action") == "delete")
+    )
     added = tables.rows_of(to_open, changes.filter("action = 'add'"))
     records = publish.published(added)
     mirror = materialise(
@@ -192,26 +220,34 @@ def run_feed(
         outcomes = outcomes.unionByName(marked(rows, outcome))
     for part in failed:
         outcomes = outcomes.unionByName(marked(part, "failed"))
-    stages = {
-        "skipped_duplicate_initial_aggregation": (active, first),
-        "skipped_duplicate_ai_aggregation": (answered, second),
-        "skipped_duplicate": (classified, routed),
+    no_industry_rows = n_second["rows"] - n_selected["rows"]
+    counted = {
+        "total_in_feed": n_hashed["rows"],
+        "mirror_added": n_changes["add"],
+        "mirror_deleted": n_changes["delete"],
+        "skipped_duplicate_initial_aggregation": n_hashed["rows"] - n_hashed["closed"] - n_first["rows"],
+        "skipped_duplicate_ai_aggregation": n_attributed["rows"] - n_attributed["failed"] - n_second["rows"],
+        "skipped_duplicate": n_selected["rows"] - n_selected["failed"] - n_routed["rows"],
+        "skipped_closed": n_hashed["closed"],
+        "records_failed": n_attributed["failed"] + no_industry_rows + n_selected["failed"],
+        "jobs_auto_approved": n_approved["rows"],
+        "jobs_manual_review": n_routed[tables.REVIEW],
+        "jobs_rejected": n_routed[tables.REJECTED],
+        "jobs_closed": n_moved["rows"],
+        "processed_successfully": n_approved["rows"] + n_routed[tables.REVIEW] + n_routed[tables.REJECTED],
+        "cache_hits": n_attributed["cached"] + n_selected["cached"] + n_approved["cached"],
+        "model_calls": spent["calls"],
+        "input_tokens": spent["input_tokens"],
+        "output_tokens": spent["output_tokens"],
+        "total_tokens": spent["input_tokens"] + spent["output_tokens"],
     }
-    counts = _rows(hashed, "total_in_feed").unionByName(_rows(changes.filter("action = 'add'"), "mirror_added"))
-    counts = counts.unionByName(_rows(changes.filter("action = 'delete'"), "mirror_deleted"))
-    for name, (before, after) in stages.items():
-        lost = before.select(F.lit(1).alias("d")).unionByName(after.select(F.lit(-1).alias("d")))
-        counts = counts.unionByName(lost.agg(F.coalesce(F.sum("d"), F.lit(0)).alias("n")).select(F.lit(name).alias("stage"), "n"))
-    by_outcome = outcomes.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
-    counts = counts.unionByName(by_outcome.withColumnRenamed("outcome", "stage"))
-    names = {n: n for n in ("total_in_feed", "mirror_added", "mirror_deleted", *stages)} | reports.OUTCOMES
-    each = [
-        F.coalesce(F.max(F.when(F.col("stage") == stage, F.col("n"))), F.lit(0)).alias(name)
-        for stage, name in names.items()
-    ]
-    done = F.col("jobs_auto_approved") + F.col("jobs_manual_review") + F.col("jobs_rejected")
-    counters = counts.agg(*each).withColumns(
-        {"feed_id": F.lit(feed.feed_id), "processed_successfully": done}
+    counters = hashed.sparkSession.range(1).select(
+        *[F.lit(n).cast("long").alias(name) for name, n in counted.items()], F.lit(feed.feed_id).alias("feed_id")
+    )
+    gone = my_mirror.join(changes.filter("action = 'delete'").select("job_hash"), "job_hash", "left_semi")
+    calls = publish.sync_batches(
+        f"{feed.feed_id}-{run_time.isoformat()}", records, changes.filter("action = 'delete'"), documents,
+        gone.select(F.col("eid").alias("id")),
     )
 
     return Outcome(
@@ -231,4 +267,57 @@ def run_feed(
         mirror_changes=changes,
         payloads=payloads,
         search_documents=documents,
+        counted=counted,
+        calls=calls,
     )
+
+
+def reported_run(
+    feed: Feed,
+    run: Callable[[], Outcome],
+    report_rows: DataFrame,
+    feeds: DataFrame,
+    clock: Callable[[], datetime],
+    feed_file_size_bytes: int | None = None,
+) -> tuple[Outcome | None, DataFrame, DataFrame]:
+    """``(outcome, reports, feeds)`` of a run with its report opened before it and closed behind it.
+
+    A run that fails has no outcome; its report is a failure with the error, and the feed's streak goes on. Both
+    tables are written: the report of a run that never comes back stays RUNNING. ``report_rows`` has the columns
+    of ``reports.REPORT``.
+    """
+    spark = report_rows.sparkSession
+    begun = materialise(reports.initial_report(feed.feed_id, feed.name, clock(), spark), "report")
+    opened = materialise(report_rows.unionByName(reports.report_row(begun)), "reports")
+    out, errors = None, []
+    try:
+        out = run()
+    except Exception as problem:  # noqa: BLE001 - whatever ends a run belongs in its report
+        errors.append(f"Run failed: {problem}")
+    counted = dict(out.counted) if out is not None else {}
+    if feed_file_size_bytes is not None:
+        counted["feed_file_size_bytes"] = feed_file_size_bytes
+    ended = clock()
+    closed = materialise(reports.update_reports(opened, reports.final_report(begun, ended, counted, errors)), "reports")
+    mine = closed.filter(F.col("feed_id") == feed.feed_id)
+    now = F.lit(ended).cast("timestamp")
+    return out, closed, materialise(reports.update_feeds(feeds, mine, now), "feeds")
+
+
+def run_feed_files(spark, path, mappings: dict[str, str], feed: Feed, stored: Stored, report_rows: DataFrame, feeds: DataFrame,
+                   clock: Callable[[], datetime], attributes: bool = False, **given) -> tuple[Outcome | None, DataFrame, DataFrame]:
+    """A reported run from the feed files below ``path``: scan, number, run, close the report.
+
+    ``given`` are the further arguments of :func:`run_feed` (``functions``, ``gazetteer``, ``services``, ...). A
+    feed that cannot be read is a failed run.
+    """
+
+    def run() -> Outcome:
+        rows = materialise(read_feed(spark, path, mappings, attributes), "scanned")
+        sizes = rows.select("file_path", "file_size").distinct().agg(F.sum("file_size")).first()[0]
+        mapped = numbered(rows).drop("position", "file_path", "file_size")
+        out = run_feed(mapped, feed, stored, run_time=clock(), **given)
+        out.counted["feed_file_size_bytes"] = int(sizes or 0)
+        return out
+
+    return reported_run(feed, run, report_rows, feeds, clock)

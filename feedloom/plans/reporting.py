@@ -5,6 +5,8 @@ Events stand for runs: the user is the feed, errors are failures, purchases and
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from feedloom.functions import places, text
@@ -12,7 +14,7 @@ from feedloom.operators import mapping, ordinals, publish, reports, routing
 from feedloom.plans.enriching import ROUTE_SQL
 from feedloom.plans.registry import CLOSED_SQL, hashed_postings, light_postings, query, select_sql, table
 from feedloom.plans.scalars import PLACES_SQL
-from feedloom.session import materialise, scratch_path
+from feedloom.session import materialise, materialise_observed, scratch_path
 from feedloom.sources import sinks
 
 REPORTS = """event_id AS id, CAST(user_id AS INT) AS feed_id, ts AS start_time,
@@ -291,3 +293,29 @@ def sk6_sync(spark, sf):
     gone_ids = table(spark, sf, "lineitem").select(F.sha2(F.col("l_suppkey").cast("string"), 256).alias("id"))
     calls = publish.sync_batches("run-1", records, gone, documents, gone_ids)
     return sinks.totals(publish.sync(calls, sinks.FolderDrop(scratch_path(spark, "drop")), scratch_path(spark, "journal")))
+
+
+@query(
+    "sk10_observed_report",
+    f"""+ o AS (SELECT CASE WHEN {CLOSED_SQL} THEN 'closed_in_feed' WHEN is_remote = 'false' THEN 'failed' ELSE {ROUTE_SQL} END AS k FROM postings)
+    SELECT 'SUCCESS' AS run_status, 90.0::DOUBLE AS duration_seconds, count(*) AS total_in_feed, count(*) FILTER (WHERE k = 'closed_in_feed') AS skipped_closed,
+    count(*) FILTER (WHERE k = 'failed') AS records_failed, count(*) FILTER (WHERE k = 'ACTIVE') AS jobs_auto_approved,
+    count(*) FILTER (WHERE k = 'MANUAL_REVIEW') AS jobs_manual_review, count(*) FILTER (WHERE k = 'REJECTED') AS jobs_rejected FROM o""",
+    view=True,
+)
+def sk10_observed(spark, sf):
+    """A run's report, opened, and closed with the counters observed while the postings' outcomes were written."""
+    rows = light_postings(spark, sf).select("seq", "status", "is_remote", "ai_confidence_score")
+    closed = text.posting_status(F.col("status")) == "CLOSED"
+    failed = F.col("is_remote").eqNullSafe("false")
+    outcome = F.when(closed, "closed_in_feed").when(failed, "failed").otherwise(routing.route(F.col("ai_confidence_score")))
+    names = {
+        "closed_in_feed": "skipped_closed", "failed": "records_failed", "ACTIVE": "jobs_auto_approved",
+        "MANUAL_REVIEW": "jobs_manual_review", "REJECTED": "jobs_rejected",
+    }
+    measures = {name: F.count_if(F.col("outcome") == k) for k, name in names.items()}
+    _, counted = materialise_observed(rows.select("seq", outcome.alias("outcome")), "outcomes", total_in_feed=F.count(F.lit(1)), **measures)
+    begun = reports.initial_report(7, "all postings", datetime(2024, 2, 1, 12, 0, 0), spark)
+    closing = reports.final_report(begun, datetime(2024, 2, 1, 12, 1, 30), counted)
+    report = reports.update_reports(reports.report_row(begun), closing)
+    return report.select("run_status", "duration_seconds", "total_in_feed", *names.values())

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _local_scratch: dict[str, str] = {}
 
@@ -56,3 +56,16 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def materialise_observed(df: DataFrame, label: str, **measures: Column) -> tuple[DataFrame, dict[str, int]]:
+    """``materialise`` with aggregates of the rows, taken while they are written and not by another scan.
+
+    The measures are observed in the tasks that write, so a task that is run again counts once. A measure of no
+    rows is 0.
+    """
+    seen = Observation(label)
+    observed = df.observe(seen, *[measure.alias(name) for name, measure in measures.items()])
+    written = materialise(observed, label)
+    found = seen.get
+    return written, {name: found[name] or 0 for name in measures}

@@ -5,10 +5,10 @@ import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from feedloom.operators import tables
+from feedloom.operators import reports, tables
 from feedloom.operators.mapping import POSTING
 from feedloom.operators.taxonomy import JOB_FUNCTION
-from feedloom.plans.feed_run import Feed, Services, empty_tables, run_feed
+from feedloom.plans.feed_run import Feed, Services, empty_tables, reported_run, run_feed, run_feed_files
 from feedloom.plans.stand_ins import first_function, joined_terms
 from feedloom.session import materialise
 
@@ -114,3 +114,99 @@ def test_failed_postings_stay_stored(spark, context):
     )
     assert out.counters.first()["records_failed"] == 1
     assert out.stored.open.count() == 1
+
+
+def with_tokens(rows):
+    return attributes(rows), (10 * len(rows), 3)
+
+
+def feeds_table(spark):
+    ddl = (
+        "id int, name string, last_run_status string, unique_jobs_processed long, cw_auto_approved_jobs long, avg_processing_time double, avg_feed_size double, "
+        "error_count long, consecutive_failure_count long, last_succeeded_at timestamp, last_error_message string, last_checked_at timestamp, updated_at timestamp"
+    )
+    none = (None,) * 10
+    return spark.createDataFrame([(7, "feed", *none, None), (8, "other", *none, None)], ddl)
+
+
+def ticking(*times):
+    left = list(times)
+    return lambda: left.pop(0) if len(left) > 1 else left[0]
+
+
+def test_counters_are_those_of_the_outcomes(spark, context):
+    kind = "Full-Time"
+    rows = [(i, ("Nurse", "Trainer", "Cook", "Fails", "Old")[i % 5], f"Clinic {i % 11}", kind, f"{TEXT} number {i}", "closed" if i % 5 == 4 else "open", "Boston, MA") for i in range(20)]
+    out = run_feed(
+        spark.createDataFrame(rows, MAPPED), Feed(7, "feed"), empty_tables(spark), *context, datetime(2024, 1, 1),
+        Services(with_tokens, first_function, joined_terms, delay=0.0, batch_rows=1),
+    )
+    counted = reports.run_counters(out.outcomes, ["feed_id"]).drop("feed_id", "total_in_feed").first().asDict()
+    assert counted == {name: out.counted[name] for name in counted}
+    c = out.counters.first().asDict()
+    assert {k: c[k] for k in out.counted} == out.counted
+    # calls that fail are tried three times and bring no tokens
+    answered = out.stored.attribute_cache.count()
+    assert c["input_tokens"] == 10 * answered and c["output_tokens"] == 3 * answered
+    assert c["total_tokens"] == 13 * answered and c["model_calls"] > answered and c["cache_hits"] == 0
+    again = run_feed(
+        spark.createDataFrame(rows, MAPPED), Feed(7, "feed"), out.stored, *context, datetime(2024, 1, 2),
+        Services(attributes, first_function, joined_terms, delay=0.0, batch_rows=1),
+    )
+    assert again.counted["cache_hits"] > 0 and again.counted["input_tokens"] == 0 and again.counted["mirror_added"] == 0
+
+
+def test_reported_run(spark, context):
+    rows = [(1, "Nurse", "Clinic", "x", TEXT, "open", None), (2, "Cook", "Clinic", "x", "cook meals", "open", None)]
+    none = spark.createDataFrame([], reports.REPORT_DDL)
+
+    def go():
+        return run_feed(
+            spark.createDataFrame(rows, MAPPED), Feed(7, "feed"), empty_tables(spark), *context, datetime(2024, 1, 1),
+            Services(attributes, first_function, joined_terms, delay=0.0),
+        )
+
+    begun, ended = datetime(2024, 1, 1, 12, 0, 0), datetime(2024, 1, 1, 12, 1, 30)
+    out, kept, feeds = reported_run(Feed(7, "feed"), go, none, feeds_table(spark), ticking(begun, ended), 4096)
+    row = kept.first()
+    assert (row.run_status, row.duration_seconds, row.feed_file_size_bytes, row.error_summary) == ("SUCCESS", 90.0, 4096, None)
+    assert (row.total_in_feed, row.jobs_auto_approved, row.jobs_rejected, row.processed_successfully) == (2, 1, 1, 2)
+    mine = feeds.filter("id = 7").first()
+    assert (mine.last_run_status, mine.unique_jobs_processed, mine.cw_auto_approved_jobs, mine.last_succeeded_at) == ("SUCCESS", 2, 1, begun)
+    assert (mine.avg_processing_time, mine.avg_feed_size) == (90.0, 4096.0)
+    assert feeds.filter("id = 8").first().last_run_status is None
+
+    def breaks():
+        raise ValueError("no such feed")
+
+    later = datetime(2024, 1, 2)
+    failed, kept, feeds = reported_run(Feed(7, "feed"), breaks, kept, feeds, ticking(later))
+    assert failed is None
+    row = kept.filter("run_status = 'FAILURE'").first()
+    assert row.error_summary == '["Run failed: no such feed"]' and row.total_in_feed is None and kept.count() == 2
+    mine = feeds.filter("id = 7").first()
+    assert (mine.last_run_status, mine.consecutive_failure_count, mine.error_count, mine.last_error_message) == ("FAILURE", 1, 1, "Run failed: no such feed")
+    assert mine.last_succeeded_at == begun
+
+
+def test_run_from_feed_files(spark, context, tmp_path):
+    jobs = "".join(
+        f"<job><title>Nurse</title><company>Clinic {i}</company><kind>Full-Time</kind><text>{TEXT} {i}</text><where>Boston, MA</where></job>\n" for i in range(12)
+    )
+    (tmp_path / "feed.xml").write_text(f"<source>{jobs}<job><title>cut", encoding="utf-8")
+    mappings = {"title": "title", "company": "company_name", "kind": "employment_type", "text": "description", "where": "locations", "status": "status"}
+    given = {"functions": context[0], "gazetteer": context[1], "services": Services(attributes, first_function, joined_terms, delay=0.0)}
+    none = spark.createDataFrame([], reports.REPORT_DDL)
+    out, kept, _ = run_feed_files(
+        spark, str(tmp_path / "feed.xml"), mappings, Feed(7, "feed", "Appcast"), empty_tables(spark), none, feeds_table(spark),
+        ticking(datetime(2024, 1, 1)), **given,
+    )
+    row = kept.first()
+    assert (row.run_status, row.total_in_feed, row.jobs_auto_approved) == ("SUCCESS", 12, 12)
+    assert row.feed_file_size_bytes == (tmp_path / "feed.xml").stat().st_size
+    sizes = {a: calls.agg(F.sum("batch_rows")).first()[0] for a, calls in out.calls.items()}
+    assert sizes == {"mirror_delete": None, "search_delete": None, "mirror_add": 12, "search_upsert": 12}
+    lost, kept, _ = run_feed_files(
+        spark, str(tmp_path / "none.xml"), mappings, Feed(7, "feed"), empty_tables(spark), kept, feeds_table(spark), ticking(datetime(2024, 1, 2)), **given
+    )
+    assert lost is None and kept.filter("run_status = 'FAILURE'").count() == 1
