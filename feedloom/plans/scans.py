@@ -13,7 +13,7 @@ from feedloom.operators import audit, mapping, ordinals, tables, validate
 from feedloom.plans.registry import (
     CLOSED_SQL, HASH_SQL, hashed_postings, light_postings, postings, query, select_sql, table,
 )
-from feedloom.session import scratch_path
+from feedloom.session import materialise, scratch_path
 from feedloom.sources import feeds, files
 
 MAPPINGS = {
@@ -72,6 +72,58 @@ def sc2(spark, sf):
     )
 
 
+MIXED = """CASE seq % 5 WHEN 0 THEN concat('<job id="', external_job_id, '"><title>a</title><status/></job>')
+    WHEN 1 THEN concat('<job><ReferenceNumber>', external_job_id, '</job>')
+    WHEN 2 THEN concat('<job><ReferenceNumber>', external_job_id, '</ReferenceNumber><status><![CDATA[ a < b ]]></status></job>')
+    WHEN 3 THEN concat('<job\t\nid="', external_job_id, '" kind="b"></job>')
+    ELSE concat('<job><ReferenceNumber>', external_job_id, '</ReferenceNumber><job_kind>c</job_kind></job>') END"""
+
+
+def land_mixed_feed(spark, sf):
+    """Postings of five kinds in feed order: attributes, broken, verbatim text, attributes alone, a tag like the start tag."""
+    path = scratch_path(spark, "mixed")
+    rows = select_sql(light_postings(spark, sf).select("seq", "external_job_id"), f"seq, {MIXED} AS value")
+    rows.repartitionByRange(4, "seq").sortWithinPartitions("seq").select("value").write.option("lineSep", "\n").text(path)
+    return path
+
+
+@query(
+    "sc1_mixed_feed",
+    """SELECT row_number() OVER (ORDER BY seq) AS place, external_job_id, CASE seq % 5 WHEN 2 THEN 'a < b' END AS status FROM postings WHERE seq % 5 <> 1""",
+    view=True,
+)
+def sc1_mixed(spark, sf):
+    """Postings with and without attributes, numbered in feed order; the broken ones are out."""
+    mappings = {"ReferenceNumber": "external_job_id", "id": "external_job_id", "status": "status"}
+    rows = materialise(feeds.read_feed(spark, land_mixed_feed(spark, sf), mappings, attributes=True), "mixed")
+    return feeds.numbered(rows, "place").select("place", "external_job_id", "status")
+
+
+@query(
+    "sc2_accepted_fragments",
+    """SELECT 'all' AS kind, count(*) FILTER (WHERE seq % 5 <> 1) AS total_in_feed FROM postings
+    UNION ALL SELECT 'bare', count(*) FILTER (WHERE seq % 5 IN (2, 4)) FROM postings""",
+    view=True,
+)
+def sc2_accepted(spark, sf):
+    path = land_mixed_feed(spark, sf)
+    every = feeds.feed_sizes(feeds.scan_fragments(spark, path, attributes=True)).withColumn("kind", F.lit("all"))
+    bare = feeds.feed_sizes(feeds.scan_fragments(spark, path)).withColumn("kind", F.lit("bare"))
+    return every.unionByName(bare).groupBy("kind").agg(F.sum("total_in_feed").alias("total_in_feed"))
+
+
+@query(
+    "sc3_mixed_tags",
+    """WITH t AS (SELECT CASE doc_id % 5 WHEN 0 THEN ['_id', 'title', 'status'] WHEN 2 THEN ['ReferenceNumber', 'status'] WHEN 3 THEN ['_id', '_kind']
+    WHEN 4 THEN ['ReferenceNumber', 'job_kind'] ELSE CAST([] AS VARCHAR[]) END AS tags, doc_id FROM documents), u AS (SELECT unnest(tags) AS tag, doc_id FROM t)
+    SELECT tag, count(*) AS rows, count(*) FILTER (WHERE NOT (tag = 'status' AND doc_id % 5 = 0)) AS filled,
+    CASE WHEN tag IN ('_id', 'ReferenceNumber') THEN count(*) ELSE 1 END AS distinct_values FROM u GROUP BY tag""",
+)
+def sc3_mixed(spark, sf):
+    """The profile of the same feed: broken postings are not in it, attributes and empty elements are."""
+    return audit.tag_profile(feeds.raw_tags(feeds.scan_fragments(spark, land_mixed_feed(spark, sf), attributes=True)))
+
+
 PROFILE_SQL = f"""+ tags AS (
     SELECT 'ReferenceNumber' AS tag, external_job_id AS v FROM postings
     UNION ALL SELECT 'Company', concat('R&D ', company_name) FROM postings

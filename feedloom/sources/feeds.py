@@ -6,8 +6,11 @@ tasks and a damaged fragment only costs itself. Splitting on the end tag would k
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+import re
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from xml.etree import ElementTree
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,34 +22,51 @@ START, END = "<job>", "</job>"
 _CORRUPT = "_corrupt_record"
 
 
-def _fragments(lines: DataFrame, start: str = START) -> DataFrame:
-    """Complete fragments, repaired, with the path and size of their file."""
-    return lines.filter(F.contains("value", F.lit(END))).select(
-        repair_xml(F.concat(F.lit(start), F.substring_index("value", END, 1), F.lit(END))).alias("fragment"),
-        F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_size").alias("file_size"),
-        F.col("_metadata.file_block_start").alias("block_start"),
+def _fragments(lines: DataFrame, cut: str, attributes: bool, *place: Column) -> DataFrame:
+    """Complete fragments, repaired, with the path and size of their file, ``place`` and their number in the record.
+
+    A record of the file source lies between two cuts. It is divided again before every start tag, so that what
+    stands before the first cut of a file, or behind another kind of start tag, is never taken for a posting.
+    """
+    part = F.posexplode(F.split(F.concat(F.lit(cut), F.col("value")), r"(?=<job[\s>])")).alias("part", "text")
+    parts = lines.filter(F.contains("value", F.lit(END))).select(
+        F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_size").alias("file_size"),
+        *place, part,
+    )
+    begins = F.col("text").rlike(r"^<job[\s>]") if attributes else F.col("text").startswith(START)
+    return parts.filter(begins & F.contains("text", F.lit(END))).select(
+        repair_xml(F.concat(F.substring_index("text", END, 1), F.lit(END))).alias("fragment"),
+        *[c for c in parts.columns if c != "text"],
     )
 
 
-def scan_fragments(spark: SparkSession, path: str | Sequence[str], attributes: bool = False) -> DataFrame:
+def scan_fragments(spark: SparkSession, path: str | Sequence[str], attributes: bool = False, cut: str | None = None) -> DataFrame:
     """One row per complete fragment of the feed files below ``path``.
 
-    ``attributes=True`` also accepts start tags with attributes; by default only the bare tag counts.
+    ``attributes=True`` also accepts start tags with attributes; by default only the bare tag counts. ``cut`` is
+    where the file source splits a file into records, by default the start tag of the kind asked for; postings of
+    both kinds come in feed order whatever it is, but a file is held by pieces no shorter than it divides it.
     ``position`` orders the rows as they stand in the files. It is taken in the scanning task, from
     the split and the row number in it, and so stays the same when a task is run again.
     """
-    fragments = _fragments(spark.read.option("lineSep", START).text(path))
-    if attributes:
-        opened = _fragments(spark.read.option("lineSep", "<job ").text(path), "<job ")
-        fragments = fragments.unionByName(opened)
-    position = F.struct("file_path", "block_start", F.monotonically_increasing_id().alias("row"))
-    return fragments.withColumn("position", position).drop("block_start")
+    cut = cut or ("<job " if attributes else START)
+    place = F.col("_metadata.file_block_start").alias("block_start"), F.monotonically_increasing_id().alias("row")
+    fragments = _fragments(spark.read.option("lineSep", cut).text(path), cut, attributes, *place)
+    position = F.struct("file_path", "block_start", "row", "part")
+    return fragments.withColumn("position", position).drop("block_start", "row", "part")
 
 
 def stream_fragments(spark: SparkSession, path: str) -> DataFrame:
     """The streaming form of ``scan_fragments``: each new file below ``path`` is read once."""
-    return _fragments(spark.readStream.option("lineSep", START).format("text").load(path))
+    found = _fragments(spark.readStream.option("lineSep", START).format("text").load(path), START, False)
+    return found.drop("part")
+
+
+def accepted(fragments: DataFrame) -> DataFrame:
+    """The fragments that are XML, which are those that :func:`parse_fragments` keeps."""
+    options = {"rowTag": "job", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT, "ignoreNamespace": "true"}
+    parsed = fragments.select("*", F.explode(F.array(F.from_xml("fragment", f"{_CORRUPT} string", options))).alias("_job"))
+    return parsed.filter(F.col("_job").isNotNull() & F.col(f"_job.{_CORRUPT}").isNull()).drop("_job")
 
 
 def tag_schema(tags: Sequence[str], attributes: bool = False) -> T.StructType:
@@ -125,37 +145,58 @@ def numbered(rows: DataFrame, name: str = "seq") -> DataFrame:
     return with_ordinal(rows, [], "position", name, range_of=split)
 
 
+_PREFIX = r"(</?|\s)[\w.-]+:(?=[\w.-]+[\s=/>])"
+
+
+def _elements(fragment: str) -> list[tuple[str, str]]:
+    """``(tag, value)`` of a fragment: attributes of the job as ``_name``, then all elements by their path."""
+    try:
+        job = ElementTree.fromstring(fragment)
+    except ElementTree.ParseError:
+        try:  # prefixes of a namespace that is declared outside
+            job = ElementTree.fromstring(re.sub(_PREFIX, r"\1", fragment))
+        except ElementTree.ParseError:
+            return []
+    out = [(f"_{name.rpartition('}')[2]}", value) for name, value in job.attrib.items()]
+
+    def go(parent: ElementTree.Element, path: str) -> None:
+        for child in parent:
+            name = path + str(child.tag).rpartition("}")[2]
+            out.append((name, child.text or ""))
+            go(child, name + "/")
+
+    go(job, "")
+    return out
+
+
 def raw_tags(fragments: DataFrame) -> DataFrame:
-    """All direct child tags with their text, and the attributes of the job, for feeds of unknown tags.
+    """``(file_path, [position,] pos, tag, value)``: everything in the accepted fragments, for feeds of unknown tags.
 
-    Native: the fragment is cut into ``<tag ...>text</tag>`` and ``<tag/>`` pieces by pattern. An empty
-    element has an empty value, an attribute the position before all tags and ``_`` before its name.
+    An element has its own text, trimmed; one inside another has the path as its tag; repeated ones are a row
+    each; an empty one has an empty value. Attributes of the job come first, ``_`` before their name. The tree of
+    unknown depth is taken apart in Arrow batches.
     """
-    piece = r"(?s)<([A-Za-z_][\w.:-]*)(?:\s[^>]*?)?(?:/>|>((?:(?!<\1[\s>]).)*?)</\1>)"
-    inner = F.regexp_replace("fragment", rf"(?s)^<job[^>]*>(.*){END}$", "$1")
-    opened = F.regexp_extract("fragment", r"(?s)^<job\s([^>]*)>", 1)
-    attribute = r"""([A-Za-z_][\w.:-]*)\s*=\s*["']([^"']*)["']"""
-    pieces = F.arrays_zip(
-        F.concat(
-            F.transform(F.regexp_extract_all(opened, F.lit(attribute), F.lit(1)), lambda x: F.concat(F.lit("_"), x)),
-            F.regexp_extract_all(inner, F.lit(piece), F.lit(1)),
-        ).alias("tag"),
-        F.concat(
-            F.regexp_extract_all(opened, F.lit(attribute), F.lit(2)), F.regexp_extract_all(inner, F.lit(piece), F.lit(2))
-        ).alias("value"),
-    )
-    text = F.coalesce("p.value", F.lit(""))
-    for entity, sign in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")):
-        text = F.replace(text, F.lit(entity), F.lit(sign))
-    verbatim = F.regexp_extract("p.value", r"(?s)^\s*<!\[CDATA\[(.*)\]\]>\s*$", 1)
-    text = F.when(F.col("p.value").rlike(r"(?s)^\s*<!\[CDATA\[.*\]\]>\s*$"), verbatim).otherwise(text)
-    return fragments.select("file_path", "fragment", F.posexplode(pieces).alias("pos", "p")).select(
-        "file_path", "fragment", "pos", F.col("p.tag").alias("tag"), unescape_web_address(strip(text)).alias("value")
-    )
+    kept = [c for c in ("file_path", "position") if c in fragments.columns]
+    rows = accepted(fragments).select("fragment", *kept)
+    schema = T.StructType([*[rows.schema[c] for c in kept], T.StructField("pos", T.IntegerType()), T.StructField("tag", T.StringType()), T.StructField("value", T.StringType())])
+
+    def take_apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [_elements(fragment) for fragment in batch.column(0).to_pylist()]
+            at = pa.array([k for k, tags in enumerate(found) for _ in tags], pa.int64())
+            columns = [
+                *[batch.column(1 + k).take(at) for k in range(len(kept))],
+                pa.array([pos for tags in found for pos in range(len(tags))], pa.int32()),
+                pa.array([tag for tags in found for tag, _ in tags], pa.string()),
+                pa.array([value for tags in found for _, value in tags], pa.string()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, [*kept, "pos", "tag", "value"])
+
+    return rows.mapInArrow(take_apart, schema).withColumn("value", unescape_web_address(strip(F.col("value"))))
 
 
 def feed_sizes(fragments: DataFrame) -> DataFrame:
-    """Bytes and fragments per feed file."""
-    return fragments.groupBy("file_path").agg(
+    """Bytes and accepted fragments per feed file."""
+    return accepted(fragments).groupBy("file_path").agg(
         F.max("file_size").alias("feed_file_size_bytes"), F.count(F.lit(1)).alias("total_in_feed")
     )

@@ -221,3 +221,37 @@ def test_fragments_are_parsed_once(spark, tmp_path):
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert plan.count("from_xml") == 1
     assert [tuple(r) for r in rows.select("title", "apply_url").collect()] == [("A", "http://x?a=1&b=2")]
+
+
+MIXED = """<?xml version="1.0"?><source>
+<job id="0"><title>first</title></job>
+<job><title>bare</title><job_kind>x</job_kind></job>
+<job
+ id="2" title="from attribute"><company>c</company></job><job></job>
+<job><title><![CDATA[a < b]]></title><place><city>X</city><city>Y</city></place></job>
+<job><title>broken</job>
+<job id="5"><title>broken too</job>
+<job id="6"><title/></job>
+<job><title>cut <job id="7"><title>last</title></job></source>"""
+
+
+@pytest.mark.parametrize("cut", ["<job>", "<job "])
+def test_one_set_of_fragments(spark, tmp_path, cut):
+    (tmp_path / "mixed.xml").write_text(MIXED, encoding="utf-8")
+    path = str(tmp_path / "mixed.xml")
+    if cut:
+        both = feeds.scan_fragments(spark, path, attributes=True, cut=cut)
+        rows = feeds.mapped_postings(feeds.parse_fragments(both, ["title", "id"], True), {"title": "title", "id": "external_job_id"}, True)
+        got = [(r["external_job_id"], r["title"]) for r in rows.orderBy("position").collect()]
+        assert got == [("0", "first"), (None, "bare"), ("2", "from attribute"), (None, "a < b"), ("6", None), ("7", "last")]
+        assert feeds.feed_sizes(both).first()["total_in_feed"] == 7
+    bare = feeds.scan_fragments(spark, path)
+    assert [r["title"] for r in feeds.read_feed(spark, path, {"title": "title"}).orderBy("position").collect()] == ["bare", "a < b"]
+    assert feeds.feed_sizes(bare).first()["total_in_feed"] == 3
+    tags = [(r["tag"], r["value"]) for r in feeds.raw_tags(bare).orderBy("position", "pos").collect()]
+    assert tags == [("title", "bare"), ("job_kind", "x"), ("title", "a < b"), ("place", ""), ("place/city", "X"), ("place/city", "Y")]
+
+
+def test_prefixes_of_outer_namespaces(spark):
+    rows = spark.createDataFrame([("f", '<job g:no="4"><g:id>7</g:id><time>12:30</time></job>')], "file_path string, fragment string")
+    assert [(r["tag"], r["value"]) for r in feeds.raw_tags(rows).orderBy("pos").collect()] == [("_no", "4"), ("id", "7"), ("time", "12:30")]
