@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from feedloom.functions.hashing import canonical_hash
-from feedloom.operators import ordinals, reports, routing, tables
+from feedloom.operators import digests, ordinals, reports, routing, tables
 from feedloom.plans.registry import hashed_postings, light_postings, postings, query, select_sql, table
 from feedloom.session import scratch_path
 
@@ -398,3 +398,31 @@ def pf16_rows(spark, sf):
 @query("fn27_random_ids")
 def fn27(spark, sf):
     return tables.with_random_ids(light_postings(spark, sf).select("seq"), "uuid")
+
+
+def digested(spark, rows, key, label, depth=1):
+    """A table stored with its digests."""
+    return digests.store(rows, scratch_path(spark, label), key, depth)
+
+
+@query(
+    "jn2_digest_diff",
+    SNAPSHOTS + """, c AS (SELECT job_hash, CASE WHEN f.job_hash IS NULL THEN 'delete' WHEN s.job_hash IS NULL THEN 'add' WHEN s.status IS DISTINCT FROM f.status THEN 'change' END AS action
+    FROM stored s FULL JOIN feed f USING (job_hash)) SELECT * FROM c WHERE action IS NOT NULL""",
+)
+def jn2_digests(spark, sf):
+    """Added, deleted and changed rows of two stored tables, found by their digests."""
+    feed, stored = (rows(spark, sf).select("job_hash", "status") for rows in (fed_orders, stored_orders))
+    return digests.diff_stored(*digested(spark, feed, "job_hash", "feed"), *digested(spark, stored, "job_hash", "stored"), "job_hash", 1)
+
+
+@query(
+    "ag12_digest_copy",
+    """SELECT count(*) AS left_rows, count(*) FILTER (WHERE l_orderkey <> (SELECT min(l_orderkey) FROM lineitem)) AS right_rows, false AS counts_match, false AS content_match, 1 AS differing_leaves FROM lineitem""",
+)
+def ag12_digests(spark, sf):
+    """A copy that lacks the rows of one key: its leaf alone differs."""
+    rows = table(spark, sf, "lineitem")
+    copy = rows.filter(F.col("l_orderkey") != rows.agg(F.min("l_orderkey")).first()[0])
+    sides = [digested(spark, side, "l_orderkey", "copy")[1] for side in (rows, copy)]
+    return digests.verify_copy(*sides, depth=1)
