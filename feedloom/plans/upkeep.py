@@ -6,10 +6,12 @@ status and amount. Both are read whole.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from feedloom.functions.hashing import canonical_hash
-from feedloom.operators import digests, ordinals, reports, routing, tables
+from feedloom.operators import bucketed, digests, keytests, ordinals, reports, routing, tables
 from feedloom.plans.registry import hashed_postings, light_postings, postings, query, select_sql, table
 from feedloom.session import scratch_path
 
@@ -426,3 +428,43 @@ def ag12_digests(spark, sf):
     copy = rows.filter(F.col("l_orderkey") != rows.agg(F.min("l_orderkey")).first()[0])
     sides = [digested(spark, side, "l_orderkey", "copy")[1] for side in (rows, copy)]
     return digests.verify_copy(*sides, depth=1)
+
+
+def bucketed_orders(spark, sf):
+    """The stored orders as a bucketed catalog table."""
+    versions = bucketed.Versions(spark, f"orders_{uuid.uuid4().hex}", buckets=8)
+    versions.write(stored_orders(spark, sf))
+    return versions
+
+
+@query("sk1_bucketed_upsert", UPSERT_SQL)
+def sk1_bucketed(spark, sf):
+    """The feed's orders upserted into a table that stays where it is."""
+    versions = bucketed_orders(spark, sf)
+    versions.upsert(fed_orders(spark, sf), order="o_orderkey")
+    return dated(versions.read())
+
+
+@query("jn1_bucketed_closed", SNAPSHOTS + " SELECT job_hash FROM stored WHERE job_hash NOT IN (SELECT job_hash FROM feed)")
+def jn1_bucketed(spark, sf):
+    versions = bucketed.Versions(spark, f"active_{uuid.uuid4().hex}", buckets=8)
+    versions.write(stored_orders(spark, sf).withColumn("status", F.lit("ACTIVE")))
+    return bucketed.closed_keys(versions.read(), fed_orders(spark, sf))
+
+
+@query(
+    "jn3_filtered_keys",
+    f"SELECT DISTINCT k AS job_hash FROM ({IN_DEBT}) t(k) WHERE k IN ({RETURNED}) OR k IN (SELECT CAST(o_orderkey AS VARCHAR) FROM orders WHERE o_orderstatus = 'P')",
+)
+def jn3_filtered(spark, sf):
+    """The stores meet a filter of the keys before they are shuffled."""
+    return keytests.existing_keys(keys_in_debt(spark, sf), [returned_keys(spark, sf), order_states(spark, sf)["P"]])
+
+
+@query(
+    "jn10_filtered_rows",
+    SNAPSHOTS + " SELECT job_hash, status FROM feed WHERE job_hash NOT IN (SELECT job_hash FROM stored)",
+)
+def jn10_filtered(spark, sf):
+    rows = fed_orders(spark, sf)
+    return keytests.new_rows(rows, stored_orders(spark, sf), "o_orderkey").select("job_hash", "status")
