@@ -1,9 +1,12 @@
 """Quality rules: word statistics of each text, and lines that too many documents of a host share.
 
 Only DataFrame functions are used. One scan turns each text into counts and an array of line hashes;
-everything after it works on those narrow rows. A line is frequent on its host when the host's
-distinct texts that hold it are more than ``max(min_docs, share * distinct texts of the host)``.
-Counting is a distinct aggregate with partial sums, so a host or a line may hold any share of the rows.
+everything after it works on those narrow rows. A line is frequent on its host when ``min_docs`` or more
+different documents of the host hold it, however many documents the host has: boilerplate is judged alike on
+small and large hosts, and no line becomes allowed again as a host grows. Documents with the same text are one
+document here; told apart by their ids, ten copies of any document would make all its lines frequent and the
+whole group depleted, so that none would be left for the removal of copies. Counting is a distinct aggregate
+with partial sums, so a host or a line may hold any share of the rows.
 """
 
 from __future__ import annotations
@@ -17,8 +20,8 @@ from feedloom.session import materialise
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 SYMBOLS = "#*$%&|<>"
+#: Documents of a host that hold a frequent line, at least.
 MIN_DOCS = 10
-HOST_SHARE = 0.1
 #: A document is depleted when less than this percentage of its words is left.
 LEFT_PERCENT = 30
 
@@ -82,19 +85,17 @@ def measured(docs: DataFrame, host: str = "source") -> DataFrame:
     return out.dropDuplicates(["doc_id", "host", "key"])
 
 
-def frequent_lines(rows: DataFrame, min_docs: int = MIN_DOCS, share: float = HOST_SHARE) -> DataFrame:
-    """``(host, line)`` of the lines that more distinct texts of their host hold than the limits allow."""
-    lines = rows.select("host", "key", F.explode("lines.line").alias("line"))
-    counts = lines.groupBy("host", "line").agg(F.countDistinct("key").alias("docs")).filter(F.col("docs") > min_docs)
-    hosts = rows.groupBy("host").agg(F.countDistinct("key").alias("host_docs"))
-    return counts.join(hosts, "host").filter(F.col("docs") > share * F.col("host_docs")).select("host", "line")
+def frequent_lines(rows: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+    """``(host, line)`` of the lines that at least ``min_docs`` different documents of their host hold."""
+    lines = rows.select("host", "key", F.explode(F.array_distinct("lines.line")).alias("line"))
+    counts = lines.groupBy("host", "line").agg(F.countDistinct("key").alias("docs"))
+    return counts.filter(F.col("docs") >= min_docs).select("host", "line")
 
 
 def judged(
     docs: DataFrame,
     host: str = "source",
     min_docs: int = MIN_DOCS,
-    share: float = HOST_SHARE,
     left_percent: int = LEFT_PERCENT,
 ) -> DataFrame:
     """Counts and verdict of every document, and the lines to remove from it.
@@ -107,7 +108,7 @@ def judged(
     """
     rows = materialise(measured(docs, host), "measured")
     lines = rows.select("doc_id", "host", "key", F.explode("lines").alias("x")).select("doc_id", "host", "key", "x.*")
-    frequent = materialise(frequent_lines(rows, min_docs, share), "frequent")
+    frequent = materialise(frequent_lines(rows, min_docs), "frequent")
     removed = (
         lines.join(frequent, ["host", "line"])
         .groupBy(F.col("doc_id").alias("r_id"), F.col("host").alias("r_host"), F.col("key").alias("r_key"))
@@ -174,11 +175,8 @@ WITH d AS (
 ), l AS (
   SELECT doc_id, host, t, trim(regexp_replace(lower(u), '[\\x20\\x09-\\x0D]+', ' ', 'g')) AS line
   FROM (SELECT doc_id, host, t, unnest(lines) AS u FROM w)
-), h AS (
-  SELECT host, count(DISTINCT text) AS host_docs FROM d GROUP BY host
 ), f AS (
-  SELECT host, line FROM l JOIN h USING (host) GROUP BY host, line, host_docs
-  HAVING count(DISTINCT t) > {MIN_DOCS} AND count(DISTINCT t) > {HOST_SHARE} * host_docs
+  SELECT host, line FROM l GROUP BY host, line HAVING count(DISTINCT t) >= {MIN_DOCS}
 ), x AS (
   SELECT doc_id, host, t, sum(len(string_split(line, ' '))) AS removed FROM l JOIN f USING (host, line) GROUP BY ALL
 ), a AS (

@@ -158,6 +158,18 @@ def test_frequent_lines_go_and_copies_stay(spark):
     assert 300 not in kept
 
 
+def test_a_line_goes_from_small_and_large_hosts_alike(spark):
+    docs, wanted = [], set()
+    for host, size in (("small", 60), ("middle", 200), ("large", 2000)):
+        for i in range(size):
+            body = " ".join(f"{host}{i}x{k}" for k in range(55))
+            extra = "\nSubscribe to our letter" * (i % 6 == 0 and i < 60) + "\nSeen nine times" * (i < 9)
+            docs.append((len(docs), body + extra, host))
+            wanted.add(body + "\nSeen nine times" * (i < 9))
+    got = quality_rules.cleaned(spark.createDataFrame(docs, "doc_id long, text string, source string"))
+    assert {r.text for r in got.collect()} == wanted
+
+
 def test_unigram_and_mixer(spark):
     docs = odd_documents(spark)
     got = {r.doc_id: r for r in lm_scoring.scored(docs, F.col("doc_id") % 2 == 1, top_words=5).collect()}
