@@ -11,7 +11,6 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -76,10 +75,9 @@ class Versions:
 
     def current(self) -> int:
         """The number of the version behind the view, 0 without one."""
-        try:
-            text = self.spark.sql(f"SHOW CREATE TABLE {self.name}").first()[0]
-        except AnalysisException:
+        if not self.spark.catalog.tableExists(self.name):
             return 0
+        text = self.spark.sql(f"SHOW CREATE TABLE {self.name}").first()[0]
         return int(re.search(r"_version_(\d+)", text)[1])
 
     def read(self) -> DataFrame:
