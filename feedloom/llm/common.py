@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import sys
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from typing import TypeVar
 
 import numpy as np
@@ -127,3 +129,24 @@ def once_per_worker(key: object, make: Callable[[], T]) -> T:
     if held is None or held[0] != key:
         held = sys._feedloom_held = (key, make())  # type: ignore[attr-defined]
     return held[1]
+
+
+def lean(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """``work`` that gives freed memory back to the system when its task ends.
+
+    A Python worker stays for later stages; without this it would keep the largest batch's worth of memory
+    while others run beside it.
+    """
+
+    @functools.wraps(work)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (AttributeError, OSError):  # another C library has no such call
+                pass
+
+    return run

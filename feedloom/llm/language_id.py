@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import batch_of, lowered, row_of, text_buffer, word_limits
+from feedloom.llm.common import batch_of, lean, lowered, row_of, text_buffer, word_limits
 from feedloom.session import materialise
 
 #: Labelled documents per language that the model is fitted on, at most about this many.
@@ -231,6 +231,7 @@ def fit(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model | None:
     share = F.create_map(*[F.lit(x) for r in found for x in (r["lang"], min(1.0, sample_docs / r["count"]))])
     sample = rows.filter(draw <= share[F.col("lang")]).select("lang", "text").repartition(8, "text")
 
+    @lean
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             of = np.array([number[x] for x in batch.column(0).to_pylist()], np.int64)
@@ -282,6 +283,7 @@ def identified(docs: DataFrame, model: Model | None, penalty: float = SWITCH, sp
         return out.withColumn("spans", F.array().cast("array<struct<start:long,end:long,lang:string>>")) if spans else out
     names = np.array([*model.languages, "und"], object)
 
+    @lean
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, width = batch.num_rows, len(model.languages)

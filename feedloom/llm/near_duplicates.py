@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import BASE, Spans, batch_of, lowered, mixed, row_of, text_buffer, word_limits
+from feedloom.llm.common import BASE, Spans, batch_of, lean, lowered, mixed, row_of, text_buffer, word_limits
 from feedloom.llm.graph import components
 from feedloom.session import materialise
 
@@ -39,7 +39,7 @@ BLOCK = 256
 #: Such a round is worth its price while the pairs left are more than so many for each row in the buckets.
 PAIRS_PER_ROW = 100
 #: Bytes of text whose shingles are in memory at once; a longer text is taken alone.
-CHUNK_BYTES = 4_000_000
+CHUNK_BYTES = 1_000_000
 ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -129,6 +129,7 @@ def _set_keys(row: np.ndarray, found: np.ndarray, rows: int) -> tuple[np.ndarray
 def sketched(docs: DataFrame, width: int = WIDTH, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """``(doc_id, n_shingles, k1, k2, keys)``: set size, set hash and band keys of every row."""
 
+    @lean
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for begin, end, data, limits in _chunks(batch, 1):
@@ -146,6 +147,7 @@ def sketched(docs: DataFrame, width: int = WIDTH, bands: int = BANDS, rows: int
 def shingle_sets(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """``(doc_id, k1, k2, shingles)``: the full set of every row."""
 
+    @lean
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for begin, end, data, limits in _chunks(batch, 1):

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import once_per_worker
+from feedloom.llm.common import lean, once_per_worker
 from feedloom.session import materialise
 
 LIMIT = 2048
@@ -30,6 +30,8 @@ OPEN_BINS = 512
 TASK_TOKENS = 16_777_216
 #: Words that a Python worker remembers, about 200 bytes each, and as many pre-tokens.
 CACHED_WORDS = 150_000
+#: Documents that are tokenised at once.
+BATCH_DOCUMENTS = 2_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -147,9 +149,10 @@ def token_pieces(
     path = tokenizer or default_tokenizer()
     end = np.array([end_id], "<u4").tobytes()
 
+    @lean
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = token_ids(path)
-        for batch in batches:
+        for batch in (part.slice(at, BATCH_DOCUMENTS) for part in batches for at in range(0, part.num_rows, BATCH_DOCUMENTS)):
             texts = [t.as_buffer().to_pybytes() if t.is_valid else b"" for t in batch.column(1)]
             rows, piece, start, length, crc, ids = [], [], [], [], [], []
             for row, found in enumerate(encoder.encode(texts)):
@@ -226,6 +229,7 @@ def best_fit(pieces: DataFrame, limit: int = LIMIT, open_bins: int = OPEN_BINS,
     schema = pieces.schema.add("sequence_id", "long").add("offset", "long")
     place = pieces.columns.index("length")
 
+    @lean
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bins = OpenBins(limit, open_bins, TaskContext.get().partitionId() << 40)
         for batch in batches:

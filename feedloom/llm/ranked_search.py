@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import Spans, batch_of, lowered, row_of, text_buffer
+from feedloom.llm.common import Spans, batch_of, lean, lowered, row_of, text_buffer
 from feedloom.session import materialise
 
 #: Documents and bytes of text that a shard has at most (a longer text is a shard of its own).
@@ -66,6 +66,7 @@ def terms_of(data: np.ndarray, limits: np.ndarray) -> tuple[np.ndarray, np.ndarr
 def item_terms(items: DataFrame) -> DataFrame:
     """``(item_id, term)``, each term once."""
 
+    @lean
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, limits = text_buffer(batch.column(1))
@@ -86,6 +87,7 @@ def bits_of(hashes: np.ndarray) -> list[np.ndarray]:
 def term_filter(terms: DataFrame) -> np.ndarray:
     """A Bloom filter of the terms with two bits each; every task adds its own, and the driver gets their union."""
 
+    @lean
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = np.zeros(1 << FILTER_BITS, bool)
         for batch in batches:
@@ -111,6 +113,7 @@ def postings(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
     and their numbers of terms as ``lengths``. Places follow ascending ids, null last.
     """
 
+    @lean
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         allowed = np.unpackbits(wanted.view(np.uint8)).astype(bool)
         shard = TaskContext.get().partitionId() << 36
@@ -209,6 +212,7 @@ def visit(bundles: DataFrame, owned: DataFrame, items: DataFrame, owner: int, n_
 def best_of_shards(bundles: DataFrame, best: int) -> DataFrame:
     """``(shard, item_id, place, score)``: the best of every shard, lower places (smaller ids) first among equals."""
 
+    @lean
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, places, scores = [], [], []
@@ -232,6 +236,7 @@ def best_of_shards(bundles: DataFrame, best: int) -> DataFrame:
 def names_of(documents: DataFrame) -> DataFrame:
     """``(shard, place, doc_id)`` from the shards' rows without a term."""
 
+    @lean
     def unfold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for shard, ids, given in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
@@ -259,6 +264,7 @@ def search(docs: DataFrame, items: DataFrame, best: int = 10, owners: int = OWNE
     index = materialise(postings(docs, term_filter(asked)), "postings")
     shards, entries = index.filter("term IS NULL"), index.filter("term IS NOT NULL")
 
+    @lean
     def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, total = 0, 0
         for batch in batches:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import batch_of, once_per_worker
+from feedloom.llm.common import batch_of, lean, once_per_worker
 
 SPACE = "▁"
 #: Words and pairs of pieces that a Python worker remembers.
@@ -215,6 +215,7 @@ def encoded(docs: DataFrame, model: str | None = None) -> DataFrame:
     """
     path = model or default_model()
 
+    @lean
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = pieces_of(path)
         for batch in batches:
@@ -235,6 +236,7 @@ def decoded(rows: DataFrame, model: str | None = None) -> DataFrame:
     """``(doc_id, text)`` of rows ``(doc_id, ids)``; null ids give a null text. Ids must be of the vocabulary."""
     path = model or default_model()
 
+    @lean
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = pieces_of(path)
         for batch in batches:
@@ -248,6 +250,7 @@ def round_trip(docs: DataFrame, model: str | None = None) -> DataFrame:
     """``(doc_id, n_pieces, ids_crc32, n_bytes, exact)``: every text encoded, and whether decoding gives it back."""
     path = model or default_model()
 
+    @lean
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zlib
 

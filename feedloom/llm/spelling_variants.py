@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import Spans, batch_of, lowered, row_of, text_buffer
+from feedloom.llm.common import Spans, batch_of, lean, lowered, row_of, text_buffer
 from feedloom.session import materialise
 
 #: Words that the cells are fitted on, about; taken by a hash of the word.
@@ -89,6 +89,7 @@ def counted_words(docs: DataFrame, divisor: int = 31, least: int = LEAST_LETTERS
     Runs are counted once per document and batch before words are shuffled.
     """
 
+    @lean
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 2_000):
@@ -339,6 +340,7 @@ def near_words(words: DataFrame, sample: int = SAMPLE_WORDS, cell_words: int = C
     groups = letter_groups(counts)
     cells = Cells(grouped(counts, groups), max(1, min(-(-total // cell_words), len(drawn) // SAMPLE_CELL)))
 
+    @lean
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 50_000):

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import Spans, batch_of, mixed, row_of, text_buffer
+from feedloom.llm.common import Spans, batch_of, lean, mixed, row_of, text_buffer
 from feedloom.session import materialise
 
 LENGTH = 100
@@ -99,6 +99,7 @@ def _chunks(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, int, np.n
 def anchor_rows(docs: DataFrame) -> DataFrame:
     """``(h, doc_id, n)``: anchor values of every document and how often it holds each."""
 
+    @lean
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy()
@@ -284,6 +285,7 @@ def frames(candidates: DataFrame) -> DataFrame:
     a window around a hot anchor as 128 bits of hash.
     """
 
+    @lean
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy()
@@ -383,6 +385,7 @@ def maximal_repeats(frame_rows: DataFrame) -> DataFrame:
             start=place[row] - left, end=place[row] + right, first=first,
         )
 
+    @lean
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
         for batch in batches:
@@ -456,6 +459,7 @@ def _remaining(text: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[bytes
 
 
 def _cut(found: DataFrame, with_text: bool) -> DataFrame:
+    @lean
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column(2)

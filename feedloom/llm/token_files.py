@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
-from feedloom.llm.common import batch_of
+from feedloom.llm.common import batch_of, lean
 from feedloom.llm.packing import default_tokenizer, token_ids
 from feedloom.session import scratch_path
 
@@ -412,6 +412,7 @@ def write_documents(docs: DataFrame, path: str, tokenizer: str | None = None, en
     vocabulary = tokenizer or default_tokenizer()
     end = np.array([end_id], "<u4").tobytes()
 
+    @lean
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = token_ids(vocabulary)
         for batch in batches:
