@@ -15,6 +15,7 @@ that the vocabulary's own library gives.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,6 +37,7 @@ class Pieces:
     """A SentencePiece vocabulary with its search. ``path`` is a model file that every executor can read."""
 
     def __init__(self, path: str):
+        import ahocorasick
         from sentencepiece import sentencepiece_model_pb2 as pb
 
         model = pb.ModelProto()
@@ -50,19 +52,31 @@ class Pieces:
         self.names = [p.piece for p in model.pieces]
         self.scores = {p.piece: (p.score, i) for i, p in enumerate(model.pieces) if p.type in (NORMAL, USER)}
         self.bytes = {int(p.piece[3:5], 16): i for i, p in enumerate(model.pieces) if p.type == BYTE}
+        self.ids_of = {piece: [i] for piece, (_, i) in self.scores.items()}
+        self.spelled = [self._spelling(k, name) for k, name in zip(self.kinds, self.names)]
         self.unknown = next(i for i, p in enumerate(model.pieces) if p.type == 2)
         self.longest = max(map(len, self.scores), default=1)
         self.lowest = min((s for s, _ in self.scores.values()), default=0.0) - UNKNOWN
         # no piece goes on with the mark of a blank behind another character
         self.splits = not any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.scores)
-        self.reach: dict[str, int] = {}
         self.inside: set[str] = set()
+        self.automaton = ahocorasick.Automaton()
         for piece in self.scores:
-            self.reach[piece[-1]] = max(self.reach.get(piece[-1], 1), len(piece))
+            self.automaton.add_word(piece, piece)
             self.inside.update(piece[i : i + 2] for i in range(len(piece) - 1))
+        self.automaton.make_automaton()
         self.words: dict[str, list[int]] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
 
+    @staticmethod
+    def _spelling(kind: int, name: str) -> bytes:
+        """What a piece stands for: a byte, text, the mark of an unknown character, or nothing."""
+        if kind == BYTE:
+            return bytes([int(name[3:5], 16)])
+        if kind in (NORMAL, USER):
+            return name.replace(SPACE, " ").encode("utf-8")
+        return " ⁇ ".encode() if kind == 2 else b""
+
     def _normal(self, text: str) -> str:
         if self.squeeze:
             text = re.sub(" +", " ", text).strip(" ")
@@ -92,36 +106,81 @@ class Pieces:
             known = self.pairs[left, right] = (not left or self._adjoin("", right)) and self._merged(left + right) == whole
         return known
 
-    def _edge(self, text: str, end: int, first: int, last: dict[int, str], value: dict[int, float]) -> tuple[float, str]:
+    def _ending(self, text: str) -> Iterator[list[str]]:
+        """For each boundary of ``text`` but the first the pieces that end there, longest first.
+
+        A character that is no piece is one here. All pieces are found in one pass over the text.
+        """
+        found = self.automaton.iter(text)
+        waiting = next(found, None)
+        for end in range(1, len(text) + 1):
+            pieces = []
+            while waiting is not None and waiting[0] == end - 1:
+                pieces.append(waiting[1])
+                waiting = next(found, None)
+            if not pieces or len(pieces[-1]) > 1:
+                pieces.append(text[end - 1])
+            yield pieces
+
+    def _edge(self, pieces: list[str], end: int, first: int, last: dict[int, str], value: dict[int, float]) -> tuple[float, str]:
         """The winning piece that ends at ``end``: its path's value and the piece."""
         best, chosen = -np.inf, ""
         get, known = self.scores.get, self.pairs.get
-        for size in range(min(self.reach.get(text[end - 1], 1), end - first), 0, -1):
-            piece = text[end - size : end]
-            found = get(piece)
-            if found is None and size > 1:
+        for piece in pieces:
+            begin = end - len(piece)
+            if begin < first:
                 continue
             if self.merges:
-                before = last[end - size]
+                before = last[begin]
                 fits = known((before, piece))
                 if fits is None:
                     fits = self._adjoin(before, piece)
                 if fits:
                     return 0.0, piece
             else:
-                total = value[end - size] + (self.lowest if found is None else found[0])
+                found = get(piece)
+                total = value[begin] + (self.lowest if found is None else found[0])
                 if total > best:
                     best, chosen = total, piece
         return best, chosen
 
+    def _within_window(self, text: str) -> list[str]:
+        """The pieces of a text no longer than the window, where nothing can be committed before the end.
+
+        For merge vocabularies, as there the last piece of each boundary is all there is to keep.
+        """
+        last, known = [""], self.pairs.get
+        ending: list[list[str]] = [[] for _ in text]
+        for end, piece in self.automaton.iter(text):
+            ending[end].append(piece)
+        for end, pieces in enumerate(ending, 1):
+            for piece in pieces:
+                pair = last[-len(piece)], piece
+                fits = known(pair)
+                if fits is None:
+                    fits = self._adjoin(*pair)
+                if fits:
+                    last.append(piece)
+                    break
+            else:  # a character that is no piece
+                last.append(text[end - 1])
+        out, at = [], len(text)
+        while at:
+            out.append(last[at])
+            at -= len(last[at])
+        return out[::-1]
+
     def search(self, text: str) -> Iterator[str]:
         """The pieces of a normalised text, each as soon as no later character can change it."""
+        if self.merges and len(text) <= self.longest:
+            yield from self._within_window(text)
+            return
         first = 0
         last = {0: ""}
         value = {0: 0.0}
         origin = {0: 0}
-        for end in range(1, len(text) + 1):
-            value[end], last[end] = self._edge(text, end, max(first, end - self.longest), last, value)
+        for end, pieces in enumerate(self._ending(text), 1):
+            value[end], last[end] = self._edge(pieces, end, max(first, end - self.longest), last, value)
             origin[end] = end - len(last[end])
             # boundaries that a piece may still begin at, traced back to where their paths meet
             if end < len(text) and end - first < self.longest:
@@ -143,12 +202,13 @@ class Pieces:
 
     def _ids(self, text: str) -> list[int]:
         out: list[int] = []
-        for piece in self.search(text):
-            found = self.scores.get(piece)
-            if found is not None:
-                out.append(found[1])
-            elif self.bytes:
-                out.extend(self.bytes[b] for b in piece.encode("utf-8"))
+        short = self.merges and len(text) <= self.longest
+        for piece in self._within_window(text) if short else self.search(text):
+            ids = self.ids_of.get(piece)
+            if ids is None and self.bytes:  # a character that is no piece is spelled in bytes
+                ids = self.ids_of[piece] = [self.bytes[b] for b in piece.encode("utf-8")]
+            if ids is not None:
+                out += ids
             elif not out or out[-1] != self.unknown:
                 out.append(self.unknown)
         return out
@@ -168,7 +228,7 @@ class Pieces:
         inside, begin, out = self.inside, 0, []
         for end in range(1, len(word) + 1):
             if end == len(word) or word[end - 1 : end + 1] not in inside:
-                part = word[begin:end]
+                part = word if end - begin == len(word) else word[begin:end]
                 ids = self.words.get(part)
                 if ids is None:
                     ids = self._ids(part)
@@ -184,15 +244,7 @@ class Pieces:
 
     def decode(self, ids: list[int]) -> str:
         """The text of ``ids``; bytes that are no UTF-8 become the replacement character."""
-        out = bytearray()
-        for i in ids:
-            if self.kinds[i] == BYTE:
-                out.append(int(self.names[i][3:5], 16))
-            elif self.kinds[i] in (NORMAL, USER):
-                out += self.names[i].replace(SPACE, " ").encode("utf-8")
-            elif self.kinds[i] == 2:
-                out += " ⁇ ".encode()
-        text = out.decode("utf-8", "replace")
+        text = b"".join(map(self.spelled.__getitem__, ids)).decode("utf-8", "replace")
         return text[1:] if self.prefix and text.startswith(" ") else text
 
 
@@ -247,7 +299,12 @@ def decoded(rows: DataFrame, model: str | None = None) -> DataFrame:
 
 
 def round_trip(docs: DataFrame, model: str | None = None) -> DataFrame:
-    """``(doc_id, n_pieces, ids_crc32, n_bytes, exact)``: every text encoded, and whether decoding gives it back."""
+    """``(doc_id, n_pieces, ids_crc32, n_bytes, exact)``: every text encoded, and whether decoding gives it back.
+
+    A null or empty text has no pieces and comes back as the empty one; texts of any length are searched whole;
+    repeated rows have a row each, a null ``doc_id`` stays null, other columns are ignored, an empty table gives
+    an empty result.
+    """
     path = model or default_model()
 
     @lean
@@ -259,7 +316,8 @@ def round_trip(docs: DataFrame, model: str | None = None) -> DataFrame:
             out = []
             for text in batch.column(1).to_pylist():
                 ids = pieces.encode(text or "")
-                out.append((len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()), len((text or "").encode("utf-8")), pieces.decode(ids) == (text or "")))
+                crc = zlib.crc32(np.frombuffer(array("i", ids), np.int32).astype("<u4").tobytes())
+                out.append((len(ids), crc, len((text or "").encode("utf-8")), pieces.decode(ids) == (text or "")))
             columns = list(zip(*out)) or [(), (), (), ()]
             yield batch_of(
                 doc_id=batch.column(0), n_pieces=pa.array(columns[0], pa.int64()), ids_crc32=pa.array(columns[1], pa.int64()),
