@@ -29,7 +29,7 @@ OPEN_BINS = 512
 #: Tokens that one packing task gets; each task ends with some bins half full, so tasks are large.
 TASK_TOKENS = 16_777_216
 #: Words that a Python worker remembers, about 200 bytes each, and as many pre-tokens.
-CACHED_WORDS = 150_000
+CACHED_WORDS = 300_000
 #: Documents that are tokenised at once.
 BATCH_DOCUMENTS = 2_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
