@@ -258,7 +258,7 @@ class TokenWriter(DataSourceArrowWriter):
         store.create_dir(place, recursive=True)
         try:
             shard = Shard(store.open_output_stream(f"{place}/{name}"), self.percent)
-            for batch in iterator:
+            for batch in (whole.slice(at, 1_000) for whole in iterator for at in range(0, whole.num_rows, 1_000)):
                 names, column = batch.column("doc_id"), batch.column("ids")
                 if pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type):
                     parts = [x.as_buffer() if x.is_valid else b"" for x in column]
