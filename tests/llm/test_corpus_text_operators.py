@@ -195,13 +195,53 @@ def test_mixer_is_a_distribution(spark):
     docs = spark.createDataFrame([(i, "the cat sat on the mat " * 20) for i in range(9)], "doc_id long, text string")
     counts, _ = lm_scoring.gathered(docs)
     nothing = lm_scoring.Blend(np.zeros(0, np.int64), np.zeros(0, np.int64), 0, 0, np.zeros(16))
-    mixer = lm_scoring.fitted(counts, nothing, docs.limit(3).toArrow().column("text"))
+    mixer = lm_scoring.fitted(counts, nothing, lm_scoring.words_of(docs.limit(3).toArrow().column("text")))
     start = np.frombuffer(b"the c", np.uint8)
     total = 0.0
     for byte in range(256):
         stream = np.append(start, np.uint8(byte))
         total += math.exp(-mixer.cost(stream, lm_scoring.contexts(stream, np.zeros(len(stream), int)))[-1])
     assert total == pytest.approx(1, abs=1e-3)
+    # so they do by weights that the text before has refined
+    before = np.frombuffer(b"the mat the mat xx the mat " * 8, np.uint8)
+    own, total = lm_scoring.Refined(1, 3), 0.0
+    mixer.cost(before, lm_scoring.contexts(before, np.zeros(len(before), int)), own, np.zeros(len(before), int))
+    own.step(0.25)
+    assert np.abs(own.moved).max() > 0
+    for byte in range(256):
+        stream = np.append(before, np.uint8(byte))
+        slots = lm_scoring.contexts(stream, np.zeros(len(stream), int))
+        total += math.exp(-mixer.cost(stream, slots, own, np.zeros(len(stream), int))[-1])
+    assert total == pytest.approx(1, abs=1e-3)
+
+
+def test_blocks_of_bytes():
+    sizes = np.bincount(lm_scoring.byte_blocks(np.arange(20_000)))
+    assert sizes[:9].tolist() == [64, 128, 256, 512, 1024, 2048, 4096, 4096, 4096] and sizes.sum() == 20_000
+
+
+def test_weights_are_refined_within_each_text_alone(spark):
+    """A text unlike the others gets cheaper by its own refinements; what stands beside it in the batch is of no account."""
+    odd = (7, " ".join(f"{k}zq{k % 3}" for k in range(400)))
+    common = [(100 + i, " ".join(f"plain{(i * k) % 31} word" for k in range(60))) for i in range(40)]
+    docs = spark.createDataFrame([*common, odd, (8, odd[1] + " plain1")], "doc_id long, text string")
+    learn = F.col("doc_id") >= 100
+    plain = {r.doc_id: r.score for r in lm_scoring.scored(docs, learn, damping=0).collect()}
+    got = {r.doc_id: r.score for r in lm_scoring.scored(docs, learn).collect()}
+    assert got[7] > plain[7] + 1
+    alone = {r.doc_id: r.score for r in lm_scoring.scored(docs.filter("doc_id <> 8"), learn).collect()}
+    assert got[7] == pytest.approx(alone[7], rel=1e-5)
+
+
+def test_rare_words_count_as_wholes(spark):
+    """With a text's share left as fitted, it is of no account which words' counts go with the tasks."""
+    docs = odd_documents(spark)
+    few, many = (
+        {r.doc_id: r.score for r in lm_scoring.scored(docs, F.col("doc_id") % 2 == 1, top_words=n, step=0.0).collect()} for n in (3, 10_000)
+    )
+    assert few.keys() == many.keys()
+    for name in few:
+        assert few[name] == pytest.approx(many[name], rel=1e-5)
 
 
 def test_quality_classifier(spark):
