@@ -254,3 +254,55 @@ def test_warehouse_timestamps(one, raw, want):
 @pytest.mark.parametrize("raw, want", [("12d", None), ("12f", None), ("0x1p3", None), (" -1.5e3 ", -1500.0), (".5", 0.5), ("7.", 7.0), ("", None)])
 def test_numbers_are_decimal(one, raw, want):
     assert one(text.number, "x string", raw) == want
+
+
+@pytest.mark.parametrize(
+    "raw, want",
+    [
+        ("02 January 2024", "2024-01-02 00:00:00"),
+        ("2024/1/2 03:04", "2024-01-02 03:04:00"),
+        ("2024-01-02 10:00:00 PM", "2024-01-02 22:00:00"),
+        ("January 2nd, 2024 at 3pm", "2024-01-02 15:00:00"),
+        ("Tue, Jan 2 2024 12:05 a.m.", "2024-01-02 00:05:00"),
+        ("Tuesday 2 January 2024 12:05 PM", "2024-01-02 12:05:00"),
+        ("2 Jan 24", "2024-01-02 00:00:00"),
+        ("2024 Sept 30", "2024-09-30 00:00:00"),
+        ("30-Sep-1999 23:59:59", "1999-09-30 23:59:59"),
+        ("1/2/24", "2024-01-02 00:00:00"),
+        ("13/2/2024", "2024-02-13 00:00:00"),
+        ("1.2.2024 7:08", "2024-01-02 07:08:00"),
+        ("2024.12.31", "2024-12-31 00:00:00"),
+        ("2024/31/12", "2024-12-31 00:00:00"),
+        ("5/6/80", "1980-05-06 00:00:00"),
+        ("2024/1/2T03:04:05.5", "2024-01-02 03:04:05.5"),
+        ("March 5, 2024 10:00:00 EST", "2024-03-05 10:00:00"),
+        ("5 March 2024 10:00 +0200", "2024-03-05 10:00:00"),
+        ("Dec 25th of 2023", "2023-12-25 00:00:00"),
+        ("MAY 1 2024", "2024-05-01 00:00:00"),
+        ("2024-2-30", None),
+        ("30 February 2024", None),
+        ("January 2024", None),
+        ("Jan 2 Feb 2024", None),
+        ("13 pm 1/2/2024", None),
+        ("2024-01-02 10:61", None),
+        ("1 2 3 4", None),
+        ("soon", None),
+        ("", None),
+        (None, None),
+    ],
+)
+def test_dates_by_tokens(one, raw, want):
+    got = one(dates.naive_timestamp, "x string", raw)
+    assert (None if got is None else str(got).removesuffix("00000") if got.microsecond else str(got)) == want
+
+
+@pytest.mark.parametrize(
+    "raw, want",
+    [
+        ("5 March 2024 10:00 +0200", "2024-03-05T08:00:00+00:00"),
+        ("March 5th, 2024 10:30 pm -05:30", "2024-03-06T04:00:00+00:00"),
+        ("2024/3/5 10:00 UTC", "2024-03-05T10:00:00+00:00"),
+    ],
+)
+def test_instants_by_tokens(one, raw, want):
+    assert one(dates.warehouse_timestamp, "x string", raw) == want
