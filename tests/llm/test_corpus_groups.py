@@ -155,6 +155,33 @@ def test_neighbours_against_all_pairs(spark):
     assert neighbours.nearest(docs.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("kind", ["lengths", "offset", "few", "skewed"])
+def test_neighbours_of_other_vectors(spark, kind):
+    draw = np.random.default_rng(5)
+    vectors = draw.normal(size=(1200, 4 if kind == "few" else 24))
+    if kind == "lengths":
+        vectors *= np.exp(draw.normal(size=(1200, 1)))
+    if kind == "offset":
+        vectors += 4
+    if kind == "skewed":
+        vectors *= 0.7 ** np.arange(24)
+    docs = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    joined = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = neighbours.nearest(docs, F.col("vec_id") % 20 == 0, k=10, block_rows=300, query_rows=20, sample_rows=400).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", joined)
+    hits = 0
+    for q in range(0, 1200, 20):
+        scores = vectors @ vectors[q]
+        scores[q] = -np.inf
+        found = {r.vec_id for r in got if r.query_id == q}
+        assert len(found) == 10
+        hits += len(found & set(np.argsort(-scores, kind="stable")[:10].tolist()))
+    assert hits / 600 >= 0.9
+
+
 def test_every_code_within_the_radius():
     draw = np.random.default_rng(6)
     codes = draw.integers(0, 1 << 16, (3000, 4)).astype(np.uint16)
