@@ -1,7 +1,10 @@
 import base64
 import hashlib
 import json
+import math
+import random
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -224,6 +227,26 @@ def test_ratio_by_hand():
     assert similarity.indel_ratio("", "a") == 0.0
 
 
+@pytest.mark.parametrize("share", [0.3, 0.6, 0.85, 1.0])
+@pytest.mark.parametrize("n", [0, 1, 64, 65, 300])
+def test_long_subsequences_are_the_common_ones(share, n):
+    rng = random.Random(n)
+    text = "".join(rng.choice("abc é") for _ in range(n))
+
+    def changed(rate):
+        kept = (c if rng.random() > rate else rng.choice(["", "x", c + "b"]) for c in text)
+        return "".join(kept)
+
+    others = [changed(rate) for rate in (0, 0.05, 0.1, 0.2, 0.3, 0.5)] + ["", "x", text + text, text[: n // 2]]
+    parts, counts = similarity.codes([text, *others])
+    assert [int(c.sum()) for c in counts] == [len(text), *map(len, others)]
+    least = np.array([math.ceil(share * (n + len(other)) / 2 - 1e-9) for other in others])
+    want = [similarity.common_subsequence(other, text) for other in others]
+    for pack in (1, 4, 64):
+        got = similarity.long_subsequences(parts[0], parts[1:], least, pack)
+        assert got.tolist() == [length if length >= low else 0 for length, low in zip(want, least)]
+
+
 def test_words(one):
     assert one(similarity.sorted_words, "x string", "b a c a") == "a a b c"
     assert one(similarity.sorted_words, "x string", "") == ""
