@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from feedloom.functions.text import repair_xml, strip, unescape_web_address
 from feedloom.operators.ordinals import with_ordinal
+from feedloom.sources.batches import slices
 
 START, END = "<job>", "</job>"
 _CORRUPT = "_corrupt_record"
@@ -174,14 +175,14 @@ def raw_tags(fragments: DataFrame) -> DataFrame:
 
     An element has its own text, trimmed; one inside another has the path as its tag; repeated ones are a row
     each; an empty one has an empty value. Attributes of the job come first, ``_`` before their name. The tree of
-    unknown depth is taken apart in Arrow batches.
+    unknown depth is taken apart in Arrow batches, a bounded piece of one at a time.
     """
     kept = [c for c in ("file_path", "position") if c in fragments.columns]
     rows = accepted(fragments).select("fragment", *kept)
     schema = T.StructType([*[rows.schema[c] for c in kept], T.StructField("pos", T.IntegerType()), T.StructField("tag", T.StringType()), T.StructField("value", T.StringType())])
 
     def take_apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (piece for whole in batches for piece in slices(whole, 0)):
             found = [_elements(fragment) for fragment in batch.column(0).to_pylist()]
             at = pa.array([k for k, tags in enumerate(found) for _ in tags], pa.int64())
             columns = [

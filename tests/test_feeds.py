@@ -1,11 +1,12 @@
 import gzip
 import json
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from feedloom.operators import audit, mapping, validate
-from feedloom.sources import feeds, files
+from feedloom.sources import batches, feeds, files
 
 FEED = """<?xml version="1.0"?><source>
 <job><Title>Nurse</Title><company>R&D Clinic</company><url>https://x.y/a?b=1&amp;c=2&d=3</url><city>Boston</city></job>
@@ -255,3 +256,24 @@ def test_one_set_of_fragments(spark, tmp_path, cut):
 def test_prefixes_of_outer_namespaces(spark):
     rows = spark.createDataFrame([("f", '<job g:no="4"><g:id>7</g:id><time>12:30</time></job>')], "file_path string, fragment string")
     assert [(r["tag"], r["value"]) for r in feeds.raw_tags(rows).orderBy("pos").collect()] == [("_no", "4"), ("id", "7"), ("time", "12:30")]
+
+
+def test_pieces_hold_all_rows_in_order_and_are_bounded():
+    texts = ["a" * 30, None, "é" * 20, "", "b" * 500, "c", "d" * 99]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["n", "text"])
+    pieces = list(batches.slices(batch.slice(1), "text", 100))
+    assert [n for piece in pieces for n in piece.column(0).to_pylist()] == list(range(1, len(texts)))
+    sizes = [[len((text or "").encode()) for text in piece.column(1).to_pylist()] for piece in pieces]
+    assert all(len(piece) == 1 or sum(piece) <= 100 for piece in sizes) and len(sizes) < len(texts) - 1
+    assert list(batches.slices(batch.slice(0, 0), 1, 100)) == []
+
+
+def test_raw_tags_are_taken_apart_in_bounded_pieces(spark, monkeypatch):
+    fragments = [f"<job><id>{i}</id><d>{'x' * 40_000}</d></job>" for i in range(100)]
+    work = []
+    with monkeypatch.context() as patched:
+        patched.setattr(type(spark.range(1)), "mapInArrow", lambda self, fn, schema: work.append(fn) or self.selectExpr("'' AS value"))
+        feeds.raw_tags(spark.createDataFrame([(fragments[0],)], "fragment string"))
+    parts = list(work[0](iter([pa.RecordBatch.from_arrays([pa.array(fragments)], ["fragment"])])))
+    assert sum(part.num_rows for part in parts) == 200
+    assert max(part.nbytes for part in parts) < 2 * batches.SLICE_BYTES
