@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
+from feedloom.sources.batches import slices
+
 #: ``send(action, batch_key, payload)`` returns a status code; timeouts are raised as ``TimeoutError``.
 Send = Callable[[str, str, str], int]
 
@@ -93,8 +95,9 @@ class BatchWriter(DataSourceArrowWriter):
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Sent:
         journal, done = Journal(self.journal), Sent(0, 0, 0, 0)
         place = TaskContext.get().partitionId()
-        for batch in iterator:
-            for row in batch.select(["action", "batch_key", "batch_no", "batch_rows", "payload"]).to_pylist():
+        names = ["action", "batch_key", "batch_no", "batch_rows", "payload"]
+        for batch in (piece for whole in iterator for piece in slices(whole.select(names), "payload")):
+            for row in batch.to_pylist():
                 key, payload = row["batch_key"], row.pop("payload")
                 if journal.accepted(key):
                     done.repeated += 1

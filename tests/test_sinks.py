@@ -5,13 +5,14 @@ import sys
 from collections import Counter
 from pathlib import Path
 
+import pyarrow as pa
 import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from feedloom.operators import publish
 from feedloom.session import materialise
-from feedloom.sources import sinks
+from feedloom.sources import batches, sinks
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -136,3 +137,20 @@ def test_rows_of_another_shape_are_refused(spark, tmp_path):
     spark.dataSource.register(sinks.batch_sink("shape_test", Notes(tmp_path)))
     with pytest.raises(Exception, match="missing"):
         spark.range(3).write.format("shape_test").mode("append").option("journal", str(tmp_path)).save()
+
+
+def test_payloads_are_python_values_piece_by_piece(tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "TaskContext", type("Task", (), {"get": staticmethod(lambda: type("T", (), {"partitionId": staticmethod(lambda: 0)}))}))
+    sizes, sent = [], []
+
+    def noted(whole, column, *size):
+        for piece in batches.slices(whole, column, *size):
+            sizes.append(sum(len(x) for x in piece.column("payload").to_pylist()))
+            yield piece
+
+    monkeypatch.setattr(sinks, "slices", noted)
+    columns = {"action": ["add"] * 50, "batch_key": [f"{i:064x}" for i in range(50)], "batch_no": list(range(50)), "batch_rows": [1] * 50, "payload": ["p" * 90_000] * 50}
+    writer = sinks.BatchWriter(lambda action, key, payload: sent.append(key) or 200, str(tmp_path), 1, 0.0, True)
+    done = writer.write(iter([pa.RecordBatch.from_pydict(columns)]))
+    assert sent == columns["batch_key"] and done.batches == 50
+    assert len(sizes) > 1 and max(sizes) <= batches.SLICE_BYTES
