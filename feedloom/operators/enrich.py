@@ -185,7 +185,11 @@ def enrich(
     share results. The answers are written before use: calls are costly and may not repeat equally.
     """
     names = struct_type(ddl).fieldNames()
-    hits, misses = cache_hits(rows, cache, key)
+    # the rows and what the cache has for them are computed and shuffled once, for hits, questions and answers alike
+    found = cache.select(key, F.col("result").alias("_result"), F.lit(True).alias("_hit"))
+    marked = materialise(rows.join(found, key, "left"), "marked")
+    hits = marked.filter("_hit").select(*rows.columns, F.col("_result").alias("result"))
+    misses = marked.filter("_hit IS NULL").select(*rows.columns)
     asked = misses.groupBy(key).agg(
         F.min_by(F.struct(*[c for c in dict.fromkeys([order, *keys, *inputs]) if c != key]), order).alias("row")
     ).select(key, "row.*")

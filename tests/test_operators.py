@@ -206,6 +206,22 @@ def test_enrich_uses_the_cache(spark):
     assert enrich.save_cache(cache, entries).count() == 2
 
 
+def test_enrich_computes_its_rows_once(spark):
+    computed = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def hashed(seq):
+        computed.add(1)
+        return "abc"[seq % 3]
+
+    rows = spark.range(12).select(F.col("id").alias("seq"), hashed("id").alias("job_hash"))
+    cache = spark.createDataFrame([("a", ("x",))], "job_hash string, result struct<searchable_text:string>")
+    out, _ = enrich.enrich(rows, cache, lambda batch: [{"searchable_text": "y"} for _ in batch], enrich.SEARCHABLE, "seq", [], delay=0.0)
+    got = {r["seq"]: (r["searchable_text"], r["from_cache"]) for r in out.collect()}
+    assert got == {i: ("x", True) if i % 3 == 0 else ("y", False) for i in range(12)}
+    assert computed.value == 12
+
+
 def test_parse_response(one):
     text = '{"selections": [{"job_function_id": 3, "reasoning": "x"}, "no", 5, {"job_function_id": 4}]}'
     got = one(lambda x: enrich.parse_response(x, enrich.SELECTION, "selections"), "x string", text)
