@@ -4,12 +4,13 @@ A text is the sequence of its words, A-Z in lower case, and its end. A word's by
 are coded as paths in a fixed binary tree, in which frequent bytes have short paths, and every branch is a
 bit to predict. Three hashed contexts (three bytes, five bytes, the word so far) each hold counts of what
 followed in all training texts; each gives the log-odds of the bit. Weights gated by the branch's depth and
-by how well the contexts are known mix them. They start from online steps over a bounded sample, in which a
-word's own count is taken off, and every text then refines its own copy: after each block of its bytes, the
-first of ``FIRST_BYTES``, a damped Newton step moves the weights of each gate, for the blocks that follow.
-A last mixing step weighs the word's bytes against the word as a whole, by its count, with a share for its
-length, which is refined after every block of words likewise. The bits of all words and of the end are the
-text's cost.
+by how well the contexts are known mix them. They start from those of greatest likelihood for all bits of all
+training texts, a bit's own count taken off: the bits are tallied by depth, gate and the levels of the three
+log-odds, and the tallies, whose number is bounded, are summed over all tasks before the weights are solved
+for. Every text then refines its own copy: after each block of its bytes, the first of ``FIRST_BYTES``, a damped
+Newton step moves the weights of each gate, for the blocks that follow. A last mixing step weighs the word's
+bytes against the word as a whole, by its count, with a share for its length, which is fitted on all training words by such tallies
+and refined after every block of words likewise. The bits of all words and of the end are the text's cost.
 
 Beside it stands a word unigram. Words are counted over all training texts, none is left out; the
 ``TOP_WORDS`` most frequent counts go with the scoring tasks, all other words of a text are joined with the
@@ -20,22 +21,18 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import Spans, batch_of, lowered, mixed, row_of, text_buffer, word_limits
+from feedloom.llm.common import Spans, batch_of, lowered, row_of, text_buffer, word_limits
 from feedloom.session import materialise
 
 #: Slots of the contexts; each slot has counts of the 256 bytes that may follow.
 SLOTS = (1 << 14, 1 << 16, 1 << 16)
-#: Training texts that the mixing weights are fitted on, at most about this many, none longer than SAMPLE_CHARS.
-SAMPLE_DOCS = 250
-SAMPLE_CHARS = 20_000
 #: Most frequent words whose counts are sent to all tasks.
 TOP_WORDS = 1 << 18
 #: Words after which a text's shares are refined, and the size of that step.
@@ -52,6 +49,15 @@ DAMPING = 0.25
 SPLITS = 8
 SCALE = 12.0
 GATES = 9
+#: Weight of each context before any are fitted.
+START = 0.4
+#: Levels that a context's log-odds have while the weights are fitted, and their width in parts of 1 / SCALE.
+LEVELS = 22
+WIDTH = 12
+#: Bins of the log-odds of words while the shares are fitted: as many for each nat, from -LEAST_ODDS on.
+BINS = 1024
+BINS_NAT = 8
+LEAST_ODDS = 20.0
 #: Word lengths with a share of their own in the last mixing step.
 LENGTHS = 16
 BLANK = 32
@@ -100,21 +106,33 @@ def words_in(data: np.ndarray, limits: np.ndarray) -> Words:
 def contexts(stream: np.ndarray, begins: np.ndarray) -> list[np.ndarray]:
     """Slot of each of the three contexts at every byte; they never look past the begin of its text."""
     n = len(stream)
-    padded = np.concatenate([np.full(5, BLANK, np.uint8), stream]).astype(np.uint32)
-    inside = (np.arange(n) - begins).astype(np.int32)
-    before = [np.where(inside > k, padded[4 - k : n + 4 - k], np.uint32(BLANK)) for k in range(5)]
-    three = before[0] << np.uint32(16) | before[1] << np.uint32(8) | before[2]
-    five = three * np.uint32(0x85EBCA6B) ^ (before[3] << np.uint32(8) | before[4]) * np.uint32(0xC2B2AE35)
+    padded = np.concatenate([np.full(5, BLANK, np.uint8), stream])
+    before = [padded[4 - k : n + 4 - k].copy() for k in range(5)]
+    first = np.flatnonzero(begins == np.arange(n))
+    for k in range(5):  # the first bytes of a text have blanks before them
+        near = (first[:, None] + np.arange(k + 1)).ravel()
+        near = near[near < n]
+        before[k][near[near - begins[near] <= k]] = BLANK
+    three = before[0].astype(np.uint32) << np.uint32(16)
+    three |= before[1].astype(np.uint32) << np.uint32(8)
+    three |= before[2]
+    five = before[3].astype(np.uint32) << np.uint32(8)
+    five |= before[4]
+    five *= np.uint32(0xC2B2AE35)
+    five ^= three * np.uint32(0x85EBCA6B)
     five ^= five >> np.uint32(15)
-    begin = np.zeros(n, np.int32)
-    begin[1:] = np.where(stream[:-1] == BLANK, np.arange(1, n, dtype=np.int32), 0)
-    begin = np.maximum.accumulate(begin)
-    at = np.arange(n, dtype=np.int32)
-    prefix = Spans(stream).raw(begin, at) + (at - begin).astype(np.uint64)
+    five *= np.uint32(0x9E3779B1)
+    three *= np.uint32(0x9E3779B1)
+    blanks = np.flatnonzero(stream[:-1] == BLANK) + 1
+    edges = np.concatenate([[0], blanks, [n]])
+    sizes = np.diff(edges)
+    prefix = Spans(stream).prefixes(edges[:-1], sizes)
+    prefix += (np.arange(n) - np.repeat(edges[:-1], sizes)).astype(np.uint64)
+    prefix *= np.uint64(0xBF58476D1CE4E5B9)
     return [
-        ((three * np.uint32(0x9E3779B1)) >> np.uint32(32 - 14)).astype(np.int32),
-        ((five * np.uint32(0x9E3779B1)) >> np.uint32(32 - 16)).astype(np.int32),
-        ((prefix * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(64 - 16)).astype(np.int32),
+        (three >> np.uint32(32 - 14)).astype(np.int32),
+        (five >> np.uint32(32 - 16)).astype(np.int32),
+        (prefix >> np.uint64(64 - 16)).astype(np.int32),
     ]
 
 
@@ -137,7 +155,7 @@ def byte_tree(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
                 paths[b].append((node, bit))
         below[256 + node] = below.pop(pair[0]) + below.pop(pair[1])
     length = np.array([len(p) for p in paths], np.uint8)
-    nodes, bits = np.zeros((length.max(), 256), np.int32), np.zeros((length.max(), 256), np.float32)
+    nodes, bits = np.zeros((length.max(), 256), np.intp), np.zeros((length.max(), 256), np.float32)
     for b, path in enumerate(paths):
         for depth, (node, bit) in enumerate(reversed(path)):
             nodes[depth, b], bits[depth, b] = node, 2 * bit - 1
@@ -154,17 +172,20 @@ def byte_blocks(inside: np.ndarray) -> np.ndarray:
 
 
 class Refined:
-    """How far each row has moved the weights of each gate, and what the bits since the last step teach."""
+    """How far each row has moved the weights of each gate, and what the bits since the last step teach.
+
+    The squares of a byte's slopes stand for the curvature, which is their expectation.
+    """
 
     def __init__(self, rows: int, inputs: int):
-        self.moved = np.zeros((inputs, rows * GATES), np.float32)
-        self.slope = np.zeros((inputs, rows * GATES))
-        self.curve = np.full((inputs, rows * GATES), FIRMNESS * SCALE * SCALE)
+        self.moved = np.zeros((GATES, inputs, rows), np.float32)
+        self.slope = np.zeros(self.moved.shape)
+        self.curve = np.full(self.moved.shape, FIRMNESS * SCALE * SCALE)
 
-    def note(self, cell: np.ndarray, slope: np.ndarray, curve: np.ndarray) -> None:
-        for i in range(len(slope)):
-            self.slope[i] += np.bincount(cell, slope[i], self.slope.shape[1])
-            self.curve[i] += np.bincount(cell, curve[i], self.slope.shape[1])
+    def note(self, gate: int, row: np.ndarray, slope: np.ndarray) -> None:
+        for i, x in enumerate(slope):
+            self.slope[gate, i] += np.bincount(row, x, self.slope.shape[2])
+            self.curve[gate, i] += np.bincount(row, x * x, self.slope.shape[2])
 
     def step(self, damping: float) -> None:
         self.moved += (damping * self.slope / self.curve).astype(np.float32)
@@ -183,56 +204,76 @@ class Mixer:
     def gates(self, slots: list[np.ndarray]) -> np.ndarray:
         return self.known[-2][slots[-2]] * np.uint8(3) + self.known[-1][slots[-1]]
 
-    def cost(self, stream: np.ndarray, slots: list[np.ndarray], own: Refined | None = None, row: np.ndarray | None = None) -> np.ndarray:
-        """Natural logarithm of each byte's probability, negated.
-
-        With the refined weights ``own`` of the rows, ``row`` says which row each byte is of, and what the bits
-        teach is noted in ``own``.
-        """
-        gate = self.gates(slots)
-        # longest codes first, so that the bytes with a branch at some depth are a slice
-        at = np.argsort(np.uint8(255) - self.length[stream], kind="stable")
-        byte, g = stream[at].astype(np.intp), gate[at].astype(np.intp)  # places, so that no lookup converts them again
+    def ordered(self, stream: np.ndarray, gate: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The bytes by group, gate and falling code length; the runs of a group and gate, as numbers and limits."""
+        key = (group.astype(np.uint64) * np.uint64(GATES) + gate) << np.uint64(40)
+        key |= (np.uint8(255) - self.length[stream]).astype(np.uint64) << np.uint64(32)
+        key |= np.arange(len(stream), dtype=np.uint64)
+        key.sort()
+        order, run = (key & np.uint64(0xFFFFFFFF)).astype(np.int64), (key >> np.uint64(40)).astype(np.int64)
+        limits = np.flatnonzero(np.append(True, run[1:] != run[:-1]))
+        return order, run[limits], np.append(limits, len(run))
+
+    def mixed(self, gate: int, byte: np.ndarray, bases: list[np.ndarray], moved: np.ndarray | None, slope: np.ndarray | None) -> np.ndarray:
+        """Cost of bytes of one gate, longest codes first, so that the bytes with a branch at some depth are a
+        slice; their slopes by each input are added to ``slope``."""
         active = np.cumsum(np.bincount(self.length[byte], minlength=len(self.nodes) + 1)[::-1])[::-1]
-        bases = [s[at].astype(np.intp) * 256 for s in slots]
-        loss = np.zeros(len(at), np.float32)
-        if own is not None:
-            cell = row[at] * GATES + g
-            moved = own.moved.take(cell, axis=1)
-            slope, curve = np.zeros_like(moved), np.zeros_like(moved)
+        loss = np.zeros(len(byte), np.float32)
         for depth in range(len(self.nodes)):
             a = int(active[depth + 1])
             if not a:
                 break
-            node, w = self.nodes[depth].take(byte[:a]), self.weights[depth]
-            z = w[:, -1].take(g[:a])
-            inputs = [table.take(bases[i][:a] + node) for i, table in enumerate(self.tables)]
-            for i, x in enumerate(inputs):
-                z += (w[:, i].take(g[:a]) if own is None else w[:, i].take(g[:a]) + moved[i, :a]) * x
-            sign = self.bits[depth].take(byte[:a])
-            z *= sign
-            np.negative(z, out=z)
-            odds = np.exp(np.minimum(z, np.float32(40), out=z))
+            weights = self.weights[depth, gate]
+            node, away = self.nodes[depth].take(byte[:a]), -self.bits[depth].take(byte[:a])
+            z = np.full(a, weights[-1])
+            inputs = []
+            for i, table in enumerate(self.tables):
+                x = table.take(bases[i][:a] + node).astype(np.float32)
+                z += x * (weights[i] if moved is None else moved[i, :a] + weights[i])
+                inputs.append(x)
+            z *= away
+            odds = np.exp(np.minimum(z, np.float32(40), out=z), out=z)
             whole = odds + np.float32(1)
-            loss[:a] += np.log(whole)
-            if own is not None:
+            if slope is not None:
                 error = np.divide(odds, whole, out=odds)
-                bend = error * (1 - error)
-                error *= sign
+                error *= away
                 for i, x in enumerate(inputs):
-                    slope[i, :a] += error * x
-                    step = bend * x
-                    step *= x
-                    curve[i, :a] += step
-        if own is not None:
-            own.note(cell, slope, curve)
-        out = np.empty(len(at), np.float32)
-        out[at] = loss
+                    x *= error
+                    slope[i, :a] -= x
+            loss[:a] += np.log(whole, out=whole)
+        return loss
+
+    def cost(self, stream: np.ndarray, slots: list[np.ndarray], own: Refined | None = None, row: np.ndarray | None = None) -> np.ndarray:
+        """Natural logarithm of each byte's probability, negated.
+
+        With the refined weights ``own`` of the rows, ``row`` says which row each byte is of, and what the bits
+        teach is noted in ``own``.
+        """
+        order, runs, limits = self.ordered(stream, self.gates(slots), np.zeros(len(stream), np.int64))
+        out = np.empty(len(stream), np.float32)
+        for gate, begin, end in zip(runs.tolist(), limits[:-1].tolist(), limits[1:].tolist()):
+            at = order[begin:end]
+            out[at] = self.run_cost(gate, at, stream, slots, own, row, own is not None)
         return out
 
+    def run_cost(
+        self, gate: int, at: np.ndarray, stream: np.ndarray, slots: list[np.ndarray], own: Refined | None, row: np.ndarray | None,
+        learn: bool, begun: bool = True,
+    ) -> np.ndarray:
+        """Cost of the bytes ``at`` of one gate; noted in ``own`` if they are to ``learn`` from. Rows that have not
+        ``begun`` to refine have the fitted weights."""
+        of = None if own is None else row[at]
+        moved = None if own is None or not begun else own.moved[gate].take(of, axis=1)
+        slope = np.zeros((len(self.tables), len(at)), np.float32) if learn else None
+        # places, so that no lookup converts them again
+        loss = self.mixed(gate, stream[at].astype(np.intp), [s[at].astype(np.intp) * 256 for s in slots], moved, slope)
+        if learn:
+            own.note(gate, of, slope)
+        return loss
+
     def word_cost(self, words: Words, damping: float = DAMPING) -> np.ndarray:
         """The cost of every word and the blank behind it. All rows advance block by block, each by its own
-        refined weights; a block of all rows is mixed part by part."""
+        refined weights; a block of all rows is mixed part by part. A row's last block is not learned from."""
         stream, first, begins = words.stream()
         if not len(stream):
             return np.zeros(0)
@@ -240,55 +281,68 @@ class Mixer:
         row = np.append(0, np.cumsum(begins[1:] != begins[:-1]))
         own = Refined(int(row[-1]) + 1, len(self.tables))
         block = byte_blocks(np.arange(len(stream)) - begins)
-        order = np.argsort(block, kind="stable")
-        limits = np.searchsorted(block[order], np.arange(int(block.max()) + 2))
-        cost = np.empty(len(stream), np.float32)
-        for begin, end in zip(limits[:-1].tolist(), limits[1:].tolist()):
+        last = block[np.append(np.flatnonzero(row[1:] != row[:-1]), len(row) - 1)]
+        order, runs, limits = self.ordered(stream, self.gates(slots), 2 * block + (block == last[row]))
+        cost, now = np.empty(len(stream), np.float32), 0
+        for run, begin, end in zip(runs.tolist(), limits[:-1].tolist(), limits[1:].tolist()):
+            (at_block, is_last), gate = divmod(run // GATES, 2), run % GATES
+            if at_block != now:
+                own.step(damping)
+                now = at_block
             for k in range(begin, end, PART_BYTES):
                 at = order[k : min(k + PART_BYTES, end)]
-                cost[at] = self.cost(stream[at], [s[at] for s in slots], own, row[at])
-            own.step(damping)
+                cost[at] = self.run_cost(gate, at, stream, slots, own, row, not is_last and damping > 0, now > 0)
         return np.add.reduceat(cost.astype(np.float64), first)
 
 
-def fit_weights(
-    mixer: Mixer, seen: list[tuple[np.ndarray, np.ndarray, np.ndarray]], stream: np.ndarray, slots: list[np.ndarray],
-    passes: int = 8, size: int = 40_000, rate: float = 0.03,
-) -> None:
-    """Online steps over batches of the sample; a bit's own count is taken off before it is predicted.
+def tuples(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """The different slots and byte that follows, packed, of all bytes, and how often each occurs."""
+    stream, _, begins = words.stream()
+    three, five, prefix = contexts(stream, begins)
+    key = three.astype(np.int64) << 40
+    key |= five.astype(np.int64) << 24
+    key |= prefix.astype(np.int64) << 8
+    key |= stream
+    key.sort()
+    new = np.flatnonzero(np.append(True, key[1:] != key[:-1])[: len(key)])
+    return key[new], np.diff(np.append(new, len(key)))
+
+
+def unpacked(key: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    return [key >> 40, key >> 24 & 0xFFFF, key >> 8 & 0xFFFF], key & 255
 
-    ``seen`` has for each context the place of every byte's slot and the counts of both bits at its branches.
+
+def _log_odds(level: np.ndarray) -> np.ndarray:
+    """The log-odds amid a level."""
+    return (level * WIDTH + (WIDTH - 1) / 2 - WIDTH * LEVELS / 2) / SCALE
+
+
+def solved(bits: np.ndarray, steps: int = 30, firmness: float = 1.0) -> np.ndarray:
+    """The weights of greatest likelihood for tallied bits, by Newton steps for each depth and gate.
+
+    A prior of ``firmness`` holds them near equal weights, which are those of a gate without bits.
     """
-    gate = mixer.gates(slots)
-    first, second = np.zeros_like(mixer.weights), np.full_like(mixer.weights, 1e-8)
-    t = 0
-    for _ in range(passes):
-        for begin in range(0, len(stream), size):
-            part = slice(begin, begin + size)
-            byte = stream[part]
-            grad = np.zeros_like(mixer.weights)
-            for depth in range(len(mixer.nodes)):
-                here = np.flatnonzero(mixer.length[byte] > depth)
-                if not len(here):
-                    break
-                node, bit, g = mixer.nodes[depth][byte[here]], mixer.bits[depth][byte[here]], gate[part][here]
-                inputs = []
-                for place, zeros, ones in seen:
-                    cell = place[part][here].astype(np.int64) * 256 + node
-                    up, down = ones[cell] - (bit > 0), zeros[cell] - (bit < 0)
-                    inputs.append(np.log((np.maximum(up, 0) + PRIOR) / (np.maximum(down, 0) + PRIOR)) * SCALE)
-                inputs.append(np.ones(len(here), np.float32))
-                w = mixer.weights[depth][g]
-                z = sum(w[:, i] * x for i, x in enumerate(inputs))
-                error = bit / (1 + np.exp(np.minimum(bit * z, 40))) / len(byte)
-                for i, x in enumerate(inputs):
-                    grad[depth, :, i] = np.bincount(g, error * x / (SCALE if i < len(SLOTS) else 1), GATES)
-            t += 1
-            first = 0.9 * first + 0.1 * grad
-            second = 0.98 * second + 0.02 * grad * grad
-            move = rate * (first / (1 - 0.9**t)) / (np.sqrt(second / (1 - 0.98**t)) + 1e-6)
-            move[:, :, :-1] /= SCALE
-            mixer.weights += move.astype(np.float32)
+    depths, cells = len(bits), np.flatnonzero(bits)
+    n = bits.ravel()[cells]
+    group, rest = np.divmod(cells, 2 * LEVELS**3)
+    bit, rest = np.divmod(rest, LEVELS**3)
+    sign, groups = np.where(bit > 0, 1.0, -1.0), depths * GATES
+    place = np.stack([rest // LEVELS**2, rest // LEVELS % LEVELS, rest % LEVELS])
+    x = np.concatenate([_log_odds(place), np.ones((1, len(cells)))])
+    start = np.array([*[START] * len(SLOTS), 0.0])
+    weights = np.tile(start, (groups, 1))
+    for _ in range(steps if len(cells) else 0):
+        error = 1 / (1 + np.exp(np.clip(sign * (weights[group].T * x).sum(axis=0), -40, 40)))
+        slope = np.stack([np.bincount(group, n * error * sign * r, groups) for r in x], axis=1) - firmness * (weights - start)
+        bend, curve = n * error * (1 - error), np.zeros((groups, len(x), len(x)))
+        for i in range(len(x)):
+            for k in range(i + 1):
+                curve[:, i, k] = curve[:, k, i] = np.bincount(group, bend * x[i] * x[k], groups)
+        curve += firmness * np.eye(len(x))
+        move = np.linalg.solve(curve, slope[:, :, None])[:, :, 0]
+        weights += move / np.maximum(np.abs(move).max(axis=1, keepdims=True), 1.0)
+    weights[:, :-1] /= SCALE
+    return weights.reshape(depths, GATES, len(x)).astype(np.float32)
 
 
 def _log_sigmoid(x: np.ndarray) -> np.ndarray:
@@ -309,12 +363,19 @@ class Blend:
     def end(self) -> float:
         return min(max(self.texts / self.tokens, 1e-9), 1 - 1e-9) if self.tokens else 0.5
 
+    def listed(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
+        """The place of every different word in the list, and whether it is there."""
+        if not len(self.keys):
+            return np.zeros(len(words.keys), np.int64), np.zeros(len(words.keys), bool)
+        slot = np.minimum(np.searchsorted(self.keys, words.keys), len(self.keys) - 1)
+        return slot, self.keys[slot] == words.keys
+
     def parts(self, words: Words, own: int = 0) -> tuple[np.ndarray, np.ndarray]:
         """Log-odds of every different word by its length, and its log probability, -inf where it is not listed."""
         found = np.full(len(words.keys), -np.inf)
+        slot, known = self.listed(words)
         if len(self.keys):
-            slot = np.minimum(np.searchsorted(self.keys, words.keys), len(self.keys) - 1)
-            known = (self.keys[slot] == words.keys) & (self.counts[slot] > own)
+            known = known & (self.counts[slot] > own)
             found[known] = np.log((self.counts[slot[known]] - own) / max(self.tokens - self.texts, 1))
         return np.minimum(words.sizes, len(self.odds)) - 1, found
 
@@ -345,14 +406,115 @@ class Blend:
         return total, lift
 
 
-def fit_blend(blend: Blend, words: Words, by_bytes: np.ndarray, passes: int = 20) -> None:
-    """Expectation maximisation of the shares over the sample, each word's own count taken off."""
-    bucket, whole = (x[words.of] for x in blend.parts(words, own=1))
+@dataclass
+class Tally:
+    """What the training texts tell of the weights and the shares, as counts that add up over tasks.
+
+    ``bits`` has for each depth and gate the bits by the bit itself and by the level of each context's log-odds, in which
+    the bit's own count is taken off. ``words`` has for each length the words by the log-odds of the whole word
+    against its bytes, its own count taken off as well; the first bin is for words without other copies.
+    """
+
+    bits: np.ndarray
+    words: np.ndarray
+
+    @classmethod
+    def empty(cls, mixer: Mixer) -> Tally:
+        return cls(np.zeros((len(mixer.nodes), GATES, 2 * LEVELS**3), np.int64), np.zeros((LENGTHS, BINS), np.int64))
+
+    def add(self, mixer: Mixer, levels: list[np.ndarray], blend: Blend, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``levels`` has for each context's cells and either bit the level of the log-odds without one count of it. The
+        cost of bytes is that by equal weights, as the fitted ones come of this tally. Returned are the words that
+        ``blend`` does not list: their keys, places of their lengths and costs."""
+        stream, first, begins = words.stream()
+        if not len(stream):
+            return words.keys, words.of, np.zeros(0)
+        slots, cost = contexts(stream, begins), np.empty(len(stream), np.float32)
+        place = np.arange(2 * LEVELS**3)
+        away = START * sum(_log_odds(x) for x in (place // LEVELS**2 % LEVELS, place // LEVELS % LEVELS, place % LEVELS))
+        costs = np.logaddexp(0, np.where(place < LEVELS**3, away, -away)).astype(np.float32)
+        branch = 2 * mixer.nodes + (mixer.bits > 0)
+        order, runs, limits = mixer.ordered(stream, mixer.gates(slots), np.zeros(len(stream), np.int64))
+        for gate, begin, end in zip(runs.tolist(), limits[:-1].tolist(), limits[1:].tolist()):
+            for k in range(begin, end, PART_BYTES):
+                at = order[k : min(k + PART_BYTES, end)]
+                byte, bases = stream[at].astype(np.intp), [s[at].astype(np.intp) * 512 for s in slots]
+                active = np.cumsum(np.bincount(mixer.length[byte], minlength=len(branch) + 1)[::-1])[::-1]
+                loss = np.zeros(len(at), np.float32)
+                for depth in range(len(branch)):
+                    a = int(active[depth + 1])
+                    if not a:
+                        break
+                    node = branch[depth].take(byte[:a])
+                    cell = (node & 1).astype(np.uint16)
+                    for base, level in zip(bases, levels):
+                        cell *= np.uint16(LEVELS)
+                        cell += level.take(base[:a] + node)
+                    cell = cell.astype(np.intp)
+                    loss[:a] += costs.take(cell)
+                    self.bits[depth, gate] += np.bincount(cell, minlength=len(costs))
+                cost[at] = loss
+        by_bytes = np.add.reduceat(cost.astype(np.float64), first)
+        bucket, whole = blend.parts(words, own=1)
+        listed, bucket = blend.listed(words)[1][words.of], bucket[words.of]
+        odds = whole[words.of] + by_bytes
+        place = np.where(np.isfinite(odds), np.clip((odds + LEAST_ODDS) * BINS_NAT, 1, BINS - 1), 0).astype(np.int64)
+        self.words += np.bincount((bucket * BINS + place)[listed], minlength=self.words.size).reshape(self.words.shape)
+        return words.keys[words.of[~listed]], bucket[~listed], by_bytes[~listed]
+
+    def rows(self) -> tuple[np.ndarray, np.ndarray]:
+        """The cells that occur, numbered through, and their counts."""
+        whole = np.concatenate([self.bits.ravel(), self.words.ravel()])
+        cells = np.flatnonzero(whole)
+        return cells, whole[cells]
+
+
+def tallied(training: DataFrame, mixer: Mixer, levels: list[np.ndarray], blend: Blend, counts: DataFrame | None) -> Tally:
+    """The tally of all training texts; words that ``blend`` does not list are joined with their ``counts``."""
+    small, joined = sent(levels), counts is not None
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tally, levels = Tally.empty(mixer), received(small, np.uint8)
+        for batch in batches:
+            for _, _, data, limits in _chunks(batch, 0):
+                word, size, cost = tally.add(mixer, levels, blend, words_in(data, limits))
+                if joined:
+                    yield batch_of(
+                        cell=pa.array(size, pa.int64()), n=pa.nulls(len(size), pa.int64()), word=pa.array(word, pa.int64()), cost=pa.array(cost, pa.float64())
+                    )
+        cells, n = tally.rows()
+        yield batch_of(
+            cell=pa.array(cells, pa.int64()), n=pa.array(n, pa.int64()), word=pa.nulls(len(n), pa.int64()), cost=pa.nulls(len(n), pa.float64())
+        )
+
+    found = _few(training).mapInArrow(work, "cell long, n long, word long, cost double")
+    tally = Tally.empty(mixer)
+    if joined:
+        found = materialise(found, "tally")
+        odds = F.log((F.col("of.n") - 1) / F.lit(float(max(blend.tokens - blend.texts, 1)))) + F.col("cost")
+        place = F.greatest(F.lit(1.0), F.least(F.lit(BINS - 1.0), (odds + LEAST_ODDS) * BINS_NAT)).cast("long")
+        place = F.when(F.col("of.n") > 1, place).otherwise(F.lit(0))
+        rare = found.filter("n IS NULL").join(counts.alias("of"), F.col("word") == F.col("of.key"))
+        rare = rare.groupBy((F.col("cell") * BINS + place).alias("cell")).agg(F.count(F.lit(1)).alias("n")).toArrow()
+        tally.words.ravel()[rare.column("cell").to_numpy()] = rare.column("n").to_numpy()
+    sums = found.filter("n IS NOT NULL").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    cells, n = sums.column("cell").to_numpy(), sums.column("n").to_numpy()
+    inner = cells < tally.bits.size
+    tally.bits.ravel()[cells[inner]] = n[inner]
+    tally.words.ravel()[cells[~inner] - tally.bits.size] += n[~inner]
+    return tally
+
+
+def shares(tally: Tally, passes: int = 50) -> np.ndarray:
+    """Log-odds of coding a word as a whole, by its length, by expectation maximisation over the tallied words."""
+    value = (np.arange(BINS) + 0.5) / BINS_NAT - LEAST_ODDS
+    odds, total = np.zeros((LENGTHS, 1)), tally.words.sum(axis=1, keepdims=True)
     for _ in range(passes):
-        a, b = _log_sigmoid(blend.odds[bucket]) + whole, _log_sigmoid(-blend.odds[bucket]) - by_bytes
-        mine = np.bincount(bucket, np.exp(a - np.logaddexp(a, b)), len(blend.odds))
-        share = np.clip((mine + 1) / (np.bincount(bucket, minlength=len(blend.odds)) + 2), 0.001, 0.999)
-        blend.odds = np.log(share / (1 - share))
+        whole = 1 / (1 + np.exp(np.minimum(-odds - value, 700.0)))
+        whole[:, 0] = 0
+        share = np.clip(((tally.words * whole).sum(axis=1, keepdims=True) + 1) / (total + 2), 0.001, 0.999)
+        odds = np.log(share / (1 - share))
+    return odds[:, 0]
 
 
 def _chunks(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -364,76 +526,101 @@ def _chunks(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, int, np.n
         begin = end
 
 
+def sent(tables: list[np.ndarray]) -> list[tuple[bytes, int]]:
+    """Tables of bytes as they go with the tasks, so that no executor keeps them at their full size on its disk."""
+    return [(pa.compress(memoryview(t), codec="zstd", asbytes=True), len(t)) for t in tables]
+
+
+def received(tables: list[tuple[bytes, int]], kind: type) -> list[np.ndarray]:
+    return [np.frombuffer(pa.decompress(t, size, codec="zstd"), kind) for t, size in tables]
+
+
+def _few(training: DataFrame) -> DataFrame:
+    """The texts in fewer tasks: each brings its counts once for all its texts, so a few splits go to one."""
+    splits = training.rdd.getNumPartitions()
+    return training.select("text").coalesce(max(training.sparkSession.sparkContext.defaultParallelism, splits // SPLITS))
+
+
 def gathered(training: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Counts over all training texts: bytes by context slot, and words by hash; written once."""
+    """Counts over all training texts: bytes by context slot, and words by hash with their length, which is
+    ``LENGTHS`` for the end and one less for words of that many bytes or more; written once."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = [np.zeros(s * 256, np.uint32) for s in SLOTS]  # of one task; sums beyond are longs
         for batch in batches:
-            found, counts = [np.array([END_WORD])], [np.array([batch.num_rows])]
+            found, counts, kinds = [np.array([END_WORD])], [np.array([batch.num_rows])], [np.array([LENGTHS])]
             for _, _, data, limits in _chunks(batch, 0):
                 words = words_in(data, limits)
-                n = np.bincount(words.of, minlength=len(words.keys))
                 found.append(words.keys)
-                counts.append(n)
-                stream, _, begins = words.stream()
-                for total, slot in zip(totals, contexts(stream, begins)):
-                    np.add.at(total, slot.astype(np.int64) * 256 + stream, np.uint32(1))
-            values, of = np.unique(np.concatenate(found), return_inverse=True)
+                counts.append(np.bincount(words.of, minlength=len(words.keys)))
+                kinds.append(np.minimum(words.sizes, LENGTHS) - 1)
+                key, n = tuples(words)
+                slots, byte = unpacked(key)
+                for total, slot in zip(totals, slots):
+                    np.add.at(total, slot * 256 + byte, n.astype(np.uint32))
+            values, place, of = np.unique(np.concatenate(found), return_index=True, return_inverse=True)
             n = np.bincount(of, np.concatenate(counts)).astype(np.int64)
-            yield batch_of(kind=pa.array(np.zeros(len(n)), pa.int32()), key=values, n=n)
+            yield batch_of(kind=pa.array(np.concatenate(kinds)[place], pa.int32()), key=values, n=n)
         cells = [np.flatnonzero(t) for t in totals]
         keys = np.concatenate([c + OFFSETS[i] * 256 for i, c in enumerate(cells)])
         n = np.concatenate([t[c] for t, c in zip(totals, cells)]).astype(np.int64)
-        yield batch_of(kind=pa.array(np.ones(len(n)), pa.int32()), key=keys, n=n)
+        yield batch_of(kind=pa.array(np.full(len(n), -1), pa.int32()), key=keys, n=n)
 
-    # every task brings its counts once for all its texts, so a few splits go to one task
-    splits = training.rdd.getNumPartitions()
-    few = training.select("text").coalesce(max(training.sparkSession.sparkContext.defaultParallelism, splits // SPLITS))
-    counts = few.mapInArrow(work, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
+    counts = _few(training).mapInArrow(work, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
     counts = materialise(counts, "counts")
-    return counts.filter("kind = 1").select("key", "n"), counts.filter("kind = 0").select("key", "n")
+    return counts.filter("kind < 0").select("key", "n"), counts.filter("kind >= 0").select("key", "n", F.col("kind").alias("size"))
 
 
 def words_of(sample: pa.ChunkedArray) -> Words:
     return words_in(*text_buffer(sample if len(sample) else pa.array([""])))
 
 
-def fitted(counts: DataFrame, blend: Blend, words: Words) -> Mixer:
-    """The mixer from the gathered counts, at most 256 for each slot; its weights, and the shares of
-    ``blend``, fitted on the words of a bounded sample of texts. One context's counts are in memory at a time.
+def _quantised(ones: np.ndarray, zeros: np.ndarray) -> np.ndarray:
+    value = np.log((ones + PRIOR) / (zeros + PRIOR)) * SCALE
+    return np.clip(value, -127, 127).round().reshape(-1)
+
+
+def fitted(counts: DataFrame, blend: Blend, learned: DataFrame | Words, rare: DataFrame | None = None) -> Mixer:
+    """The mixer from the gathered counts, at most 256 for each slot; its weights, and the shares of ``blend``,
+    fitted on all that was ``learned``: a table of texts, or words at hand. ``rare`` has the counts
+    of the words that ``blend`` does not list, if there are any. One context's counts are in memory at a time.
     """
-    stream, _, begins = words.stream()
-    slots = contexts(stream, begins)
-    odds, known, seen, tree = [], [], [], None
+    odds, known, levels, tree = [], [], [], None
     for i, size in enumerate(SLOTS):
         found = counts.filter(F.col("key").between(OFFSETS[i] * 256, OFFSETS[i + 1] * 256 - 1)).toArrow()
         table = np.zeros(size * 256, np.float32)
         table[found.column("key").to_numpy() - OFFSETS[i] * 256] = found.column("n").to_numpy()
+        del found
         table = table.reshape(-1, 256)
         tree = tree or byte_tree(table.sum(axis=0, dtype=np.float64))
         sides = tree[3]
-        values = np.empty(table.size, np.int8)
+        values, level = np.empty(table.size, np.int8), np.empty((table.size, 2), np.uint8)
         for k in range(0, size, 4096):
             part = table[k : k + 4096]
-            value = np.log((part @ sides[1] + PRIOR) / (part @ sides[0] + PRIOR)) * SCALE
-            values[k * 256 : (k + len(part)) * 256] = np.clip(value, -127, 127).round().reshape(-1)
+            ones, zeros = part @ sides[1], part @ sides[0]
+            own = np.maximum(zeros - 1, 0), np.maximum(ones - 1, 0)
+            at = slice(k * 256, k * 256 + part.size)
+            values[at] = _quantised(ones, zeros)
+            level[at, 0] = (_quantised(ones, own[0]) + WIDTH * LEVELS // 2) // WIDTH
+            level[at, 1] = (_quantised(own[1], zeros) + WIDTH * LEVELS // 2) // WIDTH
         odds.append(values)
+        levels.append(level.reshape(-1))
         known.append(np.digitize(table.sum(axis=1), [1, 64]).astype(np.uint8))
-        used, place = np.unique(slots[i], return_inverse=True)
-        seen.append((place.astype(np.int32), (table[used] @ sides[0]).reshape(-1), (table[used] @ sides[1]).reshape(-1)))
-    weights = np.zeros((len(tree[1]), GATES, len(SLOTS) + 1), np.float32)
-    weights[:, :, :-1] = 0.4 / SCALE
-    mixer = Mixer(*tree[:3], odds, known, weights)
-    if len(stream):
-        fit_weights(mixer, seen, stream, slots)
-        del seen
-        fit_blend(blend, words, mixer.word_cost(words))
+        del table, part
+    mixer = Mixer(*tree[:3], odds, known, np.zeros(0))
+    if isinstance(learned, Words):
+        tally = Tally.empty(mixer)
+        tally.add(mixer, levels, blend, learned)
+    else:
+        # the tasks that tally need no log-odds
+        tally = tallied(learned, replace(mixer, tables=[]), levels, blend, rare)
+    mixer.weights = solved(tally.bits)
+    blend.odds = shares(tally)
     return mixer
 
 
 def scored(
-    docs: DataFrame, training: Column, sample_docs: int = SAMPLE_DOCS, top_words: int = TOP_WORDS, step: float = STEP, damping: float = DAMPING
+    docs: DataFrame, training: Column, top_words: int = TOP_WORDS, step: float = STEP, damping: float = DAMPING
 ) -> DataFrame:
     """``(doc_id, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte)`` of every document.
 
@@ -442,29 +629,26 @@ def scored(
     counts as empty and is its end alone. Rows that repeat id and text count once; a null id stays null. With
     nothing to learn from, all counts are 0 and every bit has even odds. Other columns are ignored; an empty
     table gives an empty result. ``step`` and ``damping`` are the sizes of a text's own refinements, of its
-    share of whole words and of its gated weights; 0 leaves them as fitted. Texts drawn for fitting and the
-    most frequent words are taken in the order of a hash and of the counts, ties by id and text or by key.
+    share of whole words and of its gated weights; 0 leaves them as fitted. The most frequent words are taken
+    in the order of the counts, ties by key. Nothing is fitted on a sample.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     learned = docs.filter(training).select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     bytes_by_slot, words = gathered(learned)
-    tokens, distinct = words.agg(F.sum("n"), F.count(F.lit(1))).first()
-    tokens, distinct = tokens or 0, distinct or 0
-    drawn = learned.filter(F.length("text") <= SAMPLE_CHARS).orderBy(F.xxhash64("doc_id", F.lit(4)), "doc_id", "text").limit(sample_docs)
-    texts = words.filter(F.col("key") == int(END_WORD)).agg(F.sum("n")).first()[0] or 0
-    top = words.orderBy(F.desc("n"), "key").limit(top_words).toArrow().sort_by("key")
+    by_size = words.groupBy(F.col("size") == LENGTHS).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words")).collect()
+    tokens, distinct = sum(r.n for r in by_size), sum(r.words for r in by_size)
+    texts = sum(r.n for r in by_size if r[0])
+    top = words.select("key", "n").orderBy(F.desc("n"), "key").limit(top_words).toArrow().sort_by("key")
     top_key, top_n = top.column("key").to_numpy(), top.column("n").to_numpy()
-    sample = words_of(drawn.toArrow().column("text"))
-    # the shares are fitted with the counts of all words that the sample holds
-    held = spark.createDataFrame(pd.DataFrame({"key": np.append(sample.keys, END_WORD)}), "key long")
-    held = words.join(held, "key").toArrow().sort_by("key")
-    fitting = Blend(held.column("key").to_numpy(), held.column("n").to_numpy(), tokens, texts, np.zeros(LENGTHS))
-    mixer = fitted(bytes_by_slot, fitting, sample)
-    blend = Blend(top_key, top_n, tokens, texts, fitting.odds)
+    blend = Blend(top_key, top_n, tokens, texts, np.zeros(LENGTHS))
+    mixer = fitted(bytes_by_slot, blend, learned, words if distinct > len(top_n) else None)
+    tables, bare = sent(mixer.tables), replace(mixer, tables=[])
+    del mixer
     least = np.append(np.log10((top_n + 0.1) / (tokens + 0.1 * (distinct + 1))), 0.0)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mixer = replace(bare, tables=received(tables, np.int8))
         for batch in batches:
             for begin, end, data, limits in _chunks(batch, 1):
                 n = end - begin
@@ -492,7 +676,7 @@ def scored(
 
     schema = "doc_id long, key long, n_tokens long, n_top long, base double, cost double, n_bytes long, rare array<struct<word: long, lift: float>>"
     found = materialise(rows.withColumn("key", F.xxhash64("text")).mapInArrow(work, schema), "scored")
-    each = found.select("doc_id", "key", F.inline("rare")).join(words.withColumnRenamed("key", "word"), "word", "left")
+    each = found.select("doc_id", "key", F.inline("rare")).join(words.select(F.col("key").alias("word"), "n"), "word", "left")
     term = F.log10((F.coalesce("n", F.lit(0)) + 0.1) / F.lit(tokens + 0.1 * (distinct + 1)))
     # what a word saves that is coded as a whole as well as by its bytes: log(1 + e^x)
     x = F.col("lift").cast("double") + F.log(F.col("n") / F.lit(float(max(tokens - texts, 1))))

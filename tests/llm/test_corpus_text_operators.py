@@ -3,6 +3,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from corpus_cases import LOWER, SCHEMA, odd_documents, rows, texts_by_id, words
@@ -11,6 +12,7 @@ from sentencepiece import sentencepiece_model_pb2 as pb
 
 from feedloom.llm import language_id, lm_scoring, quality_classifier, quality_rules
 from feedloom.llm import sentencepiece_codec as codec
+from feedloom.llm.common import text_buffer
 
 SF = "/root/testdata/sf0.001"
 
@@ -215,6 +217,26 @@ def test_mixer_is_a_distribution(spark):
     assert total == pytest.approx(1, abs=1e-3)
 
 
+def test_weights_and_shares_are_fitted_on_all_training_texts(spark, monkeypatch):
+    """No text is left out for its length or for the number of others, and tasks add up to what one would count."""
+    texts = [" ".join(f"w{(i * k) % 37} plain{k % 5}" for k in range(8)) for i in range(400)]
+    texts += ["a long text with common words " * 1200, "", " \t ", "日本語 テキスト"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    tallies = []
+    real = lm_scoring.shares
+    monkeypatch.setattr(lm_scoring, "shares", lambda tally, *rest: tallies.append(tally) or real(tally, *rest))
+    assert lm_scoring.scored(docs, F.col("doc_id") % 10 != 0, top_words=20).count() == len(texts)
+    learned = [words(t) for i, t in enumerate(texts) if i % 10]
+    assert tallies[0].words.sum() == sum(map(len, learned))
+    assert tallies[0].bits[0].sum() == sum(len(w.encode()) + 1 for t in learned for w in t)
+    counts, _ = lm_scoring.gathered(docs)
+    blends = [lm_scoring.Blend(np.zeros(0, np.int64), np.zeros(0, np.int64), 9000, 400, np.zeros(16)) for _ in range(2)]
+    apart = lm_scoring.fitted(counts, blends[0], docs)
+    alone = lm_scoring.fitted(counts, blends[1], lm_scoring.words_in(*text_buffer(pa.array(texts))))
+    assert (apart.weights == alone.weights).all() and (blends[0].odds == blends[1].odds).all()
+    assert np.abs(apart.weights - lm_scoring.solved(np.zeros((len(apart.weights), *tallies[0].bits.shape[1:]), np.int64))).max() > 0
+
+
 def test_blocks_of_bytes():
     sizes = np.bincount(lm_scoring.byte_blocks(np.arange(20_000)))
     assert sizes[:9].tolist() == [64, 128, 256, 512, 1024, 2048, 4096, 4096, 4096] and sizes.sum() == 20_000
