@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import Spans, batch_of, lowered, row_of, text_buffer, word_limits
+from feedloom.llm.common import BASE, Spans, batch_of, lowered, text_buffer, word_limits
 from feedloom.session import materialise
 
 #: Slots of the contexts; each slot has counts of the 256 bytes that may follow.
@@ -64,55 +64,93 @@ BLANK = 32
 END_WORD = np.int64(-6148914691236517206)
 CHUNK_BYTES = 2_000_000
 #: Bytes that are mixed at a time.
-PART_BYTES = 100_000
+PART_BYTES = 40_000
 OFFSETS = tuple(int(x) for x in np.cumsum([0, *SLOTS]))
 
 
 @dataclass
 class Words:
-    """The words of some rows, each different one as a place in the first row that has it."""
+    """The words of some rows, each different one with its size, its bytes and the blank behind it, and before each
+    of these the slot of the word so far; ``starts`` has where those of each different word begin."""
 
-    low: np.ndarray
     row: np.ndarray
     keys: np.ndarray
     of: np.ndarray
+    sizes: np.ndarray
     starts: np.ndarray
-    ends: np.ndarray
-
-    @property
-    def sizes(self) -> np.ndarray:
-        return self.ends - self.starts
-
-    def stream(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The bytes of all words in order, a blank behind each; where each word and where its row begins."""
-        starts, sizes = self.starts[self.of], self.sizes[self.of]
-        first = np.cumsum(sizes + 1) - sizes - 1
-        out = np.full(int((sizes + 1).sum()), BLANK, np.uint8)
-        inner = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        out[np.repeat(first, sizes) + inner] = self.low[np.repeat(starts, sizes) + inner]
-        new = np.append(True, self.row[1:] != self.row[:-1])[: len(first)]
-        row_begin = np.maximum.accumulate(np.where(new, first, 0))
-        return out, first, np.repeat(row_begin, sizes + 1)
+    coded: np.ndarray
+    prefix: np.ndarray
+
+    def stream(self) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], np.ndarray]:
+        """The bytes of all words in order, a blank behind each; where each word begins; the contexts' slots; and
+        where each row with a word begins."""
+        sizes = self.sizes[self.of] + 1
+        ends = np.cumsum(sizes)
+        first = ends - sizes
+        place = np.repeat(self.starts[self.of] - first, sizes)
+        place += np.arange(len(place))
+        begins = first[np.append(True, self.row[1:] != self.row[:-1])[: len(first)]]
+        out = self.coded.take(place)
+        return out, first, contexts(out, begins, self.prefix.take(place)), begins
+
+
+def side_by_side(key: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The places of all keys, equal ones side by side; the number of each one's group, in that order; and where the
+    groups begin in it. Keys are sorted by the upper bits of ``value``, which is used up; where these are equal for different
+    keys, a key may be in several groups."""
+    bits = np.uint64(len(key).bit_length())
+    value >>= bits
+    value <<= bits
+    value |= np.arange(len(key), dtype=np.uint64)
+    value.sort()
+    value &= (np.uint64(1) << bits) - np.uint64(1)
+    order = value.view(np.int64)
+    key = key.take(order)
+    new = np.append(True, key[1:] != key[:-1])[: len(key)]
+    return order, np.cumsum(new) - 1, np.flatnonzero(new)
 
 
 def words_in(data: np.ndarray, limits: np.ndarray) -> Words:
     low = lowered(data)
     starts, ends = word_limits(low, limits)
-    hashes = Spans(low).hashes(starts, ends).view(np.int64)
-    keys, place, of = np.unique(hashes, return_index=True, return_inverse=True)
-    return Words(low, row_of(limits, starts), keys, of, starts[place], ends[place])
+    row = np.repeat(np.arange(len(limits) - 1), np.diff(np.searchsorted(starts, limits)))
+    spans = Spans(low)
+    hashes = spans.hashes(starts, ends)
+    order, group, first = side_by_side(hashes, hashes.copy())
+    of = np.empty(len(order), np.int64)
+    of[order] = group
+    first = order[first]
+    starts, sizes = starts[first], ends[first] - starts[first]
+    begins = np.cumsum(sizes + 1) - sizes - 1
+    inner = np.arange(int((sizes + 1).sum())) - np.repeat(begins, sizes + 1)
+    place = np.repeat(starts, sizes + 1) + inner
+    prefix = spans.sums.take(place)
+    prefix -= np.repeat(spans.sums[starts], sizes + 1)
+    prefix *= np.repeat(spans.inverses[starts], sizes + 1)
+    coded = low.take(place, mode="clip") if len(place) else np.zeros(0, np.uint8)
+    coded[begins + sizes] = BLANK
+    return Words(row, hashes[first].view(np.int64), of, sizes, begins, coded, word_slot(prefix, inner))
+
+
+def word_slot(prefix: np.ndarray, inner: np.ndarray) -> np.ndarray:
+    """The slot of a word so far, by its hash and size; ``prefix`` is used up."""
+    prefix += inner.astype(np.uint64)
+    prefix *= np.uint64(0xBF58476D1CE4E5B9)
+    prefix >>= np.uint64(64 - 16)
+    return prefix.astype(np.int32)
 
 
-def contexts(stream: np.ndarray, begins: np.ndarray) -> list[np.ndarray]:
-    """Slot of each of the three contexts at every byte; they never look past the begin of its text."""
+def contexts(stream: np.ndarray, begins: np.ndarray, prefix: np.ndarray | None = None) -> list[np.ndarray]:
+    """Slot of each of the three contexts at every byte; they never look past the places where texts begin.
+
+    ``prefix`` has the slots of the words so far, if they are known.
+    """
     n = len(stream)
     padded = np.concatenate([np.full(5, BLANK, np.uint8), stream])
     before = [padded[4 - k : n + 4 - k].copy() for k in range(5)]
-    first = np.flatnonzero(begins == np.arange(n))
     for k in range(5):  # the first bytes of a text have blanks before them
-        near = (first[:, None] + np.arange(k + 1)).ravel()
-        near = near[near < n]
-        before[k][near[near - begins[near] <= k]] = BLANK
+        near = (begins[:, None] + np.arange(k + 1)).ravel()
+        before[k][near[near < n]] = BLANK
     three = before[0].astype(np.uint32) << np.uint32(16)
     three |= before[1].astype(np.uint32) << np.uint32(8)
     three |= before[2]
@@ -123,17 +161,13 @@ def contexts(stream: np.ndarray, begins: np.ndarray) -> list[np.ndarray]:
     five ^= five >> np.uint32(15)
     five *= np.uint32(0x9E3779B1)
     three *= np.uint32(0x9E3779B1)
-    blanks = np.flatnonzero(stream[:-1] == BLANK) + 1
-    edges = np.concatenate([[0], blanks, [n]])
-    sizes = np.diff(edges)
-    prefix = Spans(stream).prefixes(edges[:-1], sizes)
-    prefix += (np.arange(n) - np.repeat(edges[:-1], sizes)).astype(np.uint64)
-    prefix *= np.uint64(0xBF58476D1CE4E5B9)
-    return [
-        (three >> np.uint32(32 - 14)).astype(np.int32),
-        (five >> np.uint32(32 - 16)).astype(np.int32),
-        (prefix >> np.uint64(64 - 16)).astype(np.int32),
-    ]
+    if prefix is None:
+        edges = np.concatenate([[0], np.flatnonzero(stream[:-1] == BLANK) + 1, [n]])
+        sizes = np.diff(edges)
+        prefix = word_slot(Spans(stream).prefixes(edges[:-1], sizes), np.arange(n) - np.repeat(edges[:-1], sizes))
+    three >>= np.uint32(32 - 14)
+    five >>= np.uint32(32 - 16)
+    return [three.view(np.int32), five.view(np.int32), prefix]
 
 
 def byte_tree(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -171,6 +205,36 @@ def byte_blocks(inside: np.ndarray) -> np.ndarray:
     return np.searchsorted(np.array(ends), inside, side="right").astype(np.int32) + late.astype(np.int32)
 
 
+@dataclass
+class Alike:
+    """The bytes of a stream by what their costs rest on: the slots and the byte itself.
+
+    ``order`` has the places of all bytes, longest codes first and equal ones side by side, and ``group`` the number
+    of each one's group, in the same order; ``first`` has a place in the stream for every group. Equal bytes may
+    rarely be in several groups, as they are sorted by a hash.
+    """
+
+    order: np.ndarray
+    group: np.ndarray
+    first: np.ndarray
+
+    @property
+    def counts(self) -> np.ndarray:
+        return np.bincount(self.group, minlength=len(self.first))
+
+
+def alike(stream: np.ndarray, slots: list[np.ndarray], length: np.ndarray) -> Alike:
+    """The groups of equal slots and byte; ``length`` has the code length of each byte."""
+    key = packed(stream, slots)
+    value = key * BASE
+    value >>= np.uint64(24)
+    # by the slot of the largest tables, so that they are read in order
+    value |= slots[1].astype(np.uint64) << np.uint64(40)
+    value |= (np.uint64(255) - length.astype(np.uint64) << np.uint64(56)).take(stream)
+    order, group, first = side_by_side(key, value)
+    return Alike(order, group, order[first])
+
+
 class Refined:
     """How far each row has moved the weights of each gate, and what the bits since the last step teach.
 
@@ -178,20 +242,64 @@ class Refined:
     """
 
     def __init__(self, rows: int, inputs: int):
-        self.moved = np.zeros((GATES, inputs, rows), np.float32)
+        self.rows = rows
+        self.moved = np.zeros((inputs, GATES * rows), np.float32)
         self.slope = np.zeros(self.moved.shape)
         self.curve = np.full(self.moved.shape, FIRMNESS * SCALE * SCALE)
 
-    def note(self, gate: int, row: np.ndarray, slope: np.ndarray) -> None:
+    def note(self, place: np.ndarray, slope: np.ndarray) -> None:
+        """``place`` is the gate and row of each byte, gate by gate."""
         for i, x in enumerate(slope):
-            self.slope[gate, i] += np.bincount(row, x, self.slope.shape[2])
-            self.curve[gate, i] += np.bincount(row, x * x, self.slope.shape[2])
+            self.slope[i] += np.bincount(place, x, self.slope.shape[1])
+            self.curve[i] += np.bincount(place, x * x, self.slope.shape[1])
 
     def step(self, damping: float) -> None:
         self.moved += (damping * self.slope / self.curve).astype(np.float32)
         self.slope[:] = 0
 
 
+@dataclass
+class Branches:
+    """The branches of groups of equal bytes, by depth, for the groups whose codes are that long.
+
+    Each has the log-odds against the bit by the fitted weights, and those of each context.
+    """
+
+    gate: np.ndarray
+    fitted: list[np.ndarray]
+    inputs: list[list[np.ndarray]]
+
+    def cost(self, group: np.ndarray, moved: list[np.ndarray] | None, slope: np.ndarray | None) -> np.ndarray:
+        """Cost of bytes, given by their groups in rising order, so that the bytes with a branch at some depth are a
+        slice; ``moved`` is added to their weights, and their slopes by each input are added to ``slope``."""
+        loss, odd = np.zeros(len(group), np.float32), np.ones(len(group), np.float32)
+        active = np.searchsorted(group, [len(f) for f in self.fitted]).tolist()
+        for depth, (a, fitted, inputs) in enumerate(zip(active, self.fitted, self.inputs)):
+            if not a:
+                break
+            z = fitted.take(group[:a])
+            found = []
+            if moved is not None or slope is not None:
+                found = [x.take(group[:a]).astype(np.float32) for x in inputs]
+            if moved is not None:
+                for x, m in zip(found, moved):
+                    z += x * m[:a]
+            odds = np.exp(np.minimum(z, np.float32(40), out=z), out=z)
+            whole = odds + np.float32(1)
+            if slope is not None:
+                error = np.divide(odds, whole, out=odds)
+                for x, total in zip(found, slope):
+                    x *= error
+                    total[:a] -= x
+            # one logarithm for two branches, whose product cannot overflow
+            odd[:a] *= whole
+            if depth % 2:
+                loss[:a] += np.log(odd[:a], out=whole)
+                odd[:a] = 1
+        loss += np.log(odd, out=odd)
+        return loss
+
+
 @dataclass
 class Mixer:
     length: np.ndarray
@@ -204,44 +312,31 @@ class Mixer:
     def gates(self, slots: list[np.ndarray]) -> np.ndarray:
         return self.known[-2][slots[-2]] * np.uint8(3) + self.known[-1][slots[-1]]
 
-    def ordered(self, stream: np.ndarray, gate: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The bytes by group, gate and falling code length; the runs of a group and gate, as numbers and limits."""
-        key = (group.astype(np.uint64) * np.uint64(GATES) + gate) << np.uint64(40)
-        key |= (np.uint8(255) - self.length[stream]).astype(np.uint64) << np.uint64(32)
-        key |= np.arange(len(stream), dtype=np.uint64)
-        key.sort()
-        order, run = (key & np.uint64(0xFFFFFFFF)).astype(np.int64), (key >> np.uint64(40)).astype(np.int64)
-        limits = np.flatnonzero(np.append(True, run[1:] != run[:-1]))
-        return order, run[limits], np.append(limits, len(run))
-
-    def mixed(self, gate: int, byte: np.ndarray, bases: list[np.ndarray], moved: np.ndarray | None, slope: np.ndarray | None) -> np.ndarray:
-        """Cost of bytes of one gate, longest codes first, so that the bytes with a branch at some depth are a
-        slice; their slopes by each input are added to ``slope``."""
-        active = np.cumsum(np.bincount(self.length[byte], minlength=len(self.nodes) + 1)[::-1])[::-1]
-        loss = np.zeros(len(byte), np.float32)
-        for depth in range(len(self.nodes)):
-            a = int(active[depth + 1])
-            if not a:
-                break
-            weights = self.weights[depth, gate]
-            node, away = self.nodes[depth].take(byte[:a]), -self.bits[depth].take(byte[:a])
-            z = np.full(a, weights[-1])
-            inputs = []
-            for i, table in enumerate(self.tables):
-                x = table.take(bases[i][:a] + node).astype(np.float32)
-                z += x * (weights[i] if moved is None else moved[i, :a] + weights[i])
-                inputs.append(x)
-            z *= away
-            odds = np.exp(np.minimum(z, np.float32(40), out=z), out=z)
-            whole = odds + np.float32(1)
-            if slope is not None:
-                error = np.divide(odds, whole, out=odds)
-                error *= away
-                for i, x in enumerate(inputs):
-                    x *= error
-                    slope[i, :a] -= x
-            loss[:a] += np.log(whole, out=whole)
-        return loss
+    def active(self, byte: np.ndarray) -> list[int]:
+        """How many of the bytes have a branch at each depth."""
+        return np.cumsum(np.bincount(self.length[byte], minlength=len(self.nodes) + 1)[:0:-1])[::-1].tolist()
+
+    def branches(self, byte: np.ndarray, slots: list[np.ndarray]) -> Branches:
+        """The branches of bytes that come by falling code length."""
+        gate = self.gates(slots).astype(np.intp)
+        byte, bases = byte.astype(np.intp), [s.astype(np.intp) * 256 for s in slots]  # places, so that no lookup converts them again
+        sizes = [a for a in self.active(byte) if a]
+        found = Branches(gate, [np.empty(a, np.float32) for a in sizes], [[np.empty(a, np.int8) for _ in self.tables] for a in sizes])
+        weights, away = self.weights.transpose(0, 2, 1).copy(), -self.bits
+        turned = away.astype(np.int8)
+        for k in range(0, len(byte), PART_BYTES):
+            for depth, a in enumerate(sizes):
+                if a <= k:
+                    break
+                part = slice(k, min(k + PART_BYTES, a))
+                at, of = byte[part], gate[part]
+                node, turn = self.nodes[depth].take(at), turned[depth].take(at)
+                z = weights[depth, -1].take(of) * away[depth].take(at)
+                for i, table in enumerate(self.tables):
+                    x = np.multiply(table.take(bases[i][part] + node), turn, out=found.inputs[depth][i][part])
+                    z += x * weights[depth, i].take(of)
+                found.fitted[depth][part] = z
+        return found
 
     def cost(self, stream: np.ndarray, slots: list[np.ndarray], own: Refined | None = None, row: np.ndarray | None = None) -> np.ndarray:
         """Natural logarithm of each byte's probability, negated.
@@ -249,60 +344,71 @@ class Mixer:
         With the refined weights ``own`` of the rows, ``row`` says which row each byte is of, and what the bits
         teach is noted in ``own``.
         """
-        order, runs, limits = self.ordered(stream, self.gates(slots), np.zeros(len(stream), np.int64))
+        found = alike(stream, slots, self.length)
+        branches = self.branches(stream[found.first], [s[found.first] for s in slots])
         out = np.empty(len(stream), np.float32)
-        for gate, begin, end in zip(runs.tolist(), limits[:-1].tolist(), limits[1:].tolist()):
-            at = order[begin:end]
-            out[at] = self.run_cost(gate, at, stream, slots, own, row, own is not None)
+        out[found.order] = self.run_cost(branches, found.group, own, None if row is None else row[found.order], own is not None)
         return out
 
     def run_cost(
-        self, gate: int, at: np.ndarray, stream: np.ndarray, slots: list[np.ndarray], own: Refined | None, row: np.ndarray | None,
-        learn: bool, begun: bool = True,
+        self, branches: Branches, group: np.ndarray, own: Refined | None, row: np.ndarray | None, learn: bool, begun: bool = True
     ) -> np.ndarray:
-        """Cost of the bytes ``at`` of one gate; noted in ``own`` if they are to ``learn`` from. Rows that have not
+        """Cost of bytes by their rising groups; noted in ``own`` if they are to ``learn`` from. Rows that have not
         ``begun`` to refine have the fitted weights."""
-        of = None if own is None else row[at]
-        moved = None if own is None or not begun else own.moved[gate].take(of, axis=1)
-        slope = np.zeros((len(self.tables), len(at)), np.float32) if learn else None
-        # places, so that no lookup converts them again
-        loss = self.mixed(gate, stream[at].astype(np.intp), [s[at].astype(np.intp) * 256 for s in slots], moved, slope)
+        if own is None or not (learn or begun):
+            return branches.cost(group, None, None)
+        place = branches.gate.take(group) * own.rows + row
+        moved = [m.take(place) for m in own.moved] if begun else None
+        slope = np.zeros((len(own.moved), len(group)), np.float32) if learn else None
+        loss = branches.cost(group, moved, slope)
         if learn:
-            own.note(gate, of, slope)
+            own.note(place, slope)
         return loss
 
     def word_cost(self, words: Words, damping: float = DAMPING) -> np.ndarray:
         """The cost of every word and the blank behind it. All rows advance block by block, each by its own
         refined weights; a block of all rows is mixed part by part. A row's last block is not learned from."""
-        stream, first, begins = words.stream()
+        stream, first, slots, begins = words.stream()
         if not len(stream):
             return np.zeros(0)
-        slots = contexts(stream, begins)
-        row = np.append(0, np.cumsum(begins[1:] != begins[:-1]))
-        own = Refined(int(row[-1]) + 1, len(self.tables))
-        block = byte_blocks(np.arange(len(stream)) - begins)
-        last = block[np.append(np.flatnonzero(row[1:] != row[:-1]), len(row) - 1)]
-        order, runs, limits = self.ordered(stream, self.gates(slots), 2 * block + (block == last[row]))
-        cost, now = np.empty(len(stream), np.float32), 0
-        for run, begin, end in zip(runs.tolist(), limits[:-1].tolist(), limits[1:].tolist()):
-            (at_block, is_last), gate = divmod(run // GATES, 2), run % GATES
-            if at_block != now:
+        found = alike(stream, slots, self.length)
+        branches = self.branches(stream[found.first], [s[found.first] for s in slots])
+        del slots
+        own, long = Refined(len(begins), len(self.tables)), np.diff(np.append(begins, len(stream)))
+        runs = 2 * byte_blocks(np.arange(long.max()))
+        # small numbers are sorted by counting
+        runs = runs.astype(np.uint16) if runs[-1] < 1 << 15 else runs
+        run = runs.take(np.arange(len(stream)) - np.repeat(begins, long))
+        run += run == np.repeat(runs[long - 1], long)
+        row, sizes = np.repeat(np.arange(len(begins)), long), np.bincount(run)
+        by_run = np.argsort(run.take(found.order), kind="stable")
+        order, group = found.order.take(by_run), found.group.take(by_run)
+        cost, end = np.empty(len(stream), np.float32), 0
+        for number, size in enumerate(sizes.tolist()):
+            at_block, is_last = divmod(number, 2)
+            if at_block and not is_last:
                 own.step(damping)
-                now = at_block
+            begin, end = end, end + size
             for k in range(begin, end, PART_BYTES):
-                at = order[k : min(k + PART_BYTES, end)]
-                cost[at] = self.run_cost(gate, at, stream, slots, own, row, not is_last and damping > 0, now > 0)
+                part = slice(k, min(k + PART_BYTES, end))
+                at = order[part]
+                cost[at] = self.run_cost(branches, group[part], own, row[at], not is_last and damping > 0, at_block > 0)
         return np.add.reduceat(cost.astype(np.float64), first)
 
 
+def packed(stream: np.ndarray, slots: list[np.ndarray]) -> np.ndarray:
+    """The slots and the byte that follows, in one number."""
+    key = slots[0].astype(np.uint64) << np.uint64(40)
+    key |= slots[1].astype(np.uint64) << np.uint64(24)
+    key |= slots[2].astype(np.uint64) << np.uint64(8)
+    key |= stream
+    return key
+
+
 def tuples(words: Words) -> tuple[np.ndarray, np.ndarray]:
     """The different slots and byte that follows, packed, of all bytes, and how often each occurs."""
-    stream, _, begins = words.stream()
-    three, five, prefix = contexts(stream, begins)
-    key = three.astype(np.int64) << 40
-    key |= five.astype(np.int64) << 24
-    key |= prefix.astype(np.int64) << 8
-    key |= stream
+    stream, _, slots, _ = words.stream()
+    key = packed(stream, slots).view(np.int64)
     key.sort()
     new = np.flatnonzero(np.append(True, key[1:] != key[:-1])[: len(key)])
     return key[new], np.diff(np.append(new, len(key)))
@@ -396,7 +502,8 @@ class Blend:
             at = order[begin:end]
             of, row = words.of[at], words.row[at]
             odds = self.odds[bucket[of]] + shift[row]
-            a, b = _log_sigmoid(odds) + whole[of], _log_sigmoid(-odds) - by_bytes[at]
+            share = _log_sigmoid(odds)
+            a, b = share + whole[of], share - odds - by_bytes[at]
             both = np.logaddexp(a, b)
             lift[at] = odds + by_bytes[at]
             total -= np.bincount(row, both, rows)
@@ -426,34 +533,32 @@ class Tally:
         """``levels`` has for each context's cells and either bit the level of the log-odds without one count of it. The
         cost of bytes is that by equal weights, as the fitted ones come of this tally. Returned are the words that
         ``blend`` does not list: their keys, places of their lengths and costs."""
-        stream, first, begins = words.stream()
+        stream, first, slots, _ = words.stream()
         if not len(stream):
             return words.keys, words.of, np.zeros(0)
-        slots, cost = contexts(stream, begins), np.empty(len(stream), np.float32)
+        cost = np.empty(len(stream), np.float32)
         place = np.arange(2 * LEVELS**3)
         away = START * sum(_log_odds(x) for x in (place // LEVELS**2 % LEVELS, place // LEVELS % LEVELS, place % LEVELS))
         costs = np.logaddexp(0, np.where(place < LEVELS**3, away, -away)).astype(np.float32)
         branch = 2 * mixer.nodes + (mixer.bits > 0)
-        order, runs, limits = mixer.ordered(stream, mixer.gates(slots), np.zeros(len(stream), np.int64))
-        for gate, begin, end in zip(runs.tolist(), limits[:-1].tolist(), limits[1:].tolist()):
-            for k in range(begin, end, PART_BYTES):
-                at = order[k : min(k + PART_BYTES, end)]
-                byte, bases = stream[at].astype(np.intp), [s[at].astype(np.intp) * 512 for s in slots]
-                active = np.cumsum(np.bincount(mixer.length[byte], minlength=len(branch) + 1)[::-1])[::-1]
-                loss = np.zeros(len(at), np.float32)
-                for depth in range(len(branch)):
-                    a = int(active[depth + 1])
-                    if not a:
-                        break
-                    node = branch[depth].take(byte[:a])
-                    cell = (node & 1).astype(np.uint16)
-                    for base, level in zip(bases, levels):
-                        cell *= np.uint16(LEVELS)
-                        cell += level.take(base[:a] + node)
-                    cell = cell.astype(np.intp)
-                    loss[:a] += costs.take(cell)
-                    self.bits[depth, gate] += np.bincount(cell, minlength=len(costs))
-                cost[at] = loss
+        found = alike(stream, slots, mixer.length)
+        times, slots = found.counts, [s[found.first] for s in slots]
+        gate = mixer.gates(slots).astype(np.intp) * len(costs)
+        byte, bases = stream[found.first].astype(np.intp), [s.astype(np.intp) * 512 for s in slots]
+        loss = np.zeros(len(byte), np.float32)
+        for depth, a in enumerate(mixer.active(byte)):
+            if not a:
+                break
+            node = branch[depth].take(byte[:a])
+            cell = (node & 1).astype(np.uint16)
+            for base, level in zip(bases, levels):
+                cell *= np.uint16(LEVELS)
+                cell += level.take(base[:a] + node)
+            cell = cell.astype(np.intp)
+            loss[:a] += costs.take(cell)
+            cell += gate[:a]
+            np.add.at(self.bits[depth].reshape(-1), cell, times[:a])
+        cost[found.order] = loss.take(found.group)
         by_bytes = np.add.reduceat(cost.astype(np.float64), first)
         bucket, whole = blend.parts(words, own=1)
         listed, bucket = blend.listed(words)[1][words.of], bucket[words.of]

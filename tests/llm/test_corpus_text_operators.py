@@ -237,6 +237,29 @@ def test_weights_and_shares_are_fitted_on_all_training_texts(spark, monkeypatch)
     assert np.abs(apart.weights - lm_scoring.solved(np.zeros((len(apart.weights), *tallies[0].bits.shape[1:]), np.int64))).max() > 0
 
 
+def test_equal_bytes_are_looked_up_once(spark):
+    """Bytes with the same slots are one group, whose branches give what every byte for itself would."""
+    texts = ["the cat sat on the mat and the dog sat on the log " * 40, "", "a 日本語 " * 30, "x"]
+    words = lm_scoring.words_in(*text_buffer(pa.array(texts)))
+    stream, _, slots, begins = words.stream()
+    assert all((a == b).all() for a, b in zip(slots, lm_scoring.contexts(stream, begins)))
+    counts, _ = lm_scoring.gathered(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    blend = lm_scoring.Blend(np.zeros(0, np.int64), np.zeros(0, np.int64), 0, 0, np.zeros(16))
+    mixer = lm_scoring.fitted(counts, blend, words)
+    found = lm_scoring.alike(stream, slots, mixer.length)
+    different = set(zip(*(s.tolist() for s in slots), stream.tolist()))
+    assert sorted(found.order.tolist()) == list(range(len(stream))) and found.counts.sum() == len(stream)
+    assert len(different) <= len(found.first) <= len(different) + 1 < len(stream) / 10
+    gates, cost = mixer.gates(slots), mixer.cost(stream, slots)
+    for i in range(0, len(stream), 7):
+        wanted = 0.0
+        for depth in range(mixer.length[stream[i]]):
+            x = [float(t[int(s[i]) * 256 + mixer.nodes[depth, stream[i]]]) for t, s in zip(mixer.tables, slots)]
+            z = float(np.dot(mixer.weights[depth, gates[i]].astype(float), [*x, 1.0]))
+            wanted += math.log1p(math.exp(-z * mixer.bits[depth, stream[i]]))
+        assert cost[i] == pytest.approx(wanted, rel=1e-4, abs=1e-5)
+
+
 def test_blocks_of_bytes():
     sizes = np.bincount(lm_scoring.byte_blocks(np.arange(20_000)))
     assert sizes[:9].tolist() == [64, 128, 256, 512, 1024, 2048, 4096, 4096, 4096] and sizes.sum() == 20_000
