@@ -63,8 +63,8 @@ LENGTHS = 16
 BLANK = 32
 END_WORD = np.int64(-6148914691236517206)
 CHUNK_BYTES = 2_000_000
-#: Bytes that are mixed at a time.
-PART_BYTES = 40_000
+#: Bytes that are worked on at a time, few enough to stay near the core.
+PART_BYTES = 20_000
 OFFSETS = tuple(int(x) for x in np.cumsum([0, *SLOTS]))
 
 
@@ -98,16 +98,24 @@ def side_by_side(key: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.nda
     """The places of all keys, equal ones side by side; the number of each one's group, in that order; and where the
     groups begin in it. Keys are sorted by the upper bits of ``value``, which is used up; where these are equal for different
     keys, a key may be in several groups."""
-    bits = np.uint64(len(key).bit_length())
-    value >>= bits
-    value <<= bits
-    value |= np.arange(len(key), dtype=np.uint64)
+    low = (np.uint64(1) << np.uint64(len(key).bit_length())) - np.uint64(1)
+    for k in range(0, len(key), PART_BYTES):
+        part = value[k : k + PART_BYTES]
+        part &= ~low
+        part |= np.arange(k, k + len(part), dtype=np.uint64)
     value.sort()
-    value &= (np.uint64(1) << bits) - np.uint64(1)
+    value &= low
     order = value.view(np.int64)
-    key = key.take(order)
-    new = np.append(True, key[1:] != key[:-1])[: len(key)]
-    return order, np.cumsum(new) - 1, np.flatnonzero(new)
+    new, group, before, last = np.empty(len(key), bool), np.empty(len(key), np.int64), -1, None
+    for k in range(0, len(key), PART_BYTES):
+        part = slice(k, k + PART_BYTES)
+        found = key.take(order[part])
+        np.not_equal(found[1:], found[:-1], out=new[part][1:])
+        new[k] = last is None or found[0] != last
+        np.cumsum(new[part], out=group[part])
+        group[part] += before
+        before, last = group[part][-1], found[-1]
+    return order, group, np.flatnonzero(new)
 
 
 def words_in(data: np.ndarray, limits: np.ndarray) -> Words:
@@ -151,23 +159,26 @@ def contexts(stream: np.ndarray, begins: np.ndarray, prefix: np.ndarray | None =
     for k in range(5):  # the first bytes of a text have blanks before them
         near = (begins[:, None] + np.arange(k + 1)).ravel()
         before[k][near[near < n]] = BLANK
-    three = before[0].astype(np.uint32) << np.uint32(16)
-    three |= before[1].astype(np.uint32) << np.uint32(8)
-    three |= before[2]
-    five = before[3].astype(np.uint32) << np.uint32(8)
-    five |= before[4]
-    five *= np.uint32(0xC2B2AE35)
-    five ^= three * np.uint32(0x85EBCA6B)
-    five ^= five >> np.uint32(15)
-    five *= np.uint32(0x9E3779B1)
-    three *= np.uint32(0x9E3779B1)
+    three, five = np.empty(n, np.int32), np.empty(n, np.int32)
+    for k in range(0, n, PART_BYTES):
+        part = slice(k, k + PART_BYTES)
+        x = before[0][part].astype(np.uint32) << np.uint32(16)
+        x |= before[1][part].astype(np.uint32) << np.uint32(8)
+        x |= before[2][part]
+        y = before[3][part].astype(np.uint32) << np.uint32(8)
+        y |= before[4][part]
+        y *= np.uint32(0xC2B2AE35)
+        y ^= x * np.uint32(0x85EBCA6B)
+        y ^= y >> np.uint32(15)
+        y *= np.uint32(0x9E3779B1)
+        x *= np.uint32(0x9E3779B1)
+        three[part] = x >> np.uint32(32 - 14)
+        five[part] = y >> np.uint32(32 - 16)
     if prefix is None:
         edges = np.concatenate([[0], np.flatnonzero(stream[:-1] == BLANK) + 1, [n]])
         sizes = np.diff(edges)
         prefix = word_slot(Spans(stream).prefixes(edges[:-1], sizes), np.arange(n) - np.repeat(edges[:-1], sizes))
-    three >>= np.uint32(32 - 14)
-    five >>= np.uint32(32 - 16)
-    return [three.view(np.int32), five.view(np.int32), prefix]
+    return [three, five, prefix]
 
 
 def byte_tree(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -225,12 +236,16 @@ class Alike:
 
 def alike(stream: np.ndarray, slots: list[np.ndarray], length: np.ndarray) -> Alike:
     """The groups of equal slots and byte; ``length`` has the code length of each byte."""
-    key = packed(stream, slots)
-    value = key * BASE
-    value >>= np.uint64(24)
-    # by the slot of the largest tables, so that they are read in order
-    value |= slots[1].astype(np.uint64) << np.uint64(40)
-    value |= (np.uint64(255) - length.astype(np.uint64) << np.uint64(56)).take(stream)
+    key, value = np.empty(len(stream), np.uint64), np.empty(len(stream), np.uint64)
+    falling = np.uint64(255) - length.astype(np.uint64) << np.uint64(56)
+    for k in range(0, len(stream), PART_BYTES):
+        part = slice(k, k + PART_BYTES)
+        key[part] = packed(stream[part], [s[part] for s in slots])
+        x = np.multiply(key[part], BASE, out=value[part])
+        x >>= np.uint64(24)
+        # by the slot of the largest tables, so that they are read in order
+        x |= slots[1][part].astype(np.uint64) << np.uint64(40)
+        x |= falling.take(stream[part])
     order, group, first = side_by_side(key, value)
     return Alike(order, group, order[first])
 
@@ -546,18 +561,21 @@ class Tally:
         gate = mixer.gates(slots).astype(np.intp) * len(costs)
         byte, bases = stream[found.first].astype(np.intp), [s.astype(np.intp) * 512 for s in slots]
         loss = np.zeros(len(byte), np.float32)
-        for depth, a in enumerate(mixer.active(byte)):
-            if not a:
-                break
-            node = branch[depth].take(byte[:a])
-            cell = (node & 1).astype(np.uint16)
-            for base, level in zip(bases, levels):
-                cell *= np.uint16(LEVELS)
-                cell += level.take(base[:a] + node)
-            cell = cell.astype(np.intp)
-            loss[:a] += costs.take(cell)
-            cell += gate[:a]
-            np.add.at(self.bits[depth].reshape(-1), cell, times[:a])
+        active = mixer.active(byte)
+        for k in range(0, len(byte), PART_BYTES):
+            for depth, a in enumerate(active):
+                if a <= k:
+                    break
+                part = slice(k, min(k + PART_BYTES, a))
+                node = branch[depth].take(byte[part])
+                cell = (node & 1).astype(np.uint16)
+                for base, level in zip(bases, levels):
+                    cell *= np.uint16(LEVELS)
+                    cell += level.take(base[part] + node)
+                cell = cell.astype(np.intp)
+                loss[part] += costs.take(cell)
+                cell += gate[part]
+                np.add.at(self.bits[depth].reshape(-1), cell, times[part])
         cost[found.order] = loss.take(found.group)
         by_bytes = np.add.reduceat(cost.astype(np.float64), first)
         bucket, whole = blend.parts(words, own=1)

@@ -260,6 +260,22 @@ def test_equal_bytes_are_looked_up_once(spark):
         assert cost[i] == pytest.approx(wanted, rel=1e-4, abs=1e-5)
 
 
+def test_parts_of_a_chunk_are_of_no_account(monkeypatch):
+    texts = pa.array(["the cat sat on the mat " * 30, "", "日本語 the mat " * 20, "the"])
+    length = np.arange(256, dtype=np.uint8) % 9 + 1
+    found = []
+    for size in (7, 100_000):
+        monkeypatch.setattr(lm_scoring, "PART_BYTES", size)
+        words = lm_scoring.words_in(*text_buffer(texts))
+        stream, first, slots, begins = words.stream()
+        alike = lm_scoring.alike(stream, slots, length)
+        assert (np.diff(length[stream[alike.first]].astype(int)) <= 0).all()
+        found.append([words.row, words.keys, words.of, stream, first, *slots, begins, alike.order, alike.group, alike.first])
+    assert all((a == b).all() for a, b in zip(*found))
+    empty = lm_scoring.words_in(*text_buffer(pa.array(["", " "])))
+    assert [len(x) for x in (empty.keys, *empty.stream()[:2])] == [0, 0, 0]
+
+
 def test_blocks_of_bytes():
     sizes = np.bincount(lm_scoring.byte_blocks(np.arange(20_000)))
     assert sizes[:9].tolist() == [64, 128, 256, 512, 1024, 2048, 4096, 4096, 4096] and sizes.sum() == 20_000
