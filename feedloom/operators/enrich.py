@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from datetime import datetime
 
 import pandas as pd
@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from feedloom.functions.text import clean_html, join_terms
 from feedloom.operators.ordinals import batches
-from feedloom.session import materialise, materialise_observed
+from feedloom.session import discard, materialise, materialise_observed, noted
 
 BATCH_ROWS = 10
 #: What the first row of a batch carries of the whole call.
@@ -178,25 +178,31 @@ def enrich(
     retries: int = 3,
     delay: float = 2.0,
     spent: dict[str, int] | None = None,
+    behind: Iterable[str] = (),
 ) -> tuple[DataFrame, DataFrame]:
     """``(enriched, new cache entries)``: cached results first, then one call per batch of misses.
 
     Batches are formed inside ``keys`` (for example the industry). Rows without a hash of their own
-    share results. The answers are written before use: calls are costly and may not repeat equally.
+    share results. The answers are written before use: calls are costly and may not repeat equally. ``behind`` are
+    written tables of ``rows`` that nothing else reads; they go once the rows are written here.
     """
+    spark = rows.sparkSession
     names = struct_type(ddl).fieldNames()
     # the rows and what the cache has for them are computed and shuffled once, for hits, questions and answers alike
     found = cache.select(key, F.col("result").alias("_result"), F.lit(True).alias("_hit"))
     marked = materialise(rows.join(found, key, "left"), "marked")
+    discard(spark, behind)
     hits = marked.filter("_hit").select(*rows.columns, F.col("_result").alias("result"))
     misses = marked.filter("_hit IS NULL").select(*rows.columns)
     asked = misses.groupBy(key).agg(
         F.min_by(F.struct(*[c for c in dict.fromkeys([order, *keys, *inputs]) if c != key]), order).alias("row")
     ).select(key, "row.*")
-    asked = materialise(asked, "asked")
+    with noted() as asking:
+        asked = materialise(asked, "asked")
     batched = batches(asked, list(keys), order, batch_rows, F.struct(key, *[c for c in inputs if c != key]))
     made = run_batches(batched, fn, ddl, key, retries, delay)
     answers, used = materialise_observed(made, "answers", **{name: F.sum(name) for name in SPENT})
+    discard(spark, asking)
     if spent is not None:
         for name, n in used.items():
             spent[name] = spent.get(name, 0) + n

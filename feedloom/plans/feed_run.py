@@ -1,7 +1,9 @@
 """One run of a feed: from mapped fields to updated tables, payloads and a report.
 
 Everything between two ``materialise`` calls is one lazy plan. Rows are written where a later step
-reads them more than once or where a user function may not answer the same way twice.
+reads them more than once or where a user function may not answer the same way twice. A written table
+goes as soon as the tables behind it are written, so few copies of the texts lie on disk at a time; what the
+outcome still reads of an earlier step is written by itself.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from pyspark.sql import functions as F
 from feedloom.functions.hashing import canonical_hash
 from feedloom.functions.places import location_string
 from feedloom.operators import enrich, linkage, mapping, ordinals, publish, reports, routing, tables, taxonomy
-from feedloom.session import materialise, materialise_observed
+from feedloom.session import discard, materialise, materialise_observed, noted
 from feedloom.sources.feeds import numbered, read_feed
 
 
@@ -122,35 +124,54 @@ def run_feed(
     spent: dict[str, int] = {}
     options = {"batch_rows": services.batch_rows, "retries": services.retries, "delay": services.delay, "spent": spent}
 
-    standard = mapping.standardise(mapped)
-    hashed, n_hashed = materialise_observed(
-        standard.withColumn("is_closed", F.col("status").eqNullSafe("CLOSED")).withColumn("job_hash", canonical_hash()),
-        "hashed", rows=_rows(), closed=F.count_if("is_closed"),
-    )
-    active = hashed.filter(~F.col("is_closed")).drop("is_closed")
+    spark = mapped.sparkSession
 
-    first, n_first = materialise_observed(_merge(active, feed, limits), "merged", rows=_rows())
-    attributed, new_attributes = enrich.enrich(
-        first, stored.attribute_cache, services.attributes, enrich.ATTRIBUTES, "seq",
-        ["title", "company_name", "description"], **options,
-    )
-    attributed, n_attributed = materialise_observed(attributed, "attributed", rows=_rows(), failed=_failed(), cached=_cached())
-    attributed = attributed.drop("from_cache", "calls")
-    answered, failed_first = enrich.split_failed(attributed)
+    standard = mapping.standardise(mapped)
+    with noted() as behind:
+        hashed, n_hashed = materialise_observed(
+            standard.withColumn("is_closed", F.col("status").eqNullSafe("CLOSED")).withColumn("job_hash", canonical_hash()),
+            "hashed", rows=_rows(), closed=F.count_if("is_closed"),
+        )
+        active = hashed.filter(~F.col("is_closed")).drop("is_closed")
+        merged = _merge(active, feed, limits)
+    closed_in_feed = materialise(hashed.filter("is_closed").select("job_hash"), "closed_in_feed")
+    with noted() as merging:
+        first, n_first = materialise_observed(merged, "merged", rows=_rows())
+    discard(spark, behind)
+
+    with noted() as behind:
+        attributed, new_attributes = enrich.enrich(
+            first, stored.attribute_cache, services.attributes, enrich.ATTRIBUTES, "seq",
+            ["title", "company_name", "description"], behind=merging, **options,
+        )
+    with noted() as enriching:
+        attributed, n_attributed = materialise_observed(attributed, "attributed", rows=_rows(), failed=_failed(), cached=_cached())
+        discard(spark, behind, new_attributes)
+        attributed = attributed.drop("from_cache", "calls")
+        answered, failed_first = enrich.split_failed(attributed)
+        merged = _merge(answered, feed, limits, "ai_title")
+    failed_first = materialise(failed_first.select("job_hash"), "failed")
+    with noted() as merging:
+        second, n_second = materialise_observed(merged, "merged", rows=_rows())
+    discard(spark, enriching)
 
-    second, n_second = materialise_observed(_merge(answered, feed, limits, "ai_title"), "merged", rows=_rows())
     listed = enrich.classifiable(taxonomy.attach_functions(second, functions))
     ready, no_industry = enrich.split_failed(listed)
+    no_industry = materialise(no_industry.select("job_hash"), "failed")
     ready = ready.withColumn("function_ids", F.transform("job_functions", lambda f: f["id"]))
-    selected, new_functions = enrich.enrich(
-        ready, stored.function_cache, services.job_function, enrich.SELECTION, "seq",
-        ["title", "description", "function_ids"], ["industry_id"], **options,
-    )
-    selected, n_selected = materialise_observed(
-        selected.drop("function_ids", "job_functions"), "selected", rows=_rows(), failed=_failed(), cached=_cached()
-    )
+    with noted() as behind:
+        selected, new_functions = enrich.enrich(
+            ready, stored.function_cache, services.job_function, enrich.SELECTION, "seq",
+            ["title", "description", "function_ids"], ["industry_id"], behind=merging, **options,
+        )
+    with noted() as enriching:
+        selected, n_selected = materialise_observed(
+            selected.drop("function_ids", "job_functions"), "selected", rows=_rows(), failed=_failed(), cached=_cached()
+        )
+    discard(spark, behind, new_functions)
     selected = selected.drop("from_cache", "calls")
     classified, failed_second = enrich.split_failed(selected)
+    failed_second = materialise(failed_second.select("job_hash"), "failed")
 
     final = mapping.finalise(
         classified, F.lit(feed.feed_id), F.lit(feed.name), mapping.partner_id(F.lit(feed.company_name)), run_time
@@ -158,24 +179,29 @@ def run_feed(
     final = taxonomy.attach_names(final, taxonomy.function_names(functions))
     final = taxonomy.attach_coordinates(final, gazetteer).drop("geo_key")
     final = final.withColumn("location_string", location_string(F.col("locations")))
-    routed, n_routed = materialise_observed(
-        routing.with_route(ordinals.last_per_key(final, "job_hash", "seq"), feed.bypass_filters), "routed", rows=_rows(),
-        **{state: F.count_if(F.col("status") == state) for state in (tables.OPEN, tables.REVIEW, tables.REJECTED)},
-    )
+    with noted() as behind:
+        routed, n_routed = materialise_observed(
+            routing.with_route(ordinals.last_per_key(final, "job_hash", "seq"), feed.bypass_filters), "routed", rows=_rows(),
+            **{state: F.count_if(F.col("status") == state) for state in (tables.OPEN, tables.REVIEW, tables.REJECTED)},
+        )
+    discard(spark, enriching)
     approved, review, rejected = routing.by_state(routed)
-    approved, new_searchable = enrich.enrich(
-        approved, stored.search_cache, services.searchable, enrich.SEARCHABLE, "seq",
-        ["ai_top_tags", "ai_search_terms", "ai_skills", "description"], **options,
-    )
+    current = materialise(routed.select("job_hash"), "current")
+    review, rejected = materialise(review, "review"), materialise(rejected, "rejected")
+    with noted() as enriching:
+        approved, new_searchable = enrich.enrich(
+            approved, stored.search_cache, services.searchable, enrich.SEARCHABLE, "seq",
+            ["ai_top_tags", "ai_search_terms", "ai_skills", "description"], behind=behind, **options,
+        )
     approved, n_approved = materialise_observed(approved, "approved", rows=_rows(), cached=_cached())
+    discard(spark, enriching, new_searchable)
     approved = approved.drop("from_cache", "calls")
 
     mine = stored.open.filter(F.col("feed_id") == feed.feed_id)
-    current = routed.select("job_hash")
     failed = [failed_first, no_industry, failed_second]
     if protect_failed:
         for part in failed:
-            current = current.unionByName(part.select("job_hash"))
+            current = current.unionByName(part)
     closed = materialise(tables.closed_keys(mine, current), "closed")
     kept_open, archived, moved = tables.archive(stored.open, stored.archive, closed)
     moved, n_moved = materialise_observed(moved, "moved", rows=_rows())
@@ -215,7 +241,7 @@ def run_feed(
     def marked(rows: DataFrame, outcome: str) -> DataFrame:
         return rows.select(F.lit(feed.feed_id).alias("feed_id"), "job_hash", F.lit(outcome).alias("outcome"))
 
-    outcomes = marked(hashed.filter("is_closed"), "closed_in_feed")
+    outcomes = marked(closed_in_feed, "closed_in_feed")
     for rows, outcome in [(approved, "approved"), (review, "review"), (rejected, "rejected"), (moved, "archived")]:
         outcomes = outcomes.unionByName(marked(rows, outcome))
     for part in failed:
@@ -241,7 +267,7 @@ def run_feed(
         "output_tokens": spent["output_tokens"],
         "total_tokens": spent["input_tokens"] + spent["output_tokens"],
     }
-    counters = hashed.sparkSession.range(1).select(
+    counters = spark.range(1).select(
         *[F.lit(n).cast("long").alias(name) for name, n in counted.items()], F.lit(feed.feed_id).alias("feed_id")
     )
     gone = my_mirror.join(changes.filter("action = 'delete'").select("job_hash"), "job_hash", "left_semi")

@@ -1,3 +1,4 @@
+import os
 import sys
 from datetime import datetime
 
@@ -10,7 +11,7 @@ from feedloom.operators.mapping import POSTING
 from feedloom.operators.taxonomy import JOB_FUNCTION
 from feedloom.plans.feed_run import Feed, Services, empty_tables, reported_run, run_feed, run_feed_files
 from feedloom.plans.stand_ins import first_function, joined_terms
-from feedloom.session import materialise
+from feedloom.session import materialise, noted
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -116,6 +117,27 @@ def test_failed_postings_stay_stored(spark, context):
     assert out.stored.open.count() == 1
 
 
+def test_tables_of_earlier_steps_go(spark, context):
+    rows = [(i, ("Nurse", "Trainer", "Cook", "Fails", "Old")[i % 5], f"Clinic {i % 3}", "x", f"{TEXT} number {i}", "closed" if i % 5 == 4 else "open", None) for i in range(10)]
+    with noted() as written:
+        out = run_feed(
+            spark.createDataFrame(rows, MAPPED), Feed(7, "feed"), empty_tables(spark), *context, datetime(2024, 1, 1),
+            Services(attributes, first_function, joined_terms, delay=0.0, batch_rows=1),
+        )
+    left = sorted({os.path.basename(path).rsplit("-", 1)[0] for path in written if os.path.isdir(path)})
+    wide = {"hashed", "prepared", "texts", "merged", "marked", "asked", "attributed", "selected", "routed"}
+    assert not wide & set(left) and {"approved", "review", "rejected", "to_open", "open", "mirror", "answers"} <= set(left)
+    # everything the outcome holds can still be read
+    states = {r["outcome"]: r["count"] for r in out.outcomes.groupBy("outcome").count().collect()}
+    assert states["closed_in_feed"] == 2 and states["failed"] == out.counted["records_failed"]
+    assert {name: getattr(out.stored, name).count() for name in ("open", "review", "rejected", "archive", "mirror", "warehouse")} == {
+        "open": states["approved"], "review": states["review"], "rejected": states["rejected"], "archive": 0,
+        "mirror": states["approved"], "warehouse": out.counted["processed_successfully"],
+    }
+    assert out.stored.attribute_cache.count() > 0 and out.stored.function_cache.count() > 0 and out.stored.search_cache.count() > 0
+    assert out.payloads.agg(F.sum("batch_rows")).first()[0] == states["approved"] == out.search_documents.count()
+
+
 def with_tokens(rows):
     return attributes(rows), (10 * len(rows), 3)
 
