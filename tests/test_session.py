@@ -1,6 +1,7 @@
 import os
 import time
 
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from feedloom.session import discard, materialise, noted
@@ -36,3 +37,9 @@ def test_discarded_tables_go_unless_something_reads_them(spark):
     assert {r["k"]: r["count"] for r in lazy.collect()} == {0: 3, 1: 3} and unnoted.count() == 3
     discard(spark, inner)
     assert not os.path.isdir(inner[0])
+
+
+def test_helpers_reach_workers_that_lack_the_package():
+    """The package is pickled by value, with every module variable a function names."""
+    with noted():
+        assert cloudpickle.dumps(materialise) and cloudpickle.dumps(noted) and cloudpickle.dumps(discard)
